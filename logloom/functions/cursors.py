@@ -13,15 +13,6 @@ from pyspark.sql import functions as F
 END_CURSOR = "~"
 
 
-def exact_key(*columns: Column) -> Column:
-    """Several columns as one string that is equal only when all of them are. Lengths keep
-    ('a', 'bc') and ('ab', 'c') apart, a dash an unset value from an empty one."""
-    texts = [c.cast("string") for c in columns]
-    return F.concat(*[
-        F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts
-    ])
-
-
 def make_cursor(time: Column, identity: Column) -> Column:
     """Cursor of a group from its first second and a value only this group has."""
     return F.concat(F.lpad(time.cast("string"), 10, "0"), F.lit("-"), F.md5(identity))

@@ -28,14 +28,20 @@ _DIRECTIVES = {
 _COMPOUND = {"T": "%H:%M:%S", "R": "%H:%M", "D": "%m/%d/%y", "F": "%Y-%m-%d"}
 
 
+def floor_to(time: Column, width: int, origin: int = 0) -> Column:
+    """Start of the `width` seconds wide span, counted from `origin`, that a time lies in."""
+    return time - F.pmod(time - F.lit(origin), F.lit(width))
+
+
 def seconds(ts: Column) -> Column:
     """UNIX seconds of a TIMESTAMP_NTZ taken as UTC; the session time zone plays no part."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    in_day = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.unix_date(ts.cast("date")).cast("bigint") * 86400 + in_day
 
 
 def utc_date(time: Column) -> Column:
     """UTC calendar day of UNIX seconds."""
-    return F.date_from_unix_date(F.floor(time / 86400).cast("int"))
+    return F.date_from_unix_date((floor_to(time, 86400) / 86400).cast("int"))
 
 
 def utc_day(time: int) -> Column:

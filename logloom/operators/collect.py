@@ -27,31 +27,42 @@ def _whole(regex: str) -> str:
 
 
 def _block_summary(lines: DataFrame) -> DataFrame:
-    """Per block of a file: what the blocks before it leave open.
+    """Per block of a file: its own shape, and what the blocks around it leave open.
 
+    `lead` counts the lines before the first begin, `last_begin` is the id of the last one.
     `records_before` counts records begun before the block, `open_lines` the lines the last of them
     has so far, `next_lead` the lines the following block adds to the record open at the end.
     """
     first_begin = F.min(F.when(F.col("begins"), F.col("line_id")))
-    last_begin = F.max(F.when(F.col("begins"), F.col("line_id")))
     blocks = lines.groupBy(*_BLOCK).agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if("begins").alias("n_begins"),
+        F.min("line_id").alias("first_id"),
         F.coalesce(first_begin - F.min("line_id"), F.count(F.lit(1))).alias("lead"),
-        (F.max("line_id") - last_begin + 1).alias("tail"),
+        F.max(F.when(F.col("begins"), F.col("line_id"))).alias("last_begin"),
+        F.max("line_id").alias("last_id"),
     )
     in_file = W.partitionBy("file_path").orderBy("block_start")
     earlier = in_file.rowsBetween(W.unboundedPreceding, -1)
     blocks = blocks.withColumn("lines_before", F.coalesce(F.sum("n_lines").over(earlier), F.lit(0)))
-    open_since = F.max(F.when(F.col("n_begins") > 0, F.col("lines_before") + F.col("n_lines") - F.col("tail")))
+    # number of lines in the file before the last begin of the block
+    begun_at = F.when(
+        F.col("n_begins") > 0,
+        F.col("lines_before") + F.col("n_lines") - (F.col("last_id") - F.col("last_begin") + 1),
+    )
     return blocks.select(
-        *_BLOCK, "n_begins",
+        *_BLOCK, "n_begins", "first_id", "lead", "last_begin",
         F.coalesce(F.sum("n_begins").over(earlier), F.lit(0)).alias("records_before"),
-        (F.col("lines_before") - F.coalesce(open_since.over(earlier), F.lit(0))).alias("open_lines"),
+        (F.col("lines_before") - F.coalesce(F.max(begun_at).over(earlier), F.lit(0))).alias("open_lines"),
         F.coalesce(F.lead("lead").over(in_file), F.lit(0)).alias("next_lead"),
     )
 
 
+def _joined(lines: Column) -> Column:
+    """Body of sorted (position, line) structs."""
+    return F.array_join(F.transform(F.sort_array(F.collect_list(lines)), lambda l: l["line"]), "\n")
+
+
 def assemble_records(lines: DataFrame, begin_regex: str, max_lines: int = 10_000) -> DataFrame:
     """Multi-line records of files: (file_path, record, part, n_lines, body).
 
@@ -60,50 +71,51 @@ def assemble_records(lines: DataFrame, begin_regex: str, max_lines: int = 10_000
     `max_lines` lines continues in parts 1, 2, ..., so no line is lost and no row is unbounded.
 
     `lines` has file_path, block_start, line and line_id as `read_log_files` gives them; any other
-    source does as long as line_id has no gaps inside a block. Blocks are assembled independently
-    after one shuffle of the text. Where a record crosses a border, a summary of one row per block
-    tells which, and only those pieces are shuffled again.
+    source does as long as line_id is stable and has no gaps inside a block. A first narrow pass
+    leaves one row per block, which tells what crosses its borders. The text is shuffled once, by
+    block; records inside a block are complete there, and only the lines of records that cross a
+    border move again.
     """
     begins = F.col("line").rlike(_whole(begin_regex)) if begin_regex else F.lit(True)
-    marked = lines.select(*_BLOCK, "line_id", "line", begins.alias("begins"))
-    in_block = W.partitionBy(*_BLOCK).orderBy("line_id")
-    placed = marked.select(
-        *_BLOCK, "line_id", "line",
-        F.sum(F.col("begins").cast("bigint")).over(in_block).alias("local"),
-        F.row_number().over(in_block).alias("place"),
-        F.last(F.when(F.col("begins"), F.row_number().over(in_block)), ignorenulls=True).over(in_block).alias("begun"),
-    )
-    summary = _block_summary(marked)
-    leads = F.col("local") == 0
-    ordinal = F.when(leads, F.col("open_lines") + F.col("place") - 1).otherwise(F.col("place") - F.col("begun"))
-    pieces = (
-        placed.join(summary, _BLOCK)
-        .withColumn("part", F.floor(ordinal / max_lines).cast("bigint"))
-        .groupBy(*_BLOCK, "local", "part")
-        .agg(
-            F.first("records_before").alias("records_before"),
-            F.first("open_lines").alias("open_lines"),
-            F.first("n_begins").alias("n_begins"),
-            F.first("next_lead").alias("next_lead"),
-            F.count(F.lit(1)).alias("n_lines"),
-            F.sort_array(F.collect_list(F.struct("line_id", "line"))).alias("sorted"),
-        )
+    lines = lines.select(*_BLOCK, "line_id", "line")
+    # The lines are shuffled by block anyway, so the summary only has to follow the same hash. Both
+    # branches below read the same columns of this join, hence the same shuffle.
+    summary = _block_summary(lines.withColumn("begins", begins))
+    known = lines.join(summary.hint("shuffle_hash"), _BLOCK)
+
+    place = F.col("line_id") - F.col("first_id")
+    leads = place < F.col("lead")
+    in_tail = F.coalesce(F.col("line_id") >= F.col("last_begin"), F.lit(False))
+    from_before = leads & (F.col("open_lines") > 0)
+    into_next = (in_tail | (leads & (F.col("n_begins") == 0))) & (F.col("next_lead") > 0)
+    crosses = from_before | into_next
+
+    in_block = W.partitionBy(*_BLOCK).orderBy("line_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    own_begin = F.last(F.when(F.col("begins"), F.col("line_id")), ignorenulls=True).over(in_block)
+    inner = (
+        known.filter(~crosses)
+        .withColumn("begins", begins)
         .select(
-            *_BLOCK, "part", "n_lines",
-            (F.col("records_before") + F.col("local")).alias("record"),
-            (((F.col("local") == 0) & (F.col("open_lines") > 0))
-             | ((F.col("local") == F.col("n_begins")) & (F.col("next_lead") > 0))).alias("crosses"),
-            F.array_join(F.transform("sorted", lambda l: l["line"]), "\n").alias("body"),
+            *_BLOCK, "line_id", "line",
+            (F.col("records_before") + F.sum(F.col("begins").cast("bigint")).over(in_block)).alias("record"),
+            (F.col("line_id") - F.coalesce(own_begin, F.col("first_id"))).alias("ordinal"),
         )
+        .groupBy(*_BLOCK, "record", F.floor(F.col("ordinal") / max_lines).cast("bigint").alias("part"))
+        .agg(F.count(F.lit(1)).alias("n_lines"), _joined(F.struct("line_id", "line")).alias("body"))
+        .select(*_PART, "n_lines", "body")
     )
-    whole = pieces.filter(~F.col("crosses")).select(*_PART, "n_lines", "body")
-    crossing = pieces.filter("crosses").groupBy(*_PART).agg(
-        F.sum("n_lines").alias("n_lines"),
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("block_start", "body"))), lambda p: p["body"]), "\n"
-        ).alias("body"),
+    ordinal = F.when(leads, F.col("open_lines") + place).otherwise(F.col("line_id") - F.col("last_begin"))
+    crossing = (
+        known.filter(crosses)
+        .select(
+            "file_path", "block_start", "line_id", "line",
+            (F.col("records_before") + F.when(leads, 0).otherwise(F.col("n_begins"))).alias("record"),
+            F.floor(ordinal / max_lines).cast("bigint").alias("part"),
+        )
+        .groupBy(*_PART)
+        .agg(F.count(F.lit(1)).alias("n_lines"), _joined(F.struct("block_start", "line_id", "line")).alias("body"))
     )
-    return whole.unionByName(crossing)
+    return inner.unionByName(crossing)
 
 
 def extract_fields(records: DataFrame, regex: str, keys: Sequence[str], body: str = "body") -> DataFrame:

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from logloom.functions.cursors import exact_key, make_cursor
+from logloom.functions.cursors import make_cursor
 from logloom.functions.sizes import group_size
-from logloom.functions.times import utc_date, utc_day
+from logloom.functions.times import floor_to, utc_date, utc_day
 from logloom.model import MAX_TIME
-from logloom.plans.skew import DEFAULT_HEAT, Heat, heavy_keys, is_heavy, split_by_heat
+from logloom.plans.skew import DEFAULT_HEAT, Heat, heavy_keys, is_heavy
 
 _DAY = 86_400
 _GROUP_KEY = ["shard", "topic", "source", "reserved", "date", "window"]
@@ -24,56 +24,29 @@ def assign_shard(logs: DataFrame, n: int, key: str = "source") -> DataFrame:
     return logs.withColumn("shard", F.pmod(F.conv(digest, 16, 10).cast("bigint"), F.lit(n)).cast("int"))
 
 
-def _chunk(rank: Column, max_logs: int) -> Column:
-    return F.floor((rank - 1) / max_logs).cast("bigint")
-
-
-def _number_heavy(rows: DataFrame, max_logs: int, heat: Heat) -> DataFrame:
-    """Chunk numbers of groups too large for one task.
-
-    The rows of a group are counted per second, a heavy second per slice of its ids' hash; running
-    totals over these few counts give every slice its first rank, and only slices are sorted.
-    """
-    rows = rows.select(
-        "*", exact_key(*[F.col(c) for c in _GROUP_KEY]).alias("group_id"),
-        F.coalesce("time", F.lit(-1)).alias("second"),
-    )
-    seconds = ["group_id", "second"]
-    hot = F.broadcast(heavy_keys(rows, seconds, heat).withColumn("hot", F.lit(True)))
-    sliced = (
-        rows.join(hot, is_heavy(seconds), "left")
-        .withColumn("slice", F.when(F.col("hot"), F.substring(F.md5("log_id"), 1, 3)).otherwise(""))
-        .drop(*hot.columns)
-    )
-    cell = [*seconds, "slice"]
-    before = W.partitionBy("group_id").orderBy("second", "slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
-        .select(*cell, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    )
-    rank = F.row_number().over(W.partitionBy(*cell).orderBy("log_id")) + F.col("offset")
-    return sliced.join(offsets, cell).withColumn("chunk", _chunk(rank, max_logs)).drop(*cell, "offset")
-
-
 def pack_log_groups(logs: DataFrame, max_logs: int, window_s: int, heat: Heat = DEFAULT_HEAT) -> DataFrame:
     """Nest logs of one shard, topic, source, day and time window into groups of at most `max_logs`.
 
-    Groups fill up in the order of time and log id. Ordinary groups cost one shuffle of the logs;
-    groups that hold an outsized share of all logs are numbered in slices (and, inside a single
-    outsized second, in the order of the ids' hash), so that no group has to fit into one task.
-    Log ids must be unique.
+    Groups fill up in the order of time and log id, after one shuffle of the logs. A window that
+    holds an outsized share of all logs is dealt to slices by the hash of the log id, as many as its
+    size asks for, and groups fill up per slice, so no task meets an unbounded window. Log ids must
+    be unique.
     """
     keyed = logs.select(
         "log_id", "time", "topic", "source", "reserved", "contents", "shard",
         utc_date(F.col("time")).alias("date"),
-        (F.floor(F.col("time") / window_s) * window_s).cast("bigint").alias("window"),
+        floor_to(F.col("time"), window_s).alias("window"),
+    )
+    heavy = heavy_keys(keyed, _GROUP_KEY, heat)
+    slices = F.ceil(F.col("heavy_rows") / heat.min_rows)
+    sliced = keyed.join(F.broadcast(heavy), is_heavy(_GROUP_KEY), "left").select(
+        *keyed.columns,
+        F.when(F.col("heavy_rows").isNotNull(), F.pmod(F.xxhash64("log_id"), slices)).otherwise(0).alias("slice"),
     )
-    ordinary, heavy = split_by_heat(keyed, _GROUP_KEY, heat)
-    in_order = W.partitionBy(*_GROUP_KEY).orderBy("time", "log_id")
-    numbered = ordinary.withColumn("chunk", _chunk(F.row_number().over(in_order), max_logs))
+    in_order = W.partitionBy(*_GROUP_KEY, "slice").orderBy("time", "log_id")
     packed = (
-        numbered.unionByName(_number_heavy(heavy, max_logs, heat))
-        .groupBy(*_GROUP_KEY, "chunk")
+        sliced.withColumn("chunk", F.floor((F.row_number().over(in_order) - 1) / max_logs))
+        .groupBy(*_GROUP_KEY, "slice", "chunk")
         .agg(F.sort_array(F.collect_list(F.struct("time", "log_id", "contents"))).alias("sorted"))
         .withColumn("first_id", F.col("sorted")[0]["log_id"])
         .withColumn("logs", F.transform(

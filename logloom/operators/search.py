@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.fields import field_map
-from logloom.functions.times import utc_day
+from logloom.functions.times import floor_to, utc_day
 from logloom.model import COMPLETE
 
 
@@ -59,8 +59,8 @@ def get_histograms(logs: DataFrame, topic: str, from_time: int, to_time: int,
     no join. A batch result is complete by construction.
     """
     hits = find_logs(logs, from_time, to_time, topic, predicate)
-    start = F.floor((F.col("time") - from_time) / bucket_seconds) * bucket_seconds + from_time
-    counted = hits.select(start.cast("bigint").alias("from"), F.lit(1).cast("bigint").alias("hit"))
+    start = floor_to(F.col("time"), bucket_seconds, from_time)
+    counted = hits.select(start.alias("from"), F.lit(1).cast("bigint").alias("hit"))
     empty = logs.sparkSession.range(from_time, to_time, bucket_seconds).select(
         F.col("id").alias("from"), F.lit(0).cast("bigint").alias("hit")
     )

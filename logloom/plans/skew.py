@@ -32,12 +32,14 @@ def _heavy_name(key: str) -> str:
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], heat: Heat = DEFAULT_HEAT) -> DataFrame:
-    """Fewer than `heat.max_keys` rows, one per heavy key, columns prefixed with `heavy_`."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = counts.agg(F.sum("n_rows")).scalar()
-    return counts.filter(
-        (F.col("n_rows") > heat.min_rows) & (F.col("n_rows") * heat.max_keys > total)
-    ).select(*[F.col(k).alias(_heavy_name(k)) for k in keys])
+    """Fewer than `heat.max_keys` rows, one per heavy key: its columns prefixed with `heavy_` and its
+    number of rows `heavy_rows`."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("heavy_rows"))
+    total = counts.agg(F.sum("heavy_rows")).scalar()
+    rows = F.col("heavy_rows")
+    return counts.filter((rows > heat.min_rows) & (rows * heat.max_keys > total)).select(
+        *[F.col(k).alias(_heavy_name(k)) for k in keys], "heavy_rows"
+    )
 
 
 def is_heavy(keys: Sequence[str]) -> Column:
@@ -45,12 +47,6 @@ def is_heavy(keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(_heavy_name(k))) for k in keys])
 
 
-def split_by_heat(df: DataFrame, keys: Sequence[str], heat: Heat = DEFAULT_HEAT) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of heavy keys); map-side, the rows are not shuffled."""
-    heavy = F.broadcast(heavy_keys(df, keys, heat))
-    return df.join(heavy, is_heavy(keys), "left_anti"), df.join(heavy, is_heavy(keys), "left_semi")
-
-
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, spread: Sequence[str],
                 heat: Heat = DEFAULT_HEAT) -> DataFrame:
     """Equi-join in which heavy keys of the left side spread over `heat.salts` tasks.
@@ -61,10 +57,10 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join cannot spread the left side of a {how!r} join")
-    heavy = F.broadcast(heavy_keys(left, keys, heat).withColumn("heavy", F.lit(True)))
-    extra = [_heavy_name(k) for k in keys] + ["heavy"]
-    salt = F.when(F.col("heavy"), F.pmod(F.xxhash64(*spread), F.lit(heat.salts))).otherwise(0)
-    salts = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(heat.salts - 1))).otherwise(F.array(F.lit(0)))
-    left = left.join(heavy, is_heavy(keys), "left").withColumn("salt", salt.cast("int")).drop(*extra)
-    right = right.join(heavy, is_heavy(keys), "left").withColumn("salt", F.explode(salts)).drop(*extra)
+    heavy = F.broadcast(heavy_keys(left, keys, heat))
+    hot = F.col("heavy_rows").isNotNull()
+    salt = F.when(hot, F.pmod(F.xxhash64(*spread), F.lit(heat.salts))).otherwise(0)
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(heat.salts - 1))).otherwise(F.array(F.lit(0)))
+    left = left.join(heavy, is_heavy(keys), "left").withColumn("salt", salt.cast("int")).drop(*heavy.columns)
+    right = right.join(heavy, is_heavy(keys), "left").withColumn("salt", F.explode(salts)).drop(*heavy.columns)
     return left.join(right, [*keys, "salt"], how).drop("salt")
