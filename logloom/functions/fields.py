@@ -41,16 +41,25 @@ def make_contents(pairs: Sequence[tuple[str, Column]]) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in pairs])
 
 
+def _plain(delimiters: Sequence[str]) -> bool:
+    """All delimiters are single characters without case, so folding before splitting is the same."""
+    return all(len(d) == 1 and d.lower() == d.upper() for d in delimiters)
+
+
 def _delimiter_regex(delimiters: Sequence[str]) -> str:
+    if all(len(d) == 1 for d in delimiters):
+        return "[" + "".join(re.escape(d) for d in delimiters) + "]"
     # longest first, so that a delimiter that starts with another one is still found
     return "|".join(re.escape(d) for d in sorted(set(delimiters), key=len, reverse=True))
 
 
 def tokens(value: Column, delimiters: Sequence[str], case_sensitive: bool = False) -> Column:
     """Non-empty tokens of a value; every delimiter is a literal, none means the whole value."""
+    fold_first = not case_sensitive and _plain(delimiters)
+    value = F.lower(value) if fold_first else value
     parts = F.split(value, _delimiter_regex(delimiters)) if delimiters else F.array(value)
-    parts = F.filter(parts, lambda t: t != "")
-    return parts if case_sensitive else F.transform(parts, lambda t: F.lower(t))
+    parts = F.array_remove(parts, "")
+    return parts if case_sensitive or fold_first else F.transform(parts, lambda t: F.lower(t))
 
 
 def has_token(value: Column, term: str, delimiters: Sequence[str], case_sensitive: bool = False) -> Column:
@@ -63,13 +72,12 @@ def has_token(value: Column, term: str, delimiters: Sequence[str], case_sensitiv
         return F.coalesce(folded == wanted, F.lit(False))
     # A byte search rejects most values before anything is split or matched.
     maybe = F.contains(folded, F.lit(wanted))
-    plain = all(len(d) == 1 and d.lower() == d.upper() for d in delimiters)
-    if plain:
+    if _plain(delimiters):
         if any(d in wanted for d in delimiters):
             return F.lit(False)
         # Tokens are the runs between one-character delimiters, so the bounded match is exact.
         edge = _delimiter_regex(delimiters)
-        hit = folded.rlike(rf"(?:\A|{edge}){re.escape(wanted)}(?:\z|{edge})")
+        hit = folded.rlike(rf"(?:\A|{edge}){re.escape(wanted)}(?:{edge}|\z)")
     else:
         hit = F.array_contains(tokens(value, delimiters, case_sensitive), wanted)
     return F.coalesce(maybe & hit, F.lit(False))
@@ -87,10 +95,12 @@ def selected_contents(line: IndexLine, contents: str | Column = "contents") -> C
 
 def line_tokens(line: IndexLine, contents: str | Column = "contents") -> Column:
     """Distinct tokens of one log under a line index."""
-    picked = selected_contents(line, contents)
-    return F.array_distinct(
-        F.flatten(F.transform(picked, lambda c: tokens(c["value"], line.token, line.case_sensitive)))
+    none = F.array().cast("array<string>")
+    per_value = F.transform(
+        selected_contents(line, contents),
+        lambda c: F.coalesce(tokens(c["value"], line.token, line.case_sensitive), none),
     )
+    return F.array_distinct(F.flatten(per_value))
 
 
 def term_match(term: str, line: IndexLine, contents: str | Column = "contents") -> Column:

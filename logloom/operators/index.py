@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.fields import field, line_tokens, tokens, typed
@@ -33,12 +33,21 @@ def build_key_index(logs: DataFrame, keys: Mapping[str, IndexKey]) -> DataFrame:
     return logs.select("time", *_ADDRESS, *columns)
 
 
-def lookup_term(postings: DataFrame, logs: DataFrame, term: str, line: IndexLine) -> DataFrame:
+def token_bucket(token: Column, buckets: int) -> Column:
+    """Bucket a token's postings are stored in."""
+    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+
+
+def lookup_term(postings: DataFrame, logs: DataFrame, term: str, line: IndexLine,
+                buckets: int | None = None) -> DataFrame:
     """Logs that hold a term, through their postings; the same logs that `term_match` finds.
 
-    Only the postings of one token are read, and log ids are unique, so a frequent term makes the
-    join larger but not uneven.
+    Stored postings need the number of buckets they were written with; the lookup then opens the
+    files of one bucket only. Log ids are unique, so a frequent term makes the join larger but not
+    uneven.
     """
-    wanted = term if line.case_sensitive else term.lower()
-    hits = postings.filter(F.col("token") == wanted).select(*_ADDRESS)
-    return logs.join(hits, _ADDRESS, "left_semi")
+    wanted = F.lit(term if line.case_sensitive else term.lower())
+    hits = postings.filter(F.col("token") == wanted)
+    if buckets is not None:
+        hits = hits.filter(F.col("bucket") == token_bucket(wanted, buckets))
+    return logs.join(hits.select(*_ADDRESS), _ADDRESS, "left_semi")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from logloom.functions.cursors import make_cursor
 from logloom.functions.times import utc_day
-from logloom.model import GROUPS_SCHEMA
+from logloom.model import GROUPS_SCHEMA, POSTINGS_SCHEMA
+from logloom.operators.index import token_bucket
 from logloom.operators.ingest import check_groups, describe_groups, first_second, split_days
 
 _DAY = 86_400
@@ -60,16 +61,25 @@ def read_groups(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(GROUPS_SCHEMA).parquet(path)
 
 
-def write_line_index(postings: DataFrame, path: str, partitions: int, mode: str = "overwrite") -> None:
-    """Store postings ordered by token, so that a lookup skips all files but its own. A frequent
-    token spans several files, since the log id takes part in the range."""
+def write_line_index(postings: DataFrame, path: str, buckets: int, mode: str = "overwrite") -> None:
+    """Store postings in a folder per bucket of tokens, sorted by token.
+
+    A lookup opens one folder and skips the row groups of other tokens. Rebalancing cuts a bucket
+    that a frequent token has made large into several files.
+    """
     (
-        postings.repartitionByRange(partitions, "token", "log_id")
-        .sortWithinPartitions("token", "log_id")
-        .write.mode(mode).parquet(path)
+        postings.withColumn("bucket", token_bucket(F.col("token"), buckets))
+        .hint("rebalance", "bucket")
+        .sortWithinPartitions("bucket", "token", "log_id")
+        .write.mode(mode).partitionBy("bucket").parquet(path)
     )
 
 
+def read_line_index(spark: SparkSession, path: str) -> DataFrame:
+    """Stored postings."""
+    return spark.read.schema(POSTINGS_SCHEMA).parquet(path)
+
+
 def drop_expired(spark: SparkSession, path: str, ttl: int, as_of: int) -> list[str]:
     """Delete the days of a store whose last second has passed the retention; returns them.
 

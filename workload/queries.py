@@ -109,10 +109,10 @@ def next_cursors(spark, sf_dir):
 
 
 def tail_logs(spark, sf_dir):
-    """A store is written, followed from 2024-01-15 in steps of four files, and counted."""
+    """A store is written, followed from 2024-01-15 in steps of forty files, and counted."""
     path, out, state = (scratch_path(spark, n) for n in ("store", "tail", "state"))
     store.put_logs(t.event_groups(spark, sf_dir), path)
-    runs.run_to_files(stream_store.tail_logs(spark, path, max_files=4, start_time=t.JAN_15), out, state)
+    runs.run_to_files(stream_store.tail_logs(spark, path, max_files=40, start_time=t.JAN_15), out, state)
     return spark.read.parquet(out).groupBy("topic").agg(
         F.count(F.lit(1)).alias("n_logs"), F.min("time").alias("first_time"), F.max("time").alias("last_time")
     )
@@ -192,8 +192,8 @@ def lookup_term(spark, sf_dir):
     """The index is stored first and read back for the lookup."""
     logs = t.documents_as_logs(spark, sf_dir)
     path = scratch_path(spark, "index")
-    store.write_line_index(index.build_line_index(logs, LINE), path, partitions=8)
-    hits = index.lookup_term(spark.read.parquet(path), logs, "The", LINE)
+    store.write_line_index(index.build_line_index(logs, LINE), path, t.BUCKETS)
+    hits = index.lookup_term(store.read_line_index(spark, path), logs, "The", LINE, t.BUCKETS)
     return hits.select("log_id", "time", "topic", "source")
 
 

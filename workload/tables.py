@@ -19,6 +19,7 @@ JAN_31 = JAN_1 + 30 * DAY
 SHARDS = 4
 MAX_LOGS = 2
 BLOCK_LINES = 16
+BUCKETS = 16
 
 FILE_CONFIG = CollectConfig(
     name="documents",
