@@ -1,0 +1,90 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import LOG_COLUMNS, tuples
+from logloom.functions.cursors import cursor_at
+from logloom.model import ShardRange
+from logloom.operators.consume import list_shards, next_cursors, pull_logs, resolve_cursor
+from logloom.operators.ingest import pack_log_groups
+from logloom.sources.store import put_logs, read_groups
+
+DAY = 86_400
+
+
+@pytest.fixture(scope="module")
+def groups(spark, tmp_path_factory):
+    rng = random.Random(3)
+    rows = [(f"{i:04d}", rng.randrange(3 * DAY), "t", f"s{rng.randrange(4)}", None, [("i", str(i))],
+             0 if rng.random() < 0.8 else 2) for i in range(300)]
+    path = str(tmp_path_factory.mktemp("store") / "groups")
+    put_logs(pack_log_groups(spark.createDataFrame(rows, LOG_COLUMNS), 3, 3600), path)
+    return read_groups(spark, path)
+
+
+def cursors_of(groups, shard):
+    return [r.cursor for r in groups.filter(F.col("shard") == shard).orderBy("cursor").collect()]
+
+
+def test_shards(groups):
+    expected = [(s, len(c), c[0], c[-1]) for s in (0, 2) for c in [cursors_of(groups, s)]]
+    assert tuples(list_shards(groups), "shard", "n_groups", "first_cursor", "last_cursor") == expected
+
+
+def test_positions(groups):
+    got = {(r.shard, r.position): r.cursor for r in resolve_cursor(groups, ["begin", "end", DAY, "end", 9 * DAY]).collect()}
+    for shard in (0, 2):
+        cursors = cursors_of(groups, shard)
+        assert got[shard, "begin"] == cursors[0]
+        assert got[shard, "end"] == got[shard, str(9 * DAY)] == "~"
+        assert got[shard, str(DAY)] == next(c for c in cursors if c >= cursor_at(DAY))
+    assert len(got) == 8
+
+
+def test_a_pull_is_bounded_per_shard_and_ordered(groups):
+    pulled = pull_logs(groups, [ShardRange(0, ""), ShardRange(2, cursor_at(DAY))], 5)
+    for shard, start in ((0, ""), (2, cursor_at(DAY))):
+        expected = [c for c in cursors_of(groups, shard) if c >= start][:5]
+        rows = pulled.filter(F.col("shard") == shard).orderBy("place").collect()
+        assert [r.cursor for r in rows] == expected
+        assert [r.place for r in rows] == list(range(1, len(expected) + 1))
+
+
+def test_the_end_cursor_is_excluded(groups):
+    cursors = cursors_of(groups, 0)
+    pulled = pull_logs(groups, [ShardRange(0, cursors[3], cursors[9])], 100)
+    assert sorted(r.cursor for r in pulled.collect()) == cursors[3:9]
+    assert pull_logs(groups, [ShardRange(0, cursors[3], cursors[3])], 100).count() == 0
+    to_day = pull_logs(groups, [ShardRange(0, "", cursor_at(DAY))], 1000)
+    assert sorted(r.cursor for r in to_day.collect()) == [c for c in cursors if c < cursor_at(DAY)]
+
+
+def test_successive_pulls_are_one_full_read(groups):
+    ranges = [ShardRange(0, ""), ShardRange(2, ""), ShardRange(7, "")]
+    seen = {0: [], 2: [], 7: []}
+    for _ in range(100):
+        pulled = pull_logs(groups, ranges, 40)
+        for r in pulled.orderBy("shard", "place").collect():
+            seen[r.shard].append(r.cursor)
+        following = {r.shard: r for r in next_cursors(pulled, ranges).collect()}
+        ranges = [ShardRange(s, following[s].next_cursor) for s in following]
+        if not any(r.n_groups for r in following.values()):
+            break
+    assert seen == {0: cursors_of(groups, 0), 2: cursors_of(groups, 2), 7: []}
+    # caught up: the position stays behind the last group, and before any later one
+    assert following[0].next_cursor == cursors_of(groups, 0)[-1] + "~" < cursor_at(4 * DAY)
+    assert following[7].next_cursor == ""
+
+
+def test_a_pull_skips_days_and_shards(groups):
+    plan = pull_logs(groups, [ShardRange(2, cursor_at(DAY), cursor_at(2 * DAY))], 5)._jdf.queryExecution().toString()
+    partition_filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "shard" in partition_filters and "date" in partition_filters
+    assert "GreaterThanOrEqual(cursor," in plan
+    assert "WindowGroupLimit" in plan
+
+
+def test_a_pull_needs_a_shard(groups):
+    with pytest.raises(ValueError):
+        pull_logs(groups, [], 5)

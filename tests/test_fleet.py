@@ -1,0 +1,110 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import tuples
+from logloom.operators.fleet import (
+    applied_configs, applied_machine_groups, current_bindings, entity_snapshot, expand_machine_groups,
+    machine_totals, missing_targets, route_records,
+)
+from logloom.plans.skew import Heat, heavy_keys, salted_join
+
+HOT = Heat(max_keys=20, min_rows=10, salts=4)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_is_the_plain_join(spark, how):
+    rng = random.Random(1)
+    left = spark.createDataFrame(
+        [(None if i % 9 == 8 else "hot" if rng.random() < 0.4 else f"k{rng.randrange(60)}", i) for i in range(600)],
+        "key string, id int").cache()
+    right = spark.createDataFrame([("hot", 1), ("hot", 2)] + [(f"k{n}", n) for n in range(0, 60, 2)], "key string, v int")
+    assert {r.heavy_key for r in heavy_keys(left, ["key"], HOT).collect()} == {"hot", None}
+    key = lambda f: sorted(map(str, f.select(sorted(f.columns)).collect()))
+    assert key(salted_join(left, right, ["key"], how, ["id"], HOT)) == key(left.join(right, "key", how))
+    with pytest.raises(ValueError):
+        salted_join(left, right, ["key"], "full", ["id"])
+
+
+def test_heavy_keys_are_bounded_whatever_the_data(spark):
+    even = spark.range(3000).select((F.col("id") % 30).alias("key"))
+    assert heavy_keys(even, ["key"], Heat(max_keys=30, min_rows=1)).count() == 0
+    assert heavy_keys(even, ["key"], Heat(max_keys=31, min_rows=1)).count() == 30
+    assert heavy_keys(even, ["key"], Heat(max_keys=31, min_rows=100)).count() == 0
+
+
+@pytest.mark.parametrize("heat", [Heat(), HOT])
+def test_groups_name_machines_by_id_or_ip(spark, heat):
+    machines = spark.createDataFrame(
+        [(f"10.0.0.{n}", f"u{n}", "web" if n < 40 else None) for n in range(50)],
+        "ip string, unique_id string, userdefined_id string")
+    groups = spark.createDataFrame(
+        [("g1", "userdefined", ["web", "absent"]), ("g2", "ip", ["10.0.0.1", "10.0.0.45"]), ("g2", "", ["10.0.0.45", "web"]),
+         ("empty", "userdefined", [])], "group_name string, id_type string, machine_list array<string>")
+    members = expand_machine_groups(groups, machines, heat)
+    expected = [("g1", f"10.0.0.{n}") for n in range(40)] + [("g2", "10.0.0.1"), ("g2", "10.0.0.45")]
+    assert tuples(members, "group_name", "ip") == sorted(expected)
+    assert tuples(machine_totals(members), "group_name", "total") == [("g1", 40), ("g2", 2)]
+
+
+def test_bindings(spark):
+    changes = spark.createDataFrame(
+        [("c", "g", "apply", 1), ("c", "g", "remove", 2), ("c", "h", "remove", 1), ("c", "h", "apply", 3),
+         ("d", "g", "apply", 5), ("d", "g", "apply", 4)], "config_name string, group_name string, op string, position int")
+    now = current_bindings(changes)
+    assert tuples(now, "config_name", "group_name") == [("c", "h"), ("d", "g")]
+    twice = now.unionAll(now)
+    assert tuples(applied_configs(twice), "group_name", "config_name") == [("g", "d"), ("h", "c")]
+    assert tuples(applied_configs(twice, "h"), "config_name") == [("c",)]
+    assert tuples(applied_machine_groups(twice, "d"), "group_name") == [("g",)]
+    assert applied_machine_groups(twice, "not-exist-config").count() == 0
+
+
+@pytest.mark.parametrize("heat", [Heat(), HOT])
+def test_snapshot_folds_a_feed(spark, heat):
+    rng = random.Random(2)
+    feed, state = [], {}
+    for position in range(400):
+        name = "hot" if rng.random() < 0.4 else f"n{rng.randrange(30)}"
+        op = rng.choice(["create", "update", "update", "delete"])
+        time, ttl = 1000 + position * 2, rng.randrange(30)
+        feed.append((name, op, time, position, ttl))
+        if op == "delete":
+            state.pop(name, None)
+        else:
+            state[name] = (state[name][0] if name in state else time, time, ttl)
+    rng.shuffle(feed)
+    changes = spark.createDataFrame(feed, "name string, op string, time bigint, position bigint, ttl int")
+    got = tuples(entity_snapshot(changes, ["ttl"], heat), "name", "create_time", "modify_time", "ttl")
+    assert got == sorted((n, *s) for n, s in state.items())
+
+
+def test_missing_names(spark):
+    snapshot = spark.createDataFrame([("store",), ("group",)], "name string")
+    refs = spark.createDataFrame([("store",), ("not-exist-logstore",), ("not-exist-group",), ("not-exist-group",)], "name string")
+    assert tuples(missing_targets(refs, snapshot), "name", "n_refs") == [("not-exist-group", 2), ("not-exist-logstore", 1)]
+
+
+@pytest.mark.parametrize("heat", [Heat(), HOT])
+def test_records_go_to_every_config_that_covers_them(spark, heat):
+    paths = ["/var/log/a/x.LOG", "/var/log/a/y.txt", "/var/log/ab/x.LOG", "/srv/x.LOG"]
+    records = spark.createDataFrame(
+        [(i, "m1" if i % 3 else f"m{i % 5}", paths[i % 4]) for i in range(120)], "id int, machine_id string, file_path string")
+    members = spark.createDataFrame(
+        [("g1", "m1", "t1"), ("g2", "m1", "t2"), ("g2", "m2", "t2"), ("g3", "m3", "t3")],
+        "group_name string, machine_id string, group_topic string")
+    bindings = spark.createDataFrame([("all", "g1"), ("all", "g2"), ("a", "g2"), ("gone", "g3")], "config_name string, group_name string")
+    configs = spark.createDataFrame(
+        [("all", "/var/log", "*", "p", "all"), ("a", "/var/log/a/", "*.LOG", "p", "a")],
+        "config_name string, log_path string, file_pattern string, project string, logstore string")
+    expected = []
+    for i in range(120):
+        machine, path = "m1" if i % 3 else f"m{i % 5}", paths[i % 4]
+        if machine in ("m1", "m2"):
+            if path.startswith("/var/log/"):
+                expected.append((i, "all", "all", "g1" if machine == "m1" else "g2"))
+            if path == "/var/log/a/x.LOG":
+                expected.append((i, "a", "a", "g2"))
+    got = route_records(records, members, bindings, configs, ["id"], heat)
+    assert tuples(got, "id", "config_name", "logstore", "group_name") == sorted(expected)
