@@ -15,6 +15,7 @@ from logloom.model import TOPIC_DEFAULT, TOPIC_GROUP, TOPIC_NONE
 
 _BLOCK = ["file_path", "block_start"]
 _PART = ["file_path", "record", "part"]
+_SEPARATOR = "\x01"
 
 
 def full_match(value: Column, regex: str) -> Column:
@@ -118,23 +119,36 @@ def assemble_records(lines: DataFrame, begin_regex: str, max_lines: int = 10_000
     return inner.unionByName(crossing)
 
 
+def _groups(body: Column, regex: str, n: int) -> Column:
+    """Array of an empty string and the first `n` capture groups of a full match, of any other
+    length where there is none.
+
+    One replacement writes all groups, each behind a separator, so the regex runs once per record
+    and not once per group. A body that itself holds the separator takes the slow way.
+    """
+    whole = _whole(regex)
+    written = F.regexp_replace(body, whole, "".join(f"{_SEPARATOR}${g}" for g in range(1, n + 1)))
+    one_by_one = F.when(
+        body.rlike(whole), F.array(F.lit(""), *[F.regexp_extract(body, whole, g) for g in range(1, n + 1)])
+    ).otherwise(F.array())
+    return F.when(F.contains(body, F.lit(_SEPARATOR)), one_by_one).otherwise(F.split(written, _SEPARATOR))
+
+
 def extract_fields(records: DataFrame, regex: str, keys: Sequence[str], body: str = "body") -> DataFrame:
     """Add `contents` with one entry per key from the capture groups of a full match, and
     `reject_reason` where the body does not match (its contents are NULL). Without a regex the whole
     body is the value of the only key."""
-    if not regex:
-        if len(keys) != 1:
-            raise ValueError("without a regex there is exactly one key")
-        values = [F.col(body)]
-        matched = F.lit(True)
-    else:
-        values = [F.regexp_extract(body, _whole(regex), n) for n in range(1, len(keys) + 1)]
-        matched = F.coalesce(full_match(F.col(body), regex), F.lit(False))
-    pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in zip(keys, values)])
-    return records.withColumns({
+    if not keys or (not regex and len(keys) != 1):
+        raise ValueError("keys must name the capture groups, or the whole body where there is no regex")
+    groups = _groups(F.col(body), regex, len(keys)) if regex else F.array(F.lit(""), F.col(body))
+    matched = F.coalesce(F.size("groups") == len(keys) + 1, F.lit(False))
+    pairs = F.array(*[
+        F.struct(F.lit(k).alias("key"), F.get("groups", F.lit(n)).alias("value")) for n, k in enumerate(keys, 1)
+    ])
+    return records.withColumn("groups", groups).withColumns({
         "contents": F.when(matched, pairs),
         "reject_reason": F.when(~matched, "extraction regex does not match"),
-    })
+    }).drop("groups")
 
 
 def keeps(filter_keys: Sequence[str], filter_regex: Sequence[str]) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 class Heat:
     """When a key counts as heavy, and over how many salts it is spread."""
 
-    max_keys: int = 10_000
+    max_keys: int = 100_000
     min_rows: int = 1_000_000
     salts: int = 64
 

@@ -114,6 +114,16 @@ def test_alternatives_are_anchored_as_one(spark):
     assert [r.reject_reason is None for r in frame.orderBy("n").collect()] == [True, False, True]
 
 
+def test_a_body_with_the_internal_separator(spark):
+    frame = extract_fields(bodies(spark, "a\x01b=c", "\x01", "$1=\\2"), "(.*)=(.*)", ["one", "two"])
+    got = [[c.value for c in r.contents] if r.contents else None for r in frame.orderBy("n").collect()]
+    assert got == [["a\x01b", "c"], None, ["$1", "\\2"]]
+    one = extract_fields(bodies(spark, "", "x"), "(y?)", ["one"]).orderBy("n").collect()
+    assert [(r.contents and r.contents[0].value, r.reject_reason is None) for r in one] == [("", True), (None, False)]
+    many = extract_fields(bodies(spark, "abcdefghijkl"), "(.)" * 12, [f"k{n}" for n in range(12)])
+    assert [c.value for c in many.first().contents] == list("abcdefghijkl")
+
+
 def test_no_regex_is_one_field(spark):
     frame = extract_fields(bodies(spark, "a\nb"), "", ["message"])
     assert [tuple(c) for c in frame.first().contents] == [("message", "a\nb")]

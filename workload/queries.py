@@ -80,7 +80,7 @@ def put_logs_stream(spark, sf_dir):
 
 
 def expire_logs(spark, sf_dir):
-    kept = ingest.expire_logs(t.events_as_logs(spark, sf_dir), 14, t.JAN_31, index_ttl=7)
+    kept = ingest.expire_logs(t.events_as_logs(spark, sf_dir, t.JAN_31 - 7 * t.DAY), 14, t.JAN_31, index_ttl=7)
     return kept.select("log_id", "time", "topic")
 
 
@@ -109,10 +109,10 @@ def next_cursors(spark, sf_dir):
 
 
 def tail_logs(spark, sf_dir):
-    """A store is written, followed from 2024-01-15 in steps of forty files, and counted."""
+    """A store is written, followed from 2024-01-15 in bounded steps, and counted."""
     path, out, state = (scratch_path(spark, n) for n in ("store", "tail", "state"))
     store.put_logs(t.event_groups(spark, sf_dir), path)
-    runs.run_to_files(stream_store.tail_logs(spark, path, max_files=40, start_time=t.JAN_15), out, state)
+    runs.run_to_files(stream_store.tail_logs(spark, path, max_files=10_000, start_time=t.JAN_15), out, state)
     return spark.read.parquet(out).groupBy("topic").agg(
         F.count(F.lit(1)).alias("n_logs"), F.min("time").alias("first_time"), F.max("time").alias("last_time")
     )
@@ -121,7 +121,9 @@ def tail_logs(spark, sf_dir):
 # search
 
 def scan_logs(spark, sf_dir):
-    hits = search.scan_logs(t.events_as_logs(spark, sf_dir), t.JAN_2, t.JAN_2 + t.DAY, "error")
+    hits = search.scan_logs(
+        t.events_as_logs(spark, sf_dir, t.JAN_2, t.JAN_2 + t.DAY), t.JAN_2, t.JAN_2 + t.DAY, "error"
+    )
     return _values(hits, "log_id", "time", "topic", "source")
 
 
@@ -142,7 +144,7 @@ def key_compare_query(spark, sf_dir):
 
 def get_logs(spark, sf_dir):
     page = search.get_logs(
-        t.events_as_logs(spark, sf_dir), "", t.JAN_1, t.JAN_31, key_compare("k", ">", 10),
+        t.events_as_logs(spark, sf_dir, t.JAN_1, t.JAN_31), "", t.JAN_1, t.JAN_31, key_compare("k", ">", 10),
         lines=100, offset=100, reverse=True,
     )
     return page.select("log_id", "time", "topic", "source", F.col("fields")["value"].alias("value"),
@@ -150,15 +152,17 @@ def get_logs(spark, sf_dir):
 
 
 def get_histograms(spark, sf_dir):
+    end = t.JAN_2 + t.DAY - 100
     return search.get_histograms(
-        t.events_as_logs(spark, sf_dir), "error", t.JAN_2, t.JAN_2 + t.DAY - 100,
+        t.events_as_logs(spark, sf_dir, t.JAN_2, end, keys=("value",)), "error", t.JAN_2, end,
         key_compare("value", ">", 50, "double"), bucket_seconds=3600,
     )
 
 
 def histogram_total(spark, sf_dir):
     return search.histogram_total(search.get_histograms(
-        t.events_as_logs(spark, sf_dir), "", t.JAN_1, t.JAN_31, key_compare("k", "<=", 50), bucket_seconds=t.DAY,
+        t.events_as_logs(spark, sf_dir, t.JAN_1, t.JAN_31, keys=("k",)), "", t.JAN_1, t.JAN_31,
+        key_compare("k", "<=", 50), bucket_seconds=t.DAY,
     ))
 
 
@@ -262,7 +266,7 @@ def collect_logs_query(spark, sf_dir):
 def collect_logs_stream(spark, sf_dir):
     """The same from a stream of files."""
     files = t.write_document_files(spark, sf_dir)
-    lines = stream_log_files(spark, files, t.FILE_CONFIG.file_pattern, max_files=50)
+    lines = stream_log_files(spark, files, t.FILE_CONFIG.file_pattern, max_files=10_000)
     path, state = scratch_path(spark, "collected"), scratch_path(spark, "state")
     collect_stream(lines, t.FILE_CONFIG, path, state)
     return _collected(spark.read.parquet(path))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,11 +55,22 @@ def _as_logs(df: DataFrame, number: str, time, topic: str, source, contents) ->
     ).withColumn("date", utc_date(F.col("time")))
 
 
-def events_as_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    contents = make_contents([("value", F.col("value")), ("k", F.get_json_object("props", "$.k"))])
-    logs = _as_logs(
-        table(spark, sf_dir, "events"), "event_id", seconds(F.col("ts")), "event_type", F.col("user_id"), contents
-    )
+def _at(time: int):
+    return F.lit(str(dt.datetime.fromtimestamp(time, dt.timezone.utc).replace(tzinfo=None))).cast("timestamp_ntz")
+
+
+def events_as_logs(spark: SparkSession, sf_dir: str, from_time: int | None = None, to_time: int | None = None,
+                   keys: tuple[str, ...] = ("value", "k")) -> DataFrame:
+    """Events as logs. A range of time is also put on the stored column, where the scan can use it,
+    and only the columns of the wanted keys are read."""
+    events = table(spark, sf_dir, "events")
+    if from_time is not None:
+        events = events.filter(F.col("ts") >= _at(from_time))
+    if to_time is not None:
+        events = events.filter(F.col("ts") < _at(to_time))
+    values = {"value": F.col("value"), "k": F.get_json_object("props", "$.k")}
+    contents = make_contents([(k, values[k]) for k in keys])
+    logs = _as_logs(events, "event_id", seconds(F.col("ts")), "event_type", F.col("user_id"), contents)
     return assign_shard(logs, SHARDS)
 
 
