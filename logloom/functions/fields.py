@@ -22,18 +22,25 @@ _COMPARE = {
 }
 
 
-def field(key: str, contents: str | Column = "contents") -> Column:
-    """Value of `key`; the last one wins, NULL when the key is absent."""
-    contents = F.col(contents) if isinstance(contents, str) else contents
-    return F.try_element_at(F.filter(contents, lambda c: c["key"] == key), F.lit(-1))["value"]
+def _array(contents: str | Column) -> Column:
+    return F.col(contents) if isinstance(contents, str) else contents
+
+
+def field(key: str | Column, contents: str | Column = "contents") -> Column:
+    """Value of `key`; the last one wins, NULL when the key is absent.
+
+    Plain array functions instead of a lambda keep the expression inside generated code.
+    """
+    contents = _array(contents)
+    from_end = F.nullif(F.array_position(F.reverse(contents["key"]), key), F.lit(0))
+    return F.try_element_at(contents["value"], (-from_end).cast("int"))
 
 
 def field_map(contents: str | Column = "contents") -> Column:
     """Contents as a flat map, the last value of a repeated key winning."""
-    contents = F.col(contents) if isinstance(contents, str) else contents
-    keys = F.array_distinct(F.transform(contents, lambda c: c["key"]))
-    last = lambda k: F.try_element_at(F.filter(contents, lambda c: c["key"] == k), F.lit(-1))["value"]
-    return F.map_from_arrays(keys, F.transform(keys, last))
+    contents = _array(contents)
+    keys = F.array_distinct(contents["key"])
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: field(k, contents)))
 
 
 def make_contents(pairs: Sequence[tuple[str, Column]]) -> Column:
@@ -85,7 +92,7 @@ def has_token(value: Column, term: str, delimiters: Sequence[str], case_sensitiv
 
 def selected_contents(line: IndexLine, contents: str | Column = "contents") -> Column:
     """Contents that a line index covers."""
-    contents = F.col(contents) if isinstance(contents, str) else contents
+    contents = _array(contents)
     if line.include_keys:
         contents = F.filter(contents, lambda c: c["key"].isin(*line.include_keys))
     if line.exclude_keys:

@@ -60,8 +60,9 @@ def first_second(logs: str = "logs") -> Column:
     return F.array_min(F.transform(logs, lambda l: l["time"]))
 
 
-def describe_groups(groups: DataFrame, cursor: Column) -> DataFrame:
-    """Groups in stored form: cursor, time bounds, number of logs and encoded size from `logs`."""
+def describe_groups(groups: DataFrame, cursor: Column, extra: Sequence[str] = ()) -> DataFrame:
+    """Groups in stored form: cursor, time bounds, number of logs and encoded size from `logs`, and
+    the columns `extra` as they are."""
     times = F.transform("logs", lambda l: l["time"])
     return groups.select(
         cursor.alias("cursor"),
@@ -73,6 +74,7 @@ def describe_groups(groups: DataFrame, cursor: Column) -> DataFrame:
         "logs",
         utc_date(F.array_min(times)).alias("date"),
         "shard",
+        *extra,
     )
 
 

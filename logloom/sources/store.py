@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logloom.functions.cursors import make_cursor
-from logloom.functions.times import utc_day
+from logloom.functions.times import floor_to, utc_day
 from logloom.model import GROUPS_SCHEMA, POSTINGS_SCHEMA
 from logloom.operators.index import token_bucket
 from logloom.operators.ingest import check_groups, describe_groups, first_second, split_days
@@ -15,10 +16,12 @@ _DAY = 86_400
 
 
 def _write(groups: DataFrame, path: str, mode: str) -> None:
-    # Rebalancing brings a partition's rows together and lets Spark cut the ones that grow too large
-    # (a hot shard) at the advised size; the cursor order makes row groups skippable.
+    # Rebalancing gathers what lies close in time into the same files and lets Spark cut a partition
+    # that has grown too large (a hot shard); sorted cursors then make row groups skippable.
     (
-        groups.hint("rebalance", "date", "shard")
+        groups.withColumn("hour", floor_to(F.col("min_time"), 3600))
+        .hint("rebalance", "date", "shard", "hour")
+        .drop("hour")
         .sortWithinPartitions("date", "shard", "cursor")
         .write.mode(mode).partitionBy("date", "shard").parquet(path)
     )
@@ -47,18 +50,22 @@ def valid_groups(groups: DataFrame) -> DataFrame:
 
 
 def _stored_form(groups: DataFrame) -> DataFrame:
+    groups = groups.drop("reject_reason")
+    extra = [c for c in groups.columns if c not in GROUPS_SCHEMA.names]
     if "cursor" not in groups.columns:
-        return describe_groups(split_days(groups), make_cursor(first_second(), F.expr("uuid()")))
+        return describe_groups(split_days(groups), make_cursor(first_second(), F.expr("uuid()")), extra)
     # The part that keeps the first second keeps the cursor, one cut off gets its own.
     given = F.col("given_cursor")
     keeps = F.substring(given, 1, 10) == F.lpad(first_second().cast("string"), 10, "0")
     parts = split_days(groups.withColumnRenamed("cursor", "given_cursor"))
-    return describe_groups(parts, F.when(keeps, given).otherwise(make_cursor(first_second(), given)))
+    return describe_groups(parts, F.when(keeps, given).otherwise(make_cursor(first_second(), given)), extra)
 
 
-def read_groups(spark: SparkSession, path: str) -> DataFrame:
-    """Groups of a store."""
-    return spark.read.schema(GROUPS_SCHEMA).parquet(path)
+def read_groups(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:
+    """Groups of a store. Columns beyond the stored schema are kept by `put_logs`; name those to read
+    in `extra`, they are NULL in files that lack them."""
+    schema = T.StructType([*GROUPS_SCHEMA.fields, *(extra.fields if extra else ())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def write_line_index(postings: DataFrame, path: str, buckets: int, mode: str = "overwrite") -> None:

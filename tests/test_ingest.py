@@ -5,9 +5,11 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from helpers import LOG_COLUMNS, groups_frame, logs_frame, tuples
 from logloom.functions.sizes import group_size, list_size, log_size, varint_size
+from logloom.model import GROUPS_SCHEMA
 from logloom.operators.ingest import (
     assign_shard, check_groups, expire_logs, flatten_contents, flatten_log_groups, meter_volume, pack_log_groups,
 )
@@ -149,6 +151,16 @@ def test_stored_cursors_are_kept(spark, tmp_path):
         tuples(packed, "cursor", "n_logs", "raw_size")
 
 
+def test_unknown_columns_are_kept(spark, tmp_path):
+    store = str(tmp_path / "s")
+    plain = groups_frame(spark, [("t", "s", None, [(5, [("k", "1")])])])
+    put_logs(plain, store)
+    put_logs(plain.withColumn("origin", F.lit("new")), store)
+    assert read_groups(spark, store).columns == GROUPS_SCHEMA.names
+    extra = StructType([StructField("origin", StringType())])
+    assert {r.origin for r in read_groups(spark, store, extra).collect()} == {None, "new"}
+
+
 def test_retention(spark, tmp_path):
     logs = logs_frame(spark, [(str(d), d * DAY + 100, "t", "s", []) for d in range(10)])
     as_of = 10 * DAY
@@ -169,3 +181,19 @@ def test_volume(spark):
     total = meter_volume(groups, ["topic"]).agg(F.sum("n_logs"), F.sum("bytes")).first()
     assert total[0] == 100
     assert total[1] == groups.agg(F.sum("raw_size")).first()[0]
+
+
+def test_a_hot_shard_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        F.lit("t").alias("topic"), F.lit("s").alias("source"), F.lit(None).cast("string").alias("reserved"),
+        F.array(F.struct((F.lit(DAY) + F.col("id") % 60).alias("time"), F.array(
+            F.struct(F.lit("k").alias("key"), F.sha2(F.col("id").cast("string"), 512).alias("value"))).alias("contents"))
+        ).alias("logs"), F.lit(0).alias("shard")).repartition(16)
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500k")
+        put_logs(rows, str(tmp_path / "s"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert len(list((tmp_path / "s" / "date=1970-01-02" / "shard=0").glob("*.parquet"))) > 3
+    assert read_groups(spark, str(tmp_path / "s")).select("cursor").distinct().count() == 40_000
