@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.fields import field, line_tokens, tokens, typed
-from logloom.model import IndexKey, IndexLine
+from logloom.model import Index, IndexKey, IndexLine
+from logloom.operators.ingest import expire_logs
 
 _ADDRESS = ["date", "shard", "log_id"]
 
@@ -33,6 +34,14 @@ def build_key_index(logs: DataFrame, keys: Mapping[str, IndexKey]) -> DataFrame:
     return logs.select("time", *_ADDRESS, *columns)
 
 
+def build_index(logs: DataFrame, index: Index, as_of: int) -> tuple[DataFrame | None, DataFrame]:
+    """Postings (None without a line index) and key columns of the logs inside the index's retention.
+    A changed index is built anew."""
+    kept = expire_logs(logs, index.ttl, as_of)
+    postings = build_line_index(kept, index.line) if index.line else None
+    return postings, build_key_index(kept, index.keys)
+
+
 def token_bucket(token: Column, buckets: int) -> Column:
     """Bucket a token's postings are stored in."""
     return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")

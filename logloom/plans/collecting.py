@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.model import CollectConfig
 from logloom.operators.collect import (
     assemble_records, derive_topic, extract_fields, keeps, parse_log_time,
 )
+from logloom.sources.files import read_log_files
 
 
 def collect_logs(lines: DataFrame, config: CollectConfig, ingest_time: int | None = None,
@@ -45,6 +46,13 @@ def collect_logs(lines: DataFrame, config: CollectConfig, ingest_time: int | Non
     )
 
 
+def collect_files(spark: SparkSession, config: CollectConfig, ingest_time: int | None = None,
+                  source: str | None = None, group_topic: str | None = None) -> DataFrame:
+    """`collect_logs` on the files that the config names."""
+    lines = read_log_files(spark, config.log_path, config.file_pattern)
+    return collect_logs(lines, config, ingest_time, source, group_topic)
+
+
 def accepted(collected: DataFrame) -> DataFrame:
     """Logs of a collection, ready for `assign_shard`."""
     return collected.filter(F.col("reject_reason").isNull()).select(

@@ -15,6 +15,23 @@ from logloom.operators.ingest import check_groups, describe_groups, first_second
 _DAY = 86_400
 
 
+def _holds(spark: SparkSession, path: str, name: str) -> bool:
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = files.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(files.Path(root, name))
+
+
+def written_by_stream(spark: SparkSession, path: str) -> bool:
+    """Whether a stream writes this path. Readers then see the files of its log only, so whatever
+    else lands there would stay invisible."""
+    return _holds(spark, path, "_spark_metadata")
+
+
+def written_by_batch(spark: SparkSession, path: str) -> bool:
+    """Whether a batch job has written this path."""
+    return _holds(spark, path, "_SUCCESS") and not written_by_stream(spark, path)
+
+
 def _write(groups: DataFrame, path: str, mode: str) -> None:
     # Rebalancing gathers what lies close in time into the same files and lets Spark cut a partition
     # that has grown too large (a hot shard); sorted cursors then make row groups skippable.
@@ -34,6 +51,8 @@ def put_logs(groups: DataFrame, path: str, rejects_path: str | None = None, mode
     `rejects_path` with the reason, or fail the whole write where no such path is given. Groups that
     have no cursor yet, raw ones, get one.
     """
+    if written_by_stream(groups.sparkSession, path):
+        raise ValueError(f"{path} is written by a stream; store the groups below another path")
     if rejects_path is None:
         _write(valid_groups(groups), path, mode)
         return

@@ -10,14 +10,17 @@ from logloom.model import COMPLETE
 INCOMPLETE = "Incomplete"
 
 
-def live_histograms(logs: DataFrame, bucket_seconds: int, lateness: int) -> DataFrame:
-    """Logs per bucket of a stream with `time`. Append mode emits a bucket once it is closed, update
-    and complete mode emit open ones too. State is bounded by `lateness` in seconds; logs that are
-    later still are dropped."""
+def live_histograms(logs: DataFrame, bucket_seconds: int, lateness: int, from_time: int = 0) -> DataFrame:
+    """Logs per bucket of a stream with `time`; buckets start at `from_time`, earlier logs are left
+    out. Append mode emits a bucket once it is closed, update and complete mode emit open ones too.
+    State is bounded by `lateness` in seconds; logs that are later still are dropped."""
     at = F.timestamp_seconds("time").alias("at")
+    width = f"{bucket_seconds} seconds"
+    bucket = F.window("at", width, width, f"{from_time % bucket_seconds} seconds")
     return (
-        logs.select(at, "time").withWatermark("at", f"{lateness} seconds")
-        .groupBy(F.window("at", f"{bucket_seconds} seconds").alias("bucket"))
+        logs.filter(F.col("time") >= from_time).select(at, "time")
+        .withWatermark("at", f"{lateness} seconds")
+        .groupBy(bucket.alias("bucket"))
         .agg(F.count(F.lit(1)).alias("count"), F.max("time").alias("last_time"))
         .select(
             F.unix_seconds("bucket.start").alias("from"), F.unix_seconds("bucket.end").alias("to"),

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from logloom.model import GROUPS_SCHEMA
 from logloom.operators.ingest import flatten_log_groups
-from logloom.sources.store import valid_groups
+from logloom.sources.store import valid_groups, written_by_batch
 from logloom.streaming.runs import run_to_files
 
 
 def put_logs_stream(groups: DataFrame, path: str, checkpoint: str) -> None:
-    """Stream form of `put_logs`: stores all groups present; an invalid group fails the stream."""
+    """Stream form of `put_logs`: stores all groups present, exactly once; an invalid group fails the
+    stream. The path belongs to the stream alone."""
+    if written_by_batch(groups.sparkSession, path):
+        raise ValueError(f"{path} is written by batch jobs; store the stream below another path")
     run_to_files(valid_groups(groups), path, checkpoint, ["date", "shard"])
 
 

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from helpers import groups_frame, logs_frame, tuples
 from logloom.functions.fields import key_compare, term_match
-from logloom.model import IndexKey, IndexLine
-from logloom.operators.index import build_key_index, build_line_index, lookup_term
+from logloom.model import Index, IndexKey, IndexLine
+from logloom.operators.index import build_index, build_key_index, build_line_index, lookup_term
 from logloom.operators.ingest import flatten_log_groups
 from logloom.operators.search import find_logs, get_histograms, get_logs, histogram_total, scan_logs
 from logloom.sources.store import put_logs, read_groups, read_line_index, write_line_index
@@ -117,6 +117,14 @@ def test_key_columns(spark):
     assert [tuple(r) for r in got] == [("1", 7, 1.5, ["a", "b"]), ("2", None, None, None)]
 
 
+def test_an_index_covers_its_own_retention(spark):
+    logs = logs_frame(spark, [(str(d), d * 86400, "t", "s", [("n", str(d)), ("w", "x y")]) for d in range(10)])
+    postings, columns = build_index(logs, Index(3, {"n": IndexKey("long")}, LINE), 10 * 86400)
+    assert tuples(columns, "n") == [(7,), (8,), (9,)]
+    assert tuples(postings.filter("token = 'y'"), "log_id") == [("7",), ("8",), ("9",)]
+    assert build_index(logs, Index(3), 10 * 86400)[0] is None
+
+
 def test_times_beyond_a_signed_int(spark):
     late = 2**32 - 5
     logs = logs_frame(spark, [("1", late, "t", "s", [("k", "v")])])

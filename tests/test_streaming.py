@@ -44,6 +44,19 @@ def test_groups_are_stored_from_a_stream(spark, tmp_path):
         put_logs_stream(stream, store, state)
 
 
+def test_a_path_has_one_kind_of_writer(spark, tmp_path):
+    arrived, by_stream, by_batch = (str(tmp_path / n) for n in ("arrived", "stream", "batch"))
+    groups = groups_frame(spark, [("t", "s", None, [(5, [("k", "1")])])])
+    groups.write.parquet(arrived)
+    stream = spark.readStream.schema(GROUP_COLUMNS).parquet(arrived)
+    put_logs(groups, by_batch)
+    put_logs_stream(stream, by_stream, str(tmp_path / "state"))
+    with pytest.raises(ValueError):
+        put_logs(groups, by_stream)
+    with pytest.raises(ValueError):
+        put_logs_stream(stream, by_batch, str(tmp_path / "state2"))
+
+
 @pytest.fixture
 def times(spark, tmp_path):
     path = str(tmp_path / "times")
@@ -60,6 +73,15 @@ def test_append_emits_closed_buckets_only(spark, times, tmp_path):
     assert got == [e for e in expected if e[1] <= newest - 600]
 
 
+def test_buckets_start_where_asked(spark, times, tmp_path):
+    out = str(tmp_path / "out")
+    run_batches(live_histograms(times, 3600, 600, from_time=5000),
+                lambda batch, _: batch.write.mode("overwrite").parquet(out), str(tmp_path / "state"), mode="complete")
+    got = spark.read.parquet(out)
+    assert {f % 3600 for f, in tuples(got, "from")} == {1400}
+    assert got.agg(F.min("from"), F.sum("count")).first()[:] == (5000, len([t for t in range(0, 37000, 37) if 5000 <= t < 36964]))
+
+
 def test_complete_mode_marks_open_buckets(spark, times, tmp_path):
     out = str(tmp_path / "out")
     run_batches(

@@ -230,7 +230,7 @@ def filter_records(spark, sf_dir):
 
 def parse_log_time(spark, sf_dir):
     at = F.timestamp_add("SECOND", F.col("o_orderkey") % t.DAY, F.col("o_orderdate"))
-    text = F.when(F.col("o_orderpriority") == "5-LOW", "not a time").otherwise(F.date_format(at, "yyyy/MM/dd HH:mm:ss"))
+    text = F.when(F.col("o_orderpriority") == "5-LOW", "not a time").otherwise(t.slashed(at))
     logs = t.table(spark, sf_dir, "orders").select("o_orderkey", make_contents([("at", text)]).alias("contents"))
     return collect.parse_log_time(logs, "at", "%Y/%m/%d %H:%M:%S").select("o_orderkey", "time")
 

@@ -100,11 +100,15 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("file_path", F.floor(F.col("line_id") / BLOCK_LINES).alias("block_start"), "line", "line_id")
 
 
+def slashed(ts):
+    """A TIMESTAMP_NTZ as %Y/%m/%d %H:%M:%S, whatever the session time zone."""
+    return F.translate(ts.cast("string"), "-", "/")
+
+
 def write_document_files(spark: SparkSession, sf_dir: str) -> str:
     """Documents as log files with a header line each; those of one source have an unusable time."""
     path = scratch_path(spark, "files")
-    at = F.date_format(F.timestamp_add("SECOND", F.col("doc_id") * 60, F.lit("2024-01-01").cast("timestamp_ntz")),
-                       "yyyy/MM/dd HH:mm:ss")
+    at = slashed(F.timestamp_add("SECOND", F.col("doc_id") * 60, _at(JAN_1)))
     stamp = F.when(F.col("source") == "src3", "no time").otherwise(at)
     record = F.concat(F.lit("["), stamp, F.lit("] doc="), F.col("doc_id").cast("string"), F.lit(" lang="),
                       F.col("lang"), F.lit("\n"), F.col("text"))
