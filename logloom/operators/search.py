@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logloom.functions.fields import field_map
 from logloom.functions.times import floor_to, utc_day
 from logloom.model import COMPLETE
+from logloom.operators.ingest import flatten_log_groups
 
 
 def scan_logs(logs: DataFrame, from_time: int, to_time: int, topic: str = "") -> DataFrame:
@@ -23,6 +24,18 @@ def scan_logs(logs: DataFrame, from_time: int, to_time: int, topic: str = "") ->
     return hits.filter(F.col("topic") == topic) if topic else hits
 
 
+def scan_groups(groups: DataFrame, from_time: int, to_time: int, topic: str = "") -> DataFrame:
+    """`scan_logs` on stored groups, flattened. Groups outside the range or topic are skipped by their
+    own columns, which the scan of the store checks per file and row group before any log is read."""
+    near = groups.filter(
+        F.col("date").between(utc_day(from_time), utc_day(to_time - 1))
+        & (F.col("max_time") >= from_time) & (F.col("min_time") < to_time)
+    )
+    if topic:
+        near = near.filter(F.col("topic") == topic)
+    return scan_logs(flatten_log_groups(near), from_time, to_time)
+
+
 def find_logs(logs: DataFrame, from_time: int, to_time: int, topic: str = "",
               predicate: Column | None = None) -> DataFrame:
     """All hits of a search, unordered: the form to export or to aggregate."""

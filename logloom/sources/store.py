@@ -109,8 +109,11 @@ def read_line_index(spark: SparkSession, path: str) -> DataFrame:
 def drop_expired(spark: SparkSession, path: str, ttl: int, as_of: int) -> list[str]:
     """Delete the days of a store whose last second has passed the retention; returns them.
 
-    Works on directories only, one per day; no log is read.
+    Works on directories only, one per day; no log is read. A stream keeps its own list of files, so
+    its paths are refused.
     """
+    if written_by_stream(spark, path):
+        raise ValueError(f"{path} is written by a stream, whose log lists the files to delete")
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

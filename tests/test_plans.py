@@ -12,7 +12,7 @@ from workload import tables
 
 SF = "/root/testdata/sf0.001"
 # these write a table or run a stream before they return
-WRITERS = {"put_logs", "put_logs_stream", "tail_logs", "live_histograms", "lookup_term", "read_log_files",
+WRITERS = {"put_logs", "scan_groups", "put_logs_stream", "tail_logs", "live_histograms", "lookup_term", "read_log_files",
            "collect_logs", "collect_logs_stream"}
 
 

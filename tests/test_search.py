@@ -8,13 +8,23 @@ from logloom.functions.fields import key_compare, term_match
 from logloom.model import Index, IndexKey, IndexLine
 from logloom.operators.index import build_index, build_key_index, build_line_index, lookup_term
 from logloom.operators.ingest import flatten_log_groups
-from logloom.operators.search import find_logs, get_histograms, get_logs, histogram_total, scan_logs
+from logloom.operators.search import find_logs, get_histograms, get_logs, histogram_total, scan_groups, scan_logs
 from logloom.sources.store import put_logs, read_groups, read_line_index, write_line_index
 
 LINE = IndexLine((",", ":", " "))
 BEGIN = 1_700_000_000
 
 
+def plan_of(frame):
+    spark = frame.sparkSession
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    try:
+        spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+        return frame._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", before)
+
+
 @pytest.fixture(scope="module")
 def logs(spark):
     """Ten batches of numbered values, some logs in the same second."""
@@ -87,6 +97,10 @@ def test_a_stored_scan_skips_days(spark, tmp_path):
     path = str(tmp_path / "s")
     put_logs(groups_frame(spark, [("t", "s", None, [(d * 86400 + 5, [("k", "v")])]) for d in range(4)]), path)
     stored = flatten_log_groups(read_groups(spark, path))
+    near = plan_of(scan_groups(read_groups(spark, path), 86400 + 3, 86400 + 9, "t"))
+    assert "GreaterThanOrEqual(max_time," in near and "LessThan(min_time," in near and "EqualTo(topic,t)" in near
+    assert scan_groups(read_groups(spark, path), 86400 + 3, 86400 + 9, "t").count() == 1
+    assert scan_groups(read_groups(spark, path), 86400 + 6, 86400 + 9).count() == 0
     hits = scan_logs(stored, 86400, 2 * 86400)
     plan = hits._jdf.queryExecution().toString()
     assert "date#" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]

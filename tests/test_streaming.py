@@ -7,7 +7,7 @@ from logloom.operators.ingest import pack_log_groups
 from logloom.plans.collecting import accepted, collect_logs
 from logloom.plans.scratch import scratch_path
 from logloom.sources.files import number_lines, read_log_files, stream_log_files
-from logloom.sources.store import put_logs, read_groups
+from logloom.sources.store import drop_expired, put_logs, read_groups
 from logloom.streaming.collecting import collect_stream
 from logloom.streaming.live import bucket_progress, live_histograms
 from logloom.streaming.runs import run_batches, run_to_files
@@ -55,6 +55,8 @@ def test_a_path_has_one_kind_of_writer(spark, tmp_path):
         put_logs(groups, by_stream)
     with pytest.raises(ValueError):
         put_logs_stream(stream, by_batch, str(tmp_path / "state2"))
+    with pytest.raises(ValueError):
+        drop_expired(spark, by_stream, 1, 10**9)
 
 
 @pytest.fixture

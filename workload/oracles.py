@@ -110,15 +110,17 @@ members AS (
   FROM nation JOIN supplier ON n_nationkey = s_nationkey
 )"""
 
-ORACLES: dict[str, str] = {
-    "pack_log_groups": f"""WITH {GROUPS}
-SELECT cursor, shard, topic, source, date, min_time, max_time, n_logs, raw_size, logs FROM grouped""",
-    "flatten_log_groups": f"""WITH {GROUPS}
+_FLAT = f"""WITH {GROUPS}
 SELECT g.cursor || '-' || lpad(CAST((rn - 1) % {MAX_LOGS} AS VARCHAR), 8, '0') AS log_id,
        s.time, s.topic, s.source, s.shard, s.value, s.k
 FROM sized s JOIN grouped g
   ON s.shard = g.shard AND s.topic = g.topic AND s.source = g.source AND s.day = g.day
-     AND (s.rn - 1) // {MAX_LOGS} = g.chunk""",
+     AND (s.rn - 1) // {MAX_LOGS} = g.chunk"""
+
+ORACLES: dict[str, str] = {
+    "pack_log_groups": f"""WITH {GROUPS}
+SELECT cursor, shard, topic, source, date, min_time, max_time, n_logs, raw_size, logs FROM grouped""",
+    "flatten_log_groups": _FLAT,
     "flatten_contents": f"""WITH {EVENTS}
 SELECT log_id, 0 AS position, 'value' AS key, value FROM ev
 UNION ALL SELECT log_id, 1 AS position, 'k' AS key, k AS value FROM ev""",
@@ -146,6 +148,8 @@ FROM ev WHERE time >= {JAN_15} GROUP BY topic""",
     "scan_logs": f"""WITH {EVENTS}
 SELECT log_id, time, topic, source, value, k FROM ev
 WHERE time >= {JAN_2} AND time < {JAN_2 + DAY} AND topic = 'error'""",
+    "scan_groups": f"""{_FLAT}
+WHERE s.time >= {JAN_2 + 1000} AND s.time < {JAN_2 + DAY // 2} AND s.topic = 'error'""",
     "term_match": _TERM,
     "key_term_match": f"""WITH {DOCUMENTS}
 SELECT log_id, time FROM docs

@@ -127,6 +127,14 @@ def scan_logs(spark, sf_dir):
     return _values(hits, "log_id", "time", "topic", "source")
 
 
+def scan_groups(spark, sf_dir):
+    """The same from a store."""
+    path = scratch_path(spark, "store")
+    store.put_logs(t.event_groups(spark, sf_dir), path)
+    hits = search.scan_groups(store.read_groups(spark, path), t.JAN_2 + 1000, t.JAN_2 + t.DAY // 2, "error")
+    return _values(hits, "log_id", "time", "topic", "source", "shard")
+
+
 def term_match_query(spark, sf_dir):
     hits = t.documents_as_logs(spark, sf_dir).filter(term_match("The", LINE))
     return hits.select("log_id", "time", "topic", "source")
@@ -336,6 +344,7 @@ QUERIES: dict[str, Query] = {
     "next_cursors": next_cursors,
     "tail_logs": tail_logs,
     "scan_logs": scan_logs,
+    "scan_groups": scan_groups,
     "term_match": term_match_query,
     "key_term_match": key_term_match_query,
     "key_compare": key_compare_query,
