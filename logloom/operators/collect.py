@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from logloom.functions.fields import field
 from logloom.functions.times import parse_seconds
 from logloom.model import TOPIC_DEFAULT, TOPIC_GROUP, TOPIC_NONE
+from logloom.plans.once import with_once
 
 _BLOCK = ["file_path", "block_start"]
 _PART = ["file_path", "record", "part"]
@@ -145,7 +146,7 @@ def extract_fields(records: DataFrame, regex: str, keys: Sequence[str], body: st
     pairs = F.array(*[
         F.struct(F.lit(k).alias("key"), F.get("groups", F.lit(n)).alias("value")) for n, k in enumerate(keys, 1)
     ])
-    return records.withColumn("groups", groups).withColumns({
+    return with_once(records, "groups", groups).withColumns({
         "contents": F.when(matched, pairs),
         "reject_reason": F.when(~matched, "extraction regex does not match"),
     }).drop("groups")
@@ -176,7 +177,7 @@ def parse_log_time(logs: DataFrame, time_key: str, time_format: str, ingest_time
         return logs.withColumn("time", F.lit(ingest_time).cast("bigint"))
     if not time_key:
         raise ValueError("a time format needs the key that holds the time")
-    return logs.withColumn("time", parse_seconds(field(time_key), time_format, zone))
+    return with_once(logs, "time", parse_seconds(field(time_key), time_format, zone))
 
 
 def derive_topic(logs: DataFrame, topic_format: str, path: str = "file_path",
