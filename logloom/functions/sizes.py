@@ -1,50 +1,54 @@
 """Encoded size of logs and groups in bytes, the volume a store is metered by.
 
-Every field costs one tag byte, the length of its length in 7-bit digits, and its bytes.
+Every field costs one tag byte, the length of its length in 7-bit digits, and its bytes. The formulas
+are nested over logs and contents, so they are put together as SQL text; arguments are names of
+columns or SQL expressions.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def varint_size(n: Column) -> Column:
-    """Number of 7-bit digits of a non-negative number, at least one."""
-    return reduce(
-        lambda rest, digits: F.when(n < F.lit(1 << (7 * digits)), F.lit(digits)).otherwise(rest),
-        range(8, 0, -1),
-        F.lit(9),
-    ).cast("bigint")
+def _digits(n: str) -> str:
+    steps = " ".join(f"WHEN {n} < {1 << (7 * d)} THEN {d}" for d in range(1, 9))
+    return f"(CASE {steps} ELSE 9 END)"
+
+
+def _framed(length: str) -> str:
+    return f"(1L + {_digits(length)} + {length})"
 
 
-def _framed(length: Column) -> Column:
-    return F.lit(1) + varint_size(length) + length
+def _text(value: str) -> str:
+    return _framed(f"octet_length({value})")
 
 
-def _total(sizes: Column) -> Column:
-    return F.aggregate(sizes, F.lit(0).cast("bigint"), lambda acc, n: acc + _framed(n))
+def _total(sizes: str) -> str:
+    return f"aggregate({sizes}, 0L, (total, n) -> total + {_framed('n')})"
 
 
-def _text(value: Column) -> Column:
-    return _framed(F.octet_length(value).cast("bigint"))
+def _log(time: str, contents: str) -> str:
+    content = f"{_text('c.key')} + {_text('c.value')}"
+    return f"(1L + {_digits(time)} + {_total(f'transform({contents}, c -> {content})')})"
+
+
+def varint_size(n: str) -> Column:
+    """Number of 7-bit digits of a non-negative number, at least one."""
+    return F.expr(_digits(n))
 
 
-def log_size(time: Column, contents: Column) -> Column:
+def log_size(time: str, contents: str) -> Column:
     """Size of one log."""
-    return F.lit(1) + varint_size(time) + _total(
-        F.transform(contents, lambda c: _text(c["key"]) + _text(c["value"]))
-    )
+    return F.expr(_log(time, contents))
 
 
-def group_size(logs: Column, *texts: Column) -> Column:
+def group_size(logs: str, *texts: str) -> Column:
     """Size of a group: its logs plus every optional text that is set (empty counts, NULL does not)."""
-    size = _total(F.transform(logs, lambda l: log_size(l["time"], l["contents"])))
-    return reduce(lambda s, t: s + F.coalesce(_text(t), F.lit(0)), texts, size)
+    sizes = f"transform({logs}, l -> {_log('l.time', 'l.contents')})"
+    return F.expr(" + ".join([_total(sizes), *[f"coalesce({_text(t)}, 0L)" for t in texts]]))
 
 
-def list_size(group: Column) -> Column:
+def list_size(group: str) -> Column:
     """What a group of that size adds to a list of groups."""
-    return _framed(group)
+    return F.expr(_framed(group))

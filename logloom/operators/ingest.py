@@ -70,7 +70,7 @@ def describe_groups(groups: DataFrame, cursor: Column, extra: Sequence[str] = ()
         F.array_min(times).alias("min_time"),
         F.array_max(times).alias("max_time"),
         F.size("logs").alias("n_logs"),
-        group_size(F.col("logs"), F.col("reserved"), F.col("topic"), F.col("source")).alias("raw_size"),
+        group_size("logs", "reserved", "topic", "source").alias("raw_size"),
         "logs",
         utc_date(F.array_min(times)).alias("date"),
         "shard",

@@ -22,11 +22,9 @@ DAY = 86_400
 def test_known_sizes(spark):
     """The sizes of one recorded group: content 22, log 30, group 50, list 52."""
     frame = groups_frame(spark, [("", "10.230.201.117", None, [(1405409656, [("TestKey", "TestContent")])])])
-    group = group_size(F.col("logs"), F.col("reserved"), F.col("topic"), F.col("source"))
-    log = F.col("logs")[0]
-    row = frame.select(
-        log_size(log["time"], log["contents"]).alias("log"), group.alias("group"), list_size(group).alias("list"),
-        group_size(F.col("logs"), F.col("reserved"), F.lit(None).cast("string"), F.col("source")).alias("no_topic"),
+    row = frame.withColumn("group", group_size("logs", "reserved", "topic", "source")).select(
+        log_size("logs[0].time", "logs[0].contents").alias("log"), "group", list_size("group").alias("list"),
+        group_size("logs", "reserved", "cast(null as string)", "source").alias("no_topic"),
     ).first()
     assert (row["log"], row["group"], row["list"], row["no_topic"]) == (30, 50, 52, 48)
 
@@ -34,7 +32,7 @@ def test_known_sizes(spark):
 def test_varint_size(spark):
     numbers = [0, 1, 127, 128, 16383, 16384, 2**28 - 1, 2**28, 2**32 - 1, 2**56]
     frame = spark.createDataFrame([(n,) for n in numbers], "n bigint")
-    got = [r.s for r in frame.select(varint_size(F.col("n")).alias("s")).collect()]
+    got = [r.s for r in frame.select(varint_size("n").alias("s")).collect()]
     assert got == [max(1, -(-n.bit_length() // 7)) for n in numbers]
 
 
