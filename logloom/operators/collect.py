@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -135,12 +136,22 @@ def _groups(body: Column, regex: str, n: int) -> Column:
     return F.when(F.contains(body, F.lit(_SEPARATOR)), one_by_one).otherwise(F.split(written, _SEPARATOR))
 
 
+def _count_groups(regex: str) -> int | None:
+    """Number of capture groups, where Python reads the regex too."""
+    try:
+        return re.compile(regex).groups
+    except re.error:
+        return None
+
+
 def extract_fields(records: DataFrame, regex: str, keys: Sequence[str], body: str = "body") -> DataFrame:
     """Add `contents` with one entry per key from the capture groups of a full match, and
     `reject_reason` where the body does not match (its contents are NULL). Without a regex the whole
     body is the value of the only key."""
     if not keys or (not regex and len(keys) != 1):
         raise ValueError("keys must name the capture groups, or the whole body where there is no regex")
+    if regex and (n_groups := _count_groups(regex)) is not None and n_groups < len(keys):
+        raise ValueError(f"{len(keys)} keys, but the regex has {n_groups} capture groups")
     groups = _groups(F.col(body), regex, len(keys)) if regex else F.array(F.lit(""), F.col(body))
     matched = F.coalesce(F.size("groups") == len(keys) + 1, F.lit(False))
     pairs = F.array(*[

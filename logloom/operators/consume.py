@@ -63,7 +63,8 @@ def pull_logs(groups: DataFrame, ranges: Sequence[ShardRange], max_groups: int)
     `end_cursor`, in cursor order (`place` counts from 1).
 
     The ranges become filters on shard, day and cursor, which skip partitions and row groups; tasks
-    then keep only their own first groups of a shard before anything is shuffled.
+    then keep only their own first groups of a shard before anything is shuffled. An end, for which
+    `cursor_at` of a time serves as well, keeps a step from looking at all the days that follow.
     """
     if not ranges:
         raise ValueError("pull_logs needs at least one shard")

@@ -11,7 +11,7 @@ _LINE = "value string"
 def plain_path(uri: Column) -> Column:
     """Path of a file URI, without scheme and host and with its escapes resolved."""
     path = F.regexp_replace(uri, r"\A[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
 
 
 def _located(lines: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logloom.functions.times import utc_day
 from logloom.model import GROUPS_SCHEMA
 from logloom.operators.ingest import flatten_log_groups
 from logloom.sources.store import valid_groups, written_by_batch
@@ -26,5 +27,9 @@ def tail_logs(spark: SparkSession, path: str, max_files: int | None = None,
     reader = spark.readStream.schema(GROUPS_SCHEMA)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    logs = flatten_log_groups(reader.parquet(path))
-    return logs if start_time is None else logs.filter(F.col("time") >= start_time)
+    groups = reader.parquet(path)
+    if start_time is None:
+        return flatten_log_groups(groups)
+    # whole groups first, by the columns that the scan can skip files and row groups by
+    late = groups.filter((F.col("date") >= utc_day(start_time)) & (F.col("max_time") >= start_time))
+    return flatten_log_groups(late).filter(F.col("time") >= start_time)

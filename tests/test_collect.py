@@ -93,9 +93,9 @@ def test_files_are_read_whole_and_in_order_across_splits(spark, tmp_path, split_
 
 
 def test_paths_lose_scheme_and_escapes(spark):
-    uris = ["file:///var/log/a%20b+c.LOG", "hdfs://host:8020/x/y", "/plain"]
+    uris = ["file:///var/log/a%20b+c.LOG", "hdfs://host:8020/x/y", "/plain", "/100%"]
     frame = spark.createDataFrame([(u,) for u in uris], "u string")
-    assert [r.p for r in frame.select(plain_path(F.col("u")).alias("p")).collect()] == ["/var/log/a b+c.LOG", "/x/y", "/plain"]
+    assert [r.p for r in frame.select(plain_path(F.col("u")).alias("p")).collect()] == ["/var/log/a b+c.LOG", "/x/y", "/plain", "/100%"]
 
 
 def bodies(spark, *texts):
@@ -127,8 +127,9 @@ def test_a_body_with_the_internal_separator(spark):
 def test_no_regex_is_one_field(spark):
     frame = extract_fields(bodies(spark, "a\nb"), "", ["message"])
     assert [tuple(c) for c in frame.first().contents] == [("message", "a\nb")]
-    with pytest.raises(ValueError):
-        extract_fields(bodies(spark, "a"), "", ["one", "two"])
+    for regex, keys in (("", ["one", "two"]), ("(a)", ["one", "two"]), ("(a)", [])):
+        with pytest.raises(ValueError):
+            extract_fields(bodies(spark, "a"), regex, keys)
 
 
 def test_filters(spark):

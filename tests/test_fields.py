@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +102,21 @@ def test_numbers_compare_by_value(spark, value, key_type, matches):
 def test_unknown_comparison(spark):
     with pytest.raises(ValueError):
         key_compare("n", "!=", 4)
+
+
+@pytest.mark.parametrize("delimiters", [(",",), COMMON, ("|", "\\", "$", "^"), ("ab", "a"), ("--", "-"), ("\n", "é"), ("X",)])
+@pytest.mark.parametrize("case_sensitive", [False, True])
+def test_tokens_and_terms_are_those_of_a_plain_split(spark, delimiters, case_sensitive):
+    rng = random.Random(len(delimiters))
+    alphabet = "aAbxX,: |\\$^-\n\u00e9."
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(12))) for _ in range(300)]
+    splitter = "|".join(re.escape(d) for d in sorted(delimiters, key=len, reverse=True))
+    fold = (lambda t: t) if case_sensitive else str.lower
+    expected = [[fold(t) for t in re.split(splitter, text) if t] for text in texts]
+    terms = ["a", "A", "x", "bx", ".", "X", "a.", "\n"]
+    frame = values(spark, *texts).select(
+        tokens(F.col("v"), delimiters, case_sensitive).alias("t"),
+        *[has_token(F.col("v"), term, delimiters, case_sensitive).alias(f"h{n}") for n, term in enumerate(terms)])
+    for row, want in zip(frame.collect(), expected):
+        assert row.t == want
+        assert [row[f"h{n}"] for n in range(len(terms))] == [fold(term) in want for term in terms]

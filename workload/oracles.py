@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.tables import BLOCK_LINES, DAY, JAN_1, JAN_2, JAN_15, JAN_31, MAX_LOGS  # noqa: F401
+from workload.tables import DAY, JAN_1, JAN_2, JAN_15, JAN_31, MAX_LOGS
 
 EVENTS = f"""
 ev AS (
