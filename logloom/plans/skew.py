@@ -25,6 +25,7 @@ class Heat:
 
 
 DEFAULT_HEAT = Heat()
+_SALT = "_salt"
 
 
 def _heavy_name(key: str) -> str:
@@ -61,6 +62,6 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     hot = F.col("heavy_rows").isNotNull()
     salt = F.when(hot, F.pmod(F.xxhash64(*spread), F.lit(heat.salts))).otherwise(0)
     salts = F.when(hot, F.sequence(F.lit(0), F.lit(heat.salts - 1))).otherwise(F.array(F.lit(0)))
-    left = left.join(heavy, is_heavy(keys), "left").withColumn("salt", salt.cast("int")).drop(*heavy.columns)
-    right = right.join(heavy, is_heavy(keys), "left").withColumn("salt", F.explode(salts)).drop(*heavy.columns)
-    return left.join(right, [*keys, "salt"], how).drop("salt")
+    left = left.join(heavy, is_heavy(keys), "left").withColumn(_SALT, salt.cast("int")).drop(*heavy.columns)
+    right = right.join(heavy, is_heavy(keys), "left").withColumn(_SALT, F.explode(salts)).drop(*heavy.columns)
+    return left.join(right, [*keys, _SALT], how).drop(_SALT)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logloom.functions.cursors import make_cursor
-from logloom.functions.times import floor_to, utc_day
+from logloom.functions.times import floor_to
 from logloom.model import GROUPS_SCHEMA, POSTINGS_SCHEMA
 from logloom.operators.index import token_bucket
 from logloom.operators.ingest import check_groups, describe_groups, first_second, split_days
@@ -15,10 +17,15 @@ from logloom.operators.ingest import check_groups, describe_groups, first_second
 _DAY = 86_400
 
 
+def _folder(spark: SparkSession, path: str):
+    """Hadoop path and file system of a folder."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _holds(spark: SparkSession, path: str, name: str) -> bool:
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = files.Path(path)
-    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(files.Path(root, name))
+    root, fs = _folder(spark, f"{path.rstrip('/')}/{name}")
+    return fs.exists(root)
 
 
 def written_by_stream(spark: SparkSession, path: str) -> bool:
@@ -114,10 +121,8 @@ def drop_expired(spark: SparkSession, path: str, ttl: int, as_of: int) -> list[s
     """
     if written_by_stream(spark, path):
         raise ValueError(f"{path} is written by a stream, whose log lists the files to delete")
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    first_kept = spark.range(1).select(utc_day(as_of - ttl * _DAY).cast("string")).first()[0]
+    root, fs = _folder(spark, path)
+    first_kept = dt.datetime.fromtimestamp(as_of - ttl * _DAY, dt.timezone.utc).date().isoformat()
     dropped = []
     for status in fs.listStatus(root):
         name = status.getPath().getName()
