@@ -10,14 +10,25 @@ from pyspark.sql import SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
+def _base(spark: SparkSession) -> str | None:
+    return (
+        spark.conf.get(_SETTING, None)
+        or spark.sparkContext.getConf().get(_SETTING)
+        or spark.sparkContext.getCheckpointDir()
+    )
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder the cluster names in `spark.checkpoint.dir`.
-
-    A machine-local folder serves only a session that runs on this one machine.
-    """
-    base = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if base:
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    """A fresh path in the shared folder the cluster names in `spark.checkpoint.dir`, or that the job has
+    set as its checkpoint folder."""
+    base = _base(spark)
+    if not base:
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    return tempfile.mkdtemp(prefix=f"run-{name}-") + "/data"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def use_local_scratch(spark: SparkSession) -> None:
+    """Give a session on one machine a checkpoint folder of its own where it has none, as in tests."""
+    if not _base(spark) and spark.sparkContext.master.startswith(("local[", "local")) \
+            and not spark.sparkContext.master.startswith("local-cluster"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
