@@ -9,7 +9,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from logloom.llm import block_anchors, host_rules, pii_crf, simhash_index
 from logloom.llm.curve_packing import pack_along_curve
 from logloom.llm.piece_tokens import encode_pieces
 from logloom.llm.token_files import read_token_files, write_token_files
@@ -23,6 +25,15 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_host_rules(spark, sf_dir):
+    judged = host_rules.host_quality(_documents(spark, sf_dir), with_text=False)
+    return judged.select("doc_id", *host_rules.MEASURES, "base_failed", "kept", "host_failed")
+
+
+def op2_block_anchors(spark, sf_dir):
+    return block_anchors.repeat_digests(_documents(spark, sf_dir))
+
+
 def op3_token_files(spark, sf_dir):
     path = scratch_path(spark, "tokens")
     write_token_files(_documents(spark, sf_dir), path, BYTE_TOKENIZER)
@@ -33,13 +44,26 @@ def op4_curve_packing(spark, sf_dir):
     return pack_along_curve(_documents(spark, sf_dir), BYTE_TOKENIZER, with_ids=False)
 
 
+def op5_simhash_index(spark, sf_dir):
+    found = simhash_index.near_duplicates(_documents(spark, sf_dir))
+    return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
 def op6_piece_tokens(spark, sf_dir):
     return encode_pieces(_documents(spark, sf_dir), PIECE_MODEL, digests=True)
 
 
+def op8_pii_crf(spark, sf_dir):
+    return pii_crf.find_personal_data(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_host_rules": op1_host_rules,
+    "op2_block_anchors": op2_block_anchors,
     "op3_token_files": op3_token_files,
     "op4_curve_packing": op4_curve_packing,
+    "op5_simhash_index": op5_simhash_index,
     "op6_piece_tokens": op6_piece_tokens,
+    "op8_pii_crf": op8_pii_crf,
 }
 ORACLES: dict[str, str] = {}
