@@ -126,13 +126,13 @@ def with_answers(docs: DataFrame, answers: list[DataFrame], use, schema) -> Data
     """`use(documents of a chunk, its answers of every round)` for every chunk; a chunk without answers
     gets empty ones."""
     rounds = [a.select("chunk", F.lit(n).alias("round"), "bucket", "bits") for n, a in enumerate(answers)]
-    replies = rounds[0]
+    replies, n_rounds = rounds[0], len(rounds)
     for more in rounds[1:]:
         replies = replies.unionByName(more)
 
     def merged(left: pa.Table, right: pa.Table) -> pa.Table:
         numbers = right["round"].to_numpy() if right.num_rows else np.zeros(0, np.int64)
-        return use(in_order(left), [right.filter(pa.array(numbers == n)) for n in range(len(answers))])
+        return use(in_order(left), [right.filter(pa.array(numbers == n)) for n in range(n_rounds)])
 
     return docs.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(merged, schema)
 
