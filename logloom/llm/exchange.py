@@ -53,12 +53,17 @@ def in_order(table: pa.Table) -> pa.Table:
 class Requests:
     """Rows of one chunk: its distinct hashes by bucket."""
 
-    def __init__(self, chunk: int, hashes: np.ndarray, buckets: np.ndarray, n_buckets: int):
-        """`hashes` may be narrowed to what a bucket needs; `buckets` are those of the hashes."""
-        order = np.lexsort((hashes, buckets))
+    def __init__(self, chunk: int, hashes: np.ndarray, buckets: np.ndarray, n_buckets: int,
+                 also: np.ndarray | None = None):
+        """`hashes` may be narrowed to what a bucket needs; `buckets` are those of the hashes. With `also`,
+        pairs of a hash and its value there are told apart."""
+        order = np.lexsort((hashes, buckets) if also is None else (also, hashes, buckets))
         new = np.ones(len(order), dtype=bool)
         h, b = hashes[order], buckets[order]
         new[1:] = (h[1:] != h[:-1]) | (b[1:] != b[:-1])
+        if also is not None:
+            new[1:] |= also[order][1:] != also[order][:-1]
+            self.also = also[order][new]
         self.chunk, self.hashes, self.buckets = chunk, h[new], b[new]
         self.example = order[new]  # an occurrence of each distinct hash: the first, as the order is stable
         self.number = np.empty(len(order), dtype=np.int64)
@@ -79,13 +84,14 @@ class Requests:
             "extra": pa.array([extra(s) for s in spans], pa.binary()),
         })
 
-    def answers(self, replies: pa.Table) -> np.ndarray:
-        """The bit of every distinct hash."""
-        bits = np.zeros(len(self.hashes), dtype=bool)
+    def answers(self, replies: pa.Table, width: int = 1) -> np.ndarray:
+        """The bit of every distinct hash; with a `width` above one, as many rows of bits."""
+        bits = np.zeros((width, len(self.hashes)), dtype=bool)
         for bucket, packed in zip(replies["bucket"].to_pylist(), replies["bits"].to_pylist(), strict=True):
             span = slice(int(self.edges[bucket]), int(self.edges[bucket + 1]))
-            bits[span] = unpack_bits(packed, span.stop - span.start)
-        return bits
+            n = span.stop - span.start
+            bits[:, span] = unpack_bits(packed, width * n).reshape(width, n)
+        return bits[0] if width == 1 else bits
 
 
 class Bucket:
@@ -109,17 +115,20 @@ class Bucket:
         return np.add.reduceat(values[self.order].astype(np.int64), self.firsts)[self.group]
 
     def replies(self, bits: np.ndarray) -> pa.Table:
+        """One row per request; `bits` may have several rows, which follow each other."""
+        bits = np.atleast_2d(bits)
         edges = np.concatenate([[0], np.cumsum(self.n)])
         return pa.table({
             "chunk": pa.array(self.chunks, pa.int64()),
             "bucket": pa.array(np.full(len(self.n), self.bucket), pa.int64()),
-            "bits": pa.array([pack_bits(bits[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary()),
+            "bits": pa.array([pack_bits(bits[:, a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary()),
         })
 
 
 def ask(requests: DataFrame, resolve: Callable[[pa.Table], pa.Table]) -> DataFrame:
-    """Answers of all buckets."""
-    return requests.groupBy("bucket").applyInArrow(resolve, REPLIES)
+    """Answers of all buckets. Rows reach `resolve` in the order of chunks, so that a bucket answers alike
+    however often, and wherever, Spark computes it."""
+    return requests.groupBy("bucket").applyInArrow(lambda t: resolve(t.combine_chunks().sort_by("chunk")), REPLIES)
 
 
 def with_answers(docs: DataFrame, answers: list[DataFrame], use, schema) -> DataFrame:

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import block_anchors, host_rules, pii_crf, simhash_index
+from logloom.llm import block_anchors, collision_index, host_rules, pii_crf, simhash_index, suffix_repeats, toxicity
 from logloom.llm.curve_packing import pack_along_curve
 from logloom.llm.piece_tokens import encode_pieces
 from logloom.llm.token_files import read_token_files, write_token_files
@@ -53,10 +53,24 @@ def op6_piece_tokens(spark, sf_dir):
     return encode_pieces(_documents(spark, sf_dir), PIECE_MODEL, digests=True)
 
 
+def op7_suffix_repeats(spark, sf_dir):
+    return suffix_repeats.suffix_digests(_documents(spark, sf_dir))
+
+
 def op8_pii_crf(spark, sf_dir):
     return pii_crf.find_personal_data(_documents(spark, sf_dir))
 
 
+def op9_collision_index(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return collision_index.nearest(rows, F.col("vec_id") % 100 == 0)
+
+
+def op10_toxicity(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_rules": op1_host_rules,
     "op2_block_anchors": op2_block_anchors,
@@ -64,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_curve_packing": op4_curve_packing,
     "op5_simhash_index": op5_simhash_index,
     "op6_piece_tokens": op6_piece_tokens,
+    "op7_suffix_repeats": op7_suffix_repeats,
     "op8_pii_crf": op8_pii_crf,
+    "op9_collision_index": op9_collision_index,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {}
