@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from logloom.llm import block_anchors, collision_index, host_rules, pii_crf, simhash_index, suffix_repeats, toxicity
 from logloom.llm.curve_packing import pack_along_curve
 from logloom.llm.piece_tokens import encode_pieces
+from logloom.llm.sql import ORACLES
 from logloom.llm.token_files import read_token_files, write_token_files
 from logloom.plans.scratch import scratch_path
 
@@ -83,4 +84,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_collision_index": op9_collision_index,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
