@@ -5,7 +5,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -23,10 +25,10 @@ def rows(names, records):
     return sorted((tuple(r[i] for i in order) for r in records), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    frame = queries()[name](spark, SF)
-    result = duck.execute(oracle_sql()[name])
+    frame = QUERIES[name](spark, SF)
+    result = duck.execute(ORACLES[name])
     expected_names = [d[0] for d in result.description]
     assert sorted(frame.columns) == sorted(expected_names)
     got = rows(frame.columns, [tuple(r) for r in frame.collect()])
@@ -37,7 +39,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
