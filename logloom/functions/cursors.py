@@ -1,7 +1,8 @@
-"""Cursors: sortable positions of groups within a shard.
+"""Cursors: sortable positions of groups within a shard, in the order in which groups arrive.
 
-A cursor is the group's first second, zero padded, and a fixed-width key of the group. Strings sort
-like (time, key), so a position never needs a dense numbering of the shard.
+A cursor is the second at which the group arrived, zero padded, and a fixed-width key of the group. What
+arrives later sorts later, whatever the times of its logs, so a reader that goes on behind the last
+cursor it has seen misses nothing. A position need not be the cursor of a group.
 """
 
 from __future__ import annotations
@@ -9,26 +10,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: sorts after every cursor, which start with a digit.
-END_CURSOR = "~"
+#: Position before all groups.
+FIRST = ""
+# Fixed value: sorts after every character of a cursor.
+_LAST = "~"
+_SECOND_WIDTH = 10
 
 
-def make_cursor(time: Column, identity: Column) -> Column:
-    """Cursor of a group from its first second and a value only this group has."""
-    return F.concat(F.lpad(time.cast("string"), 10, "0"), F.lit("-"), F.md5(identity))
+def make_cursor(arrival: Column, identity: Column) -> Column:
+    """Cursor of a group from the second of its arrival and a value only this group has."""
+    return F.concat(F.lpad(arrival.cast("bigint").cast("string"), _SECOND_WIDTH, "0"), F.lit("-"), F.md5(identity))
 
 
-def cursor_second(cursor: str) -> int | None:
-    """Second at the head of a cursor; None for a position that carries none."""
-    head = cursor[:10]
-    return int(head) if len(head) == 10 and head.isdigit() else None
+def with_arrival(cursor: Column, arrival: Column) -> Column:
+    """The cursor of the same group at another arrival."""
+    return F.concat(
+        F.lpad(arrival.cast("bigint").cast("string"), _SECOND_WIDTH, "0"), F.substring(cursor, _SECOND_WIDTH + 1, 64))
+
+
+def part_of(cursor: Column, part: Column) -> Column:
+    """Cursor of a part that is cut off a group: the same arrival, a key of its own."""
+    return F.concat(F.substring(cursor, 1, _SECOND_WIDTH), F.lit("-"), F.md5(F.concat_ws("/", cursor, part)))
 
 
 def cursor_at(time: int) -> str:
-    """Smallest cursor a group of that second can have."""
+    """Position before all groups that arrive in that second or later."""
     return f"{time:010d}-"
 
 
 def after(cursor: Column) -> Column:
     """Smallest position behind a cursor; cursors share one width, so nothing lies between."""
-    return F.concat(cursor, F.lit(END_CURSOR))
+    return F.concat(cursor, F.lit(_LAST))

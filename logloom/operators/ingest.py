@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,35 +25,68 @@ def assign_shard(logs: DataFrame, n: int, key: str = "source") -> DataFrame:
     return logs.withColumn("shard", F.pmod(F.conv(digest, 16, 10).cast("bigint"), F.lit(n)).cast("int"))
 
 
-def pack_log_groups(logs: DataFrame, max_logs: int, window_s: int, heat: Heat = DEFAULT_HEAT) -> DataFrame:
+def pack_log_groups(logs: DataFrame, max_logs: int, window_s: int, arrival: int | Column | None = None,
+                    heat: Heat = DEFAULT_HEAT) -> DataFrame:
     """Nest logs of one shard, topic, source, day and time window into groups of at most `max_logs`.
 
-    Groups fill up in the order of time and log id, after one shuffle of the logs. A window that
-    holds an outsized share of all logs is dealt to slices by the hash of the log id, as many as its
-    size asks for, and groups fill up per slice, so no task meets an unbounded window. Log ids must
-    be unique.
+    Groups fill up in the order of time, then of a hash of the log id; log ids must be unique. With an
+    `arrival`, a UNIX time or a column over the groups such as `max_time`, they get their cursors here;
+    otherwise `put_logs` gives them.
+
+    A window's logs meet in one task after one shuffle. Those of a window that holds an outsized share of
+    all logs are spread by second and hash; counts per second and hash tell where each such slot starts,
+    and the logs move once more, to their groups. Either way the groups are the same.
     """
+    identity = F.md5(F.coalesce(F.col("log_id"), F.lit("")))
     keyed = logs.select(
         "log_id", "time", "topic", "source", "reserved", "contents", "shard",
         utc_date(F.col("time")).alias("date"),
         floor_to(F.col("time"), window_s).alias("window"),
+        identity.alias("hash"),
     )
-    heavy = heavy_keys(keyed, _GROUP_KEY, heat)
-    slices = F.ceil(F.col("heavy_rows") / heat.min_rows)
-    sliced = keyed.join(F.broadcast(heavy), is_heavy(_GROUP_KEY), "left").select(
-        *keyed.columns,
-        F.when(F.col("heavy_rows").isNotNull(), F.pmod(F.xxhash64("log_id"), slices)).otherwise(0).alias("slice"),
+    heavy = F.broadcast(heavy_keys(keyed, _GROUP_KEY, heat))
+    marked = keyed.join(heavy, is_heavy(_GROUP_KEY), "left").withColumn("hot", F.col("heavy_rows").isNotNull())
+    marked = marked.select(*keyed.columns, "hot")
+    rank = lambda *by: F.row_number().over(W.partitionBy(*by).orderBy("time", "hash", "log_id")) - 1
+    light = marked.filter(~F.col("hot")).withColumn("position", rank(*_GROUP_KEY))
+
+    # No more slots per window than its seconds times 256.
+    slot = [*_GROUP_KEY, "time", "slice"]
+    hot = marked.filter("hot").withColumn("slice", F.substring("hash", 1, 2))
+    earlier = W.partitionBy(*_GROUP_KEY).orderBy("time", "slice").rowsBetween(W.unboundedPreceding, -1)
+    starts = hot.groupBy(*slot).agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "start", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    same = reduce(Column.__and__, [F.col(f"l.{k}").eqNullSafe(F.col(f"s.{k}")) for k in slot])
+    spread = (
+        hot.withColumn("rank", rank(*slot)).alias("l").join(starts.alias("s"), same)
+        .select("l.*", (F.col("s.start") + F.col("l.rank")).alias("position")).drop("slice", "rank")
     )
-    in_order = W.partitionBy(*_GROUP_KEY, "slice").orderBy("time", "log_id")
-    packed = (
-        sliced.withColumn("chunk", F.floor((F.row_number().over(in_order) - 1) / max_logs))
-        .groupBy(*_GROUP_KEY, "slice", "chunk")
-        .agg(F.sort_array(F.collect_list(F.struct("time", "log_id", "contents"))).alias("sorted"))
+    packed = _packed(light, max_logs).unionByName(_packed(spread, max_logs))
+    return describe_groups(packed, None if arrival is None else make_cursor(_column(arrival), _identity()))
+
+
+def _packed(placed: DataFrame, max_logs: int) -> DataFrame:
+    log = F.struct("time", "hash", "log_id", "contents")
+    return (
+        placed.groupBy(*_GROUP_KEY, F.floor(F.col("position") / max_logs).alias("chunk"))
+        .agg(F.sort_array(F.collect_list(log)).alias("sorted"))
         .withColumn("first_id", F.col("sorted")[0]["log_id"])
         .withColumn("logs", F.transform(
             "sorted", lambda l: F.struct(l["time"].alias("time"), l["contents"].alias("contents"))))
+        .drop("sorted", "chunk")
     )
-    return describe_groups(packed, make_cursor(first_second(), F.col("first_id")))
+
+
+def _column(arrival: int | Column) -> Column:
+    return arrival if isinstance(arrival, Column) else F.lit(arrival)
+
+
+def _identity() -> Column:
+    """A value that no other packed group has: everything it is grouped by, and its first log. Texts go in
+    as hashes, so that none can imitate a separator."""
+    text = lambda c: F.coalesce(F.md5(c), F.lit("-"))
+    return F.concat_ws("/", F.col("shard").cast("string"), text("topic"), text("source"), text("reserved"),
+                       F.col("window").cast("string"), text("first_id"))
 
 
 def first_second(logs: str = "logs") -> Column:
@@ -60,21 +94,20 @@ def first_second(logs: str = "logs") -> Column:
     return F.array_min(F.transform(logs, lambda l: l["time"]))
 
 
-def describe_groups(groups: DataFrame, cursor: Column, extra: Sequence[str] = ()) -> DataFrame:
+def describe_groups(groups: DataFrame, cursor: Column | None, extra: Sequence[str] = ()) -> DataFrame:
     """Groups in stored form: cursor, time bounds, number of logs and encoded size from `logs`, and
-    the columns `extra` as they are."""
+    the columns `extra` as they are. The cursor may refer to all of these; there is none where it is None."""
     times = F.transform("logs", lambda l: l["time"])
-    return groups.select(
-        cursor.alias("cursor"),
-        "topic", "source", "reserved",
-        F.array_min(times).alias("min_time"),
-        F.array_max(times).alias("max_time"),
-        F.size("logs").alias("n_logs"),
-        group_size("logs", "reserved", "topic", "source").alias("raw_size"),
-        "logs",
-        utc_date(F.array_min(times)).alias("date"),
-        "shard",
-        *extra,
+    described = groups.withColumns({
+        "min_time": F.array_min(times),
+        "max_time": F.array_max(times),
+        "n_logs": F.size("logs"),
+        "raw_size": group_size("logs", "reserved", "topic", "source"),
+        "date": utc_date(F.array_min(times)),
+    })
+    return described.select(
+        *([] if cursor is None else [cursor.alias("cursor")]),
+        "topic", "source", "reserved", "min_time", "max_time", "n_logs", "raw_size", "logs", "date", "shard", *extra,
     )
 
 
@@ -114,15 +147,18 @@ def invalid_reason(logs: str = "logs") -> Column:
     half_content = F.exists(logs, lambda l: F.coalesce(
         F.exists(l["contents"], lambda c: c["key"].isNull() | c["value"].isNull()), F.lit(False)))
     return (
-        F.when(no_time, "log without time")
+        F.when(F.col(logs).isNull(), "group without logs")
+        .when(no_time, "log without time")
         .when(bad_time, "time out of range")
         .when(half_content, "content without key or value")
     )
 
 
 def check_groups(groups: DataFrame) -> DataFrame:
-    """Non-empty groups with a `reject_reason` column. Empty groups are valid and hold nothing."""
-    return groups.filter(F.size("logs") > 0).withColumn("reject_reason", invalid_reason())
+    """Groups with a `reject_reason` column. Empty groups are valid, hold nothing and are left out; a group
+    whose logs are NULL is not an empty one."""
+    kept = groups.filter(F.col("logs").isNull() | (F.size("logs") > 0))
+    return kept.withColumn("reject_reason", invalid_reason())
 
 
 def expire_logs(logs: DataFrame, store_ttl: int, as_of: int, index_ttl: int | None = None) -> DataFrame:

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logloom.functions.cursors import make_cursor
-from logloom.functions.times import floor_to
+from logloom.functions.cursors import make_cursor, part_of, with_arrival
+from logloom.functions.times import floor_to, utc_date
 from logloom.model import GROUPS_SCHEMA, POSTINGS_SCHEMA
 from logloom.operators.index import token_bucket
 from logloom.operators.ingest import check_groups, describe_groups, first_second, split_days
+from logloom.plans.scratch import scratch_path
 
 _DAY = 86_400
 
@@ -51,40 +53,52 @@ def _write(groups: DataFrame, path: str, mode: str) -> None:
     )
 
 
-def put_logs(groups: DataFrame, path: str, rejects_path: str | None = None, mode: str = "append") -> None:
+def put_logs(groups: DataFrame, path: str, rejects_path: str | None = None, mode: str = "append",
+             arrival: int | None = None) -> None:
     """Store groups. Empty ones write nothing; groups across midnight are cut there.
 
+    `arrival` is the UNIX time at which the groups arrive; their cursors start with it. Without it,
+    groups keep the cursors they have, and those without one arrive now. A follower of the store misses
+    nothing as long as arrivals never go back.
+
     Groups with a log without time, a time out of range, or a content without key or value go to
-    `rejects_path` with the reason, or fail the whole write where no such path is given. Groups that
-    have no cursor yet, raw ones, get one.
+    `rejects_path` with the reason, or fail the whole write where no such path is given. With rejects
+    the groups are judged once, into the scratch folder, from which first the rejects and then the valid
+    ones are written; the store itself is written last.
     """
     if written_by_stream(groups.sparkSession, path):
         raise ValueError(f"{path} is written by a stream; store the groups below another path")
     if rejects_path is None:
-        _write(valid_groups(groups), path, mode)
+        _write(valid_groups(groups, arrival), path, mode)
         return
-    checked = check_groups(groups)
-    checked.filter(F.col("reject_reason").isNotNull()).write.mode(mode).parquet(rejects_path)
-    _write(_stored_form(checked.filter(F.col("reject_reason").isNull())), path, mode)
+    checked = check_groups(groups).withColumn("valid", F.col("reject_reason").isNull())
+    judged = scratch_path(groups.sparkSession, "judged")
+    checked.write.partitionBy("valid").parquet(judged)
+    checked = groups.sparkSession.read.schema(checked.schema).parquet(judged)
+    checked.filter("not valid").drop("valid").write.mode(mode).parquet(rejects_path)
+    _write(_stored_form(checked.filter("valid").drop("valid"), arrival), path, mode)
 
 
-def valid_groups(groups: DataFrame) -> DataFrame:
+def valid_groups(groups: DataFrame, arrival: int | None = None) -> DataFrame:
     """Groups in stored form; the first invalid one fails the job."""
     failure = F.raise_error(F.concat(F.lit("invalid log group: "), F.col("reject_reason")))
     valid = F.when(F.col("reject_reason").isNotNull(), failure.cast("boolean")).otherwise(True)
-    return _stored_form(check_groups(groups).filter(valid))
+    return _stored_form(check_groups(groups).filter(valid), arrival)
 
 
-def _stored_form(groups: DataFrame) -> DataFrame:
+def _stored_form(groups: DataFrame, arrival: int | None = None) -> DataFrame:
     groups = groups.drop("reject_reason")
     extra = [c for c in groups.columns if c not in GROUPS_SCHEMA.names]
     if "cursor" not in groups.columns:
-        return describe_groups(split_days(groups), make_cursor(first_second(), F.expr("uuid()")), extra)
-    # The part that keeps the first second keeps the cursor, one cut off gets its own.
-    given = F.col("given_cursor")
-    keeps = F.substring(given, 1, 10) == F.lpad(first_second().cast("string"), 10, "0")
-    parts = split_days(groups.withColumnRenamed("cursor", "given_cursor"))
-    return describe_groups(parts, F.when(keeps, given).otherwise(make_cursor(first_second(), given)), extra)
+        came = F.lit(int(time.time()) if arrival is None else arrival)
+        return describe_groups(split_days(groups), make_cursor(came, F.expr("uuid()")), extra)
+    given = F.col("cursor") if arrival is None else with_arrival(F.col("cursor"), F.lit(arrival))
+    whole = groups.withColumn("given_cursor", given).drop("cursor").withColumn("first_day", utc_date(first_second()))
+    # The part of the first day keeps the cursor, one cut off gets its own.
+    day = utc_date(first_second())
+    cursor = F.when(day == F.col("first_day"), F.col("given_cursor")).otherwise(
+        part_of(F.col("given_cursor"), day.cast("string")))
+    return describe_groups(split_days(whole), cursor, extra)
 
 
 def read_groups(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:

@@ -39,19 +39,21 @@ def _text(column: str) -> str:
     return _framed(f"strlen({column})")
 
 
-# Groups of at most two logs per shard, topic, source and day, in order of time and id.
+# Groups of at most two logs per shard, topic, source and day, in order of time and hash of the id; a
+# group arrives with its newest log.
 GROUPS = EVENTS + f""",
 sized AS (
   SELECT *, 1 + {_digits('time')}
             + {_framed(f"({_framed('5')} + {_text('value')})")}
             + {_framed(f"({_framed('1')} + {_text('k')})")} AS log_size,
          time // {DAY} AS day,
-         row_number() OVER (PARTITION BY shard, topic, source, time // {DAY} ORDER BY time, log_id) AS rn
+         row_number() OVER (PARTITION BY shard, topic, source, time // {DAY} ORDER BY time, md5(log_id), log_id) AS rn
   FROM ev
 ),
 grouped AS (
   SELECT shard, topic, source, day, (rn - 1) // {MAX_LOGS} AS chunk,
-         lpad(CAST(min(time) AS VARCHAR), 10, '0') || '-' || md5(arg_min(log_id, rn)) AS cursor,
+         lpad(CAST(max(time) AS VARCHAR), 10, '0') || '-' || md5(concat_ws('/', CAST(shard AS VARCHAR), md5(topic),
+             md5(source), '-', CAST(day * {DAY} AS VARCHAR), md5(arg_min(log_id, rn)))) AS cursor,
          min(time) AS min_time, max(time) AS max_time, count(*) AS n_logs,
          CAST(sum({_framed('log_size')}) + {_text('any_value(topic)')} + {_text('any_value(source)')} AS BIGINT) AS raw_size,
          string_agg(CAST(time AS VARCHAR) || '/' || value || '/' || k, ',' ORDER BY rn) AS logs,
@@ -63,10 +65,16 @@ PULLED = GROUPS + f""",
 pulled AS (
   SELECT * FROM (
     SELECT *, CAST(row_number() OVER (PARTITION BY shard ORDER BY cursor) AS INTEGER) AS place
-    FROM grouped WHERE min_time >= {JAN_15}
+    FROM grouped WHERE cursor >= '{JAN_15:010d}-'
   ) WHERE place <= 10
 )"""
 
+
+def _arrived(time: int) -> str:
+    """First cursor of a shard at or after a time, or the time's smallest."""
+    return f"coalesce(min(cursor) FILTER (cursor >= '{time:010d}-'), '{time:010d}-')"
+
+
 LINES = """
 lines AS (
   SELECT '/var/log/' || source || '/' || lang || '/' || CAST(doc_id AS VARCHAR) || '.LOG' AS file_path,
@@ -127,26 +135,28 @@ UNION ALL SELECT log_id, 1 AS position, 'k' AS key, k AS value FROM ev""",
     "assign_shard": f"WITH {EVENTS} SELECT log_id, source, shard FROM ev",
     "put_logs": _PER_PARTITION,
     "put_logs_stream": _PER_PARTITION,
-    "expire_logs": f"WITH {EVENTS} SELECT log_id, time, topic FROM ev WHERE time >= {JAN_31} - 7 * 86400",
+    "expire_logs": f"SELECT log_id, time, topic FROM ({_FLAT}) WHERE time >= {JAN_31} - 7 * 86400",
     "meter_volume": f"""WITH {GROUPS}
 SELECT topic, source, count(*) AS n_groups, CAST(sum(n_logs) AS BIGINT) AS n_logs, CAST(sum(raw_size) AS BIGINT) AS bytes
 FROM grouped GROUP BY topic, source""",
     "list_shards": f"""WITH {GROUPS}
 SELECT shard, count(*) AS n_groups, min(cursor) AS first_cursor, max(cursor) AS last_cursor
-FROM grouped GROUP BY shard""",
+FROM grouped GROUP BY shard
+UNION ALL SELECT 4, 0, NULL, NULL""",
     "resolve_cursor": f"""WITH {GROUPS}
 SELECT shard, 'begin' AS position, min(cursor) AS cursor FROM grouped GROUP BY shard
-UNION ALL SELECT shard, 'end', '~' FROM grouped GROUP BY shard
-UNION ALL SELECT shard, '{JAN_15}', coalesce(min(cursor) FILTER (min_time >= {JAN_15}), '~') FROM grouped GROUP BY shard
-UNION ALL SELECT shard, '{JAN_31}', coalesce(min(cursor) FILTER (min_time >= {JAN_31}), '~') FROM grouped GROUP BY shard""",
+UNION ALL SELECT shard, 'end', max(cursor) || '~' FROM grouped GROUP BY shard
+UNION ALL SELECT shard, '{JAN_15}', {_arrived(JAN_15)} FROM grouped GROUP BY shard
+UNION ALL SELECT shard, '{JAN_31}', {_arrived(JAN_31)} FROM grouped GROUP BY shard
+UNION ALL SELECT 4, * FROM (VALUES ('begin', ''), ('end', ''), ('{JAN_15}', '{JAN_15:010d}-'), ('{JAN_31}', '{JAN_31:010d}-'))""",
     "pull_logs": f"WITH {PULLED} SELECT shard, place, cursor, topic, source, n_logs FROM pulled",
     "next_cursors": f"""WITH {PULLED}
-SELECT shard, count(*) AS n_groups, max(cursor) || '~' AS next_cursor FROM pulled GROUP BY shard""",
+SELECT shard AS range, shard, count(*) AS n_groups, max(cursor) || '~' AS next_cursor FROM pulled GROUP BY shard""",
+    "follow_shards": f"WITH {EVENTS} SELECT time, topic, source, shard, value, k FROM ev",
     "tail_logs": f"""WITH {EVENTS}
 SELECT topic, count(*) AS n_logs, min(time) AS first_time, max(time) AS last_time
 FROM ev WHERE time >= {JAN_15} GROUP BY topic""",
-    "scan_logs": f"""WITH {EVENTS}
-SELECT log_id, time, topic, source, value, k FROM ev
+    "scan_logs": f"""SELECT log_id, time, topic, source, value, k FROM ({_FLAT})
 WHERE time >= {JAN_2} AND time < {JAN_2 + DAY} AND topic = 'error'""",
     "scan_groups": f"""{_FLAT}
 WHERE s.time >= {JAN_2 + 1000} AND s.time < {JAN_2 + DAY // 2} AND s.topic = 'error'""",
@@ -156,9 +166,8 @@ SELECT log_id, time FROM docs
 WHERE topic = 'en' AND list_contains(regexp_split_to_array(lower(text), '[,: ]'), 'and')""",
     "key_compare": f"""WITH {EVENTS}
 SELECT log_id, time, value, k FROM ev WHERE {_NUMBER_K} > 50 AND TRY_CAST(value AS DOUBLE) >= 100""",
-    "get_logs": f"""WITH {EVENTS}
-SELECT log_id, time, topic, source, value, k FROM ev
-WHERE time >= {JAN_1} AND time < {JAN_31} AND {_NUMBER_K} > 10
+    "get_logs": f"""SELECT log_id, time, topic, source, value, k FROM ({_FLAT})
+WHERE time >= {JAN_2 + 40_000} AND time < {JAN_15 + 30_000} AND {_NUMBER_K} > 10
 ORDER BY time DESC, log_id DESC LIMIT 100 OFFSET 100""",
     "get_histograms": f"""WITH {EVENTS},
 buckets AS (SELECT unnest(range({JAN_2}, {JAN_2 + DAY - 100}, 3600)) AS lo)
@@ -168,7 +177,7 @@ FROM buckets LEFT JOIN ev
 GROUP BY lo""",
     "histogram_total": f"""WITH {EVENTS}
 SELECT count(*) AS count, 'Complete' AS progress FROM ev
-WHERE time >= {JAN_1} AND time < {JAN_31} AND {_NUMBER_K} <= 50""",
+WHERE time >= {JAN_2 + 40_000} AND time < {JAN_15 + 30_000} AND {_NUMBER_K} <= 50""",
     "live_histograms": f"""WITH {EVENTS}
 SELECT time // 3600 * 3600 AS "from", time // 3600 * 3600 + 3600 AS "to", count(*) AS count,
        CASE WHEN time // 3600 * 3600 + 3600 <= (SELECT max(time) FROM ev) - 600 THEN 'Complete' ELSE 'Incomplete' END AS progress

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ URL_REGEX = r"(https?)://([^/]+)/([a-z]+)/([0-9]+)\?page=([0-9]+).*"
 URL_KEYS = ("scheme", "host", "lang", "number", "page")
 PATH_TOPIC = "/var/log/([^/]*)/.*"
 LATENESS = 600
+#: A range of several days that starts and ends within one.
+MIDDAYS = (t.JAN_2 + 40_000, t.JAN_15 + 30_000)
 
 
 def _values(logs: DataFrame, *columns: str) -> DataFrame:
@@ -80,7 +83,7 @@ def put_logs_stream(spark, sf_dir):
 
 
 def expire_logs(spark, sf_dir):
-    kept = ingest.expire_logs(t.events_as_logs(spark, sf_dir, t.JAN_31 - 7 * t.DAY), 14, t.JAN_31, index_ttl=7)
+    kept = ingest.expire_logs(t.stored_events(spark, sf_dir), 14, t.JAN_31, index_ttl=7)
     return kept.select("log_id", "time", "topic")
 
 
@@ -91,23 +94,45 @@ def meter_volume(spark, sf_dir):
 # consume
 
 def list_shards(spark, sf_dir):
-    return consume.list_shards(t.event_groups(spark, sf_dir))
+    return consume.list_shards(t.event_groups(spark, sf_dir), t.SHARDS + 1)
 
 
 def resolve_cursor(spark, sf_dir):
-    return consume.resolve_cursor(t.event_groups(spark, sf_dir), ["begin", "end", t.JAN_15, t.JAN_31])
+    return consume.resolve_cursor(t.event_groups(spark, sf_dir), ["begin", "end", t.JAN_15, t.JAN_31], t.SHARDS + 1)
 
 
 def pull_logs(spark, sf_dir):
-    pulled = consume.pull_logs(t.event_groups(spark, sf_dir), RANGES, 10)
+    pulled = consume.pull_logs(t.event_store(spark, sf_dir), RANGES, 10)
     return pulled.select("shard", "place", "cursor", "topic", "source", F.col("n_logs").cast("bigint").alias("n_logs"))
 
 
 def next_cursors(spark, sf_dir):
-    pulled = consume.pull_logs(t.event_groups(spark, sf_dir), RANGES, 10)
+    pulled = consume.pull_logs(t.event_store(spark, sf_dir), RANGES, 10)
     return consume.next_cursors(pulled, RANGES)
 
 
+def follow_shards(spark, sf_dir):
+    """Events arrive in two rounds, the older ones last; a reader follows all shards in steps from the
+    beginning, and goes on where it was after the second round."""
+    path = scratch_path(spark, "store")
+    logs = t.events_as_logs(spark, sf_dir)
+    ranges = [ShardRange(n, "") for n in range(t.SHARDS)]
+    steps = []
+    for arrival, part in ((t.JAN_31, F.col("time") >= t.JAN_15), (t.JAN_31 + 60, F.col("time") < t.JAN_15)):
+        store.put_logs(ingest.pack_log_groups(logs.filter(part), t.MAX_LOGS, t.DAY, arrival=arrival), path)
+        groups = store.read_groups(spark, path)
+        most = consume.list_shards(groups).agg(F.max("n_groups")).first()[0] or 0
+        while True:
+            pulled = consume.pull_logs(groups, ranges, max(1, most // 3))
+            following = consume.next_cursors(pulled, ranges).orderBy("range").collect()
+            if not any(r["n_groups"] for r in following):
+                break
+            steps.append(pulled)
+            ranges = [ShardRange(r["shard"], r["next_cursor"]) for r in following]
+    read = reduce(DataFrame.unionByName, steps)
+    return _values(ingest.flatten_log_groups(read), "time", "topic", "source", "shard")
+
+
 def tail_logs(spark, sf_dir):
     """A store is written, followed from 2024-01-15 in bounded steps, and counted."""
     path, out, state = (scratch_path(spark, n) for n in ("store", "tail", "state"))
@@ -121,17 +146,13 @@ def tail_logs(spark, sf_dir):
 # search
 
 def scan_logs(spark, sf_dir):
-    hits = search.scan_logs(
-        t.events_as_logs(spark, sf_dir, t.JAN_2, t.JAN_2 + t.DAY), t.JAN_2, t.JAN_2 + t.DAY, "error"
-    )
+    hits = search.scan_logs(t.stored_events(spark, sf_dir), t.JAN_2, t.JAN_2 + t.DAY, "error")
     return _values(hits, "log_id", "time", "topic", "source")
 
 
 def scan_groups(spark, sf_dir):
-    """The same from a store."""
-    path = scratch_path(spark, "store")
-    store.put_logs(t.event_groups(spark, sf_dir), path)
-    hits = search.scan_groups(store.read_groups(spark, path), t.JAN_2 + 1000, t.JAN_2 + t.DAY // 2, "error")
+    """The same with groups skipped by their own columns."""
+    hits = search.scan_groups(t.event_store(spark, sf_dir), t.JAN_2 + 1000, t.JAN_2 + t.DAY // 2, "error")
     return _values(hits, "log_id", "time", "topic", "source", "shard")
 
 
@@ -152,25 +173,22 @@ def key_compare_query(spark, sf_dir):
 
 def get_logs(spark, sf_dir):
     page = search.get_logs(
-        t.events_as_logs(spark, sf_dir, t.JAN_1, t.JAN_31), "", t.JAN_1, t.JAN_31, key_compare("k", ">", 10),
-        lines=100, offset=100, reverse=True,
+        t.stored_events(spark, sf_dir), "", *MIDDAYS, key_compare("k", ">", 10), lines=100, offset=100, reverse=True,
     )
     return page.select("log_id", "time", "topic", "source", F.col("fields")["value"].alias("value"),
                        F.col("fields")["k"].alias("k"))
 
 
 def get_histograms(spark, sf_dir):
-    end = t.JAN_2 + t.DAY - 100
     return search.get_histograms(
-        t.events_as_logs(spark, sf_dir, t.JAN_2, end, keys=("value",)), "error", t.JAN_2, end,
+        t.stored_events(spark, sf_dir), "error", t.JAN_2, t.JAN_2 + t.DAY - 100,
         key_compare("value", ">", 50, "double"), bucket_seconds=3600,
     )
 
 
 def histogram_total(spark, sf_dir):
     return search.histogram_total(search.get_histograms(
-        t.events_as_logs(spark, sf_dir, t.JAN_1, t.JAN_31, keys=("k",)), "", t.JAN_1, t.JAN_31,
-        key_compare("k", "<=", 50), bucket_seconds=t.DAY,
+        t.stored_events(spark, sf_dir), "", *MIDDAYS, key_compare("k", "<=", 50), bucket_seconds=t.DAY,
     ))
 
 
@@ -342,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "resolve_cursor": resolve_cursor,
     "pull_logs": pull_logs,
     "next_cursors": next_cursors,
+    "follow_shards": follow_shards,
     "tail_logs": tail_logs,
     "scan_logs": scan_logs,
     "scan_groups": scan_groups,

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from logloom.functions.fields import make_contents
 from logloom.functions.times import seconds, utc_date
 from logloom.model import CollectConfig
-from logloom.operators.ingest import assign_shard, pack_log_groups
+from logloom.operators.ingest import assign_shard, flatten_log_groups, pack_log_groups
 from logloom.plans.scratch import scratch_path
+from logloom.sources.store import put_logs, read_groups
 
 DAY = 86_400
 JAN_1 = 1_704_067_200
@@ -59,18 +60,10 @@ def _at(time: int):
     return F.lit(str(dt.datetime.fromtimestamp(time, dt.timezone.utc).replace(tzinfo=None))).cast("timestamp_ntz")
 
 
-def events_as_logs(spark: SparkSession, sf_dir: str, from_time: int | None = None, to_time: int | None = None,
-                   keys: tuple[str, ...] = ("value", "k")) -> DataFrame:
-    """Events as logs. A range of time is also put on the stored column, where the scan can use it,
-    and only the columns of the wanted keys are read."""
-    events = table(spark, sf_dir, "events")
-    if from_time is not None:
-        events = events.filter(F.col("ts") >= _at(from_time))
-    if to_time is not None:
-        events = events.filter(F.col("ts") < _at(to_time))
+def events_as_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = {"value": F.col("value"), "k": F.get_json_object("props", "$.k")}
-    contents = make_contents([(k, values[k]) for k in keys])
-    logs = _as_logs(events, "event_id", seconds(F.col("ts")), "event_type", F.col("user_id"), contents)
+    logs = _as_logs(table(spark, sf_dir, "events"), "event_id", seconds(F.col("ts")), "event_type", F.col("user_id"),
+                    make_contents(list(values.items())))
     return assign_shard(logs, SHARDS)
 
 
@@ -84,7 +77,20 @@ def documents_as_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_log_groups(events_as_logs(spark, sf_dir), MAX_LOGS, DAY)
+    """Groups of events that arrive with the newest of their logs."""
+    return pack_log_groups(events_as_logs(spark, sf_dir), MAX_LOGS, DAY, arrival=F.col("max_time"))
+
+
+def event_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups of events, written and read back."""
+    path = scratch_path(spark, "store")
+    put_logs(event_groups(spark, sf_dir), path)
+    return read_groups(spark, path)
+
+
+def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logs of that store."""
+    return flatten_log_groups(event_store(spark, sf_dir))
 
 
 def document_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
