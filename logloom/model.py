@@ -67,6 +67,11 @@ ID_TYPE_USERDEFINED = "userdefined"
 COMPLETE = "Complete"
 
 
+def _check_delimiters(token: tuple[str, ...]) -> None:
+    if "" in token:
+        raise ValueError("a delimiter has at least one character")
+
+
 @dataclass(frozen=True)
 class IndexKey:
     """How one key is searched: as tokens (`text`) or as a number (`long`, `double`)."""
@@ -78,6 +83,7 @@ class IndexKey:
     def __post_init__(self):
         if self.type not in KEY_TYPES:
             raise ValueError(f"index key type must be one of {KEY_TYPES}, got {self.type!r}")
+        _check_delimiters(self.token)
 
 
 @dataclass(frozen=True)
@@ -90,6 +96,9 @@ class IndexLine:
     include_keys: tuple[str, ...] = ()
     exclude_keys: tuple[str, ...] = ()
 
+    def __post_init__(self):
+        _check_delimiters(self.token)
+
 
 @dataclass(frozen=True)
 class Index:
@@ -111,7 +120,8 @@ class ShardRange:
 
 @dataclass(frozen=True)
 class CollectConfig:
-    """Recipe that turns files below `log_path` into logs for one destination."""
+    """Recipe that turns files below `log_path` into logs for one destination. `max_lines` refuses longer
+    records; `line_sep` ends a line (`\\r\\n` for files of that kind)."""
 
     name: str
     log_path: str
@@ -126,4 +136,9 @@ class CollectConfig:
     topic_format: str = TOPIC_NONE
     project: str = ""
     logstore: str = ""
-    max_lines: int = 10_000
+    max_lines: int | None = None
+    line_sep: str = "\n"
+
+    def __post_init__(self):
+        if not self.name:
+            raise ValueError("a config needs a name")

@@ -66,12 +66,13 @@ def _joined(lines: Column) -> Column:
     return F.array_join(F.transform(F.sort_array(F.collect_list(lines)), lambda l: l["line"]), "\n")
 
 
-def assemble_records(lines: DataFrame, begin_regex: str, max_lines: int = 10_000) -> DataFrame:
-    """Multi-line records of files: (file_path, record, part, n_lines, body).
+def assemble_records(lines: DataFrame, begin_regex: str, max_lines: int | None = None) -> DataFrame:
+    """Multi-line records of files: (file_path, record, part, n_lines, body, oversize).
 
     A line that matches the begin regex as a whole starts record 1, 2, ... of its file; lines before
-    the first one form record 0. No begin regex makes every line a record. A record of more than
-    `max_lines` lines continues in parts 1, 2, ..., so no line is lost and no row is unbounded.
+    the first one form record 0. No begin regex makes every line a record. Records are whole, part 0.
+    Only with `max_lines` a longer record comes in parts 0, 1, ... of so many lines, all of them marked as
+    `oversize`, so that no row is unbounded, no line is lost and nobody takes its head for the record.
 
     `lines` has file_path, block_start, line and line_id as `read_log_files` gives them; any other
     source does as long as line_id is stable and has no gaps inside a block. A first narrow pass
@@ -86,6 +87,12 @@ def assemble_records(lines: DataFrame, begin_regex: str, max_lines: int = 10_000
     summary = _block_summary(lines.withColumn("begins", begins))
     known = lines.join(summary.hint("shuffle_hash"), _BLOCK)
 
+    def part(ordinal: Column) -> Column:
+        return F.lit(0).cast("bigint") if max_lines is None else F.floor(ordinal / max_lines).cast("bigint")
+
+    def oversize(n: Column) -> Column:
+        return F.lit(False) if max_lines is None else n > max_lines
+
     place = F.col("line_id") - F.col("first_id")
     leads = place < F.col("lead")
     in_tail = F.coalesce(F.col("line_id") >= F.col("last_begin"), F.lit(False))
@@ -103,22 +110,31 @@ def assemble_records(lines: DataFrame, begin_regex: str, max_lines: int = 10_000
             (F.col("records_before") + F.sum(F.col("begins").cast("bigint")).over(in_block)).alias("record"),
             (F.col("line_id") - F.coalesce(own_begin, F.col("first_id"))).alias("ordinal"),
         )
-        .groupBy(*_BLOCK, "record", F.floor(F.col("ordinal") / max_lines).cast("bigint").alias("part"))
-        .agg(F.count(F.lit(1)).alias("n_lines"), _joined(F.struct("line_id", "line")).alias("body"))
-        .select(*_PART, "n_lines", "body")
+    )
+    if max_lines is not None:
+        inner = inner.withColumn("last", F.max("ordinal").over(W.partitionBy(*_BLOCK, "record")))
+    inner = (
+        inner.groupBy(*_BLOCK, "record", part(F.col("ordinal")).alias("part"))
+        .agg(F.count(F.lit(1)).alias("n_lines"), _joined(F.struct("line_id", "line")).alias("body"),
+             *([] if max_lines is None else [F.max("last").alias("last")]))
+        .select(*_PART, "n_lines", "body", oversize(F.col("last") + 1).alias("oversize"))
     )
     ordinal = F.when(leads, F.col("open_lines") + place).otherwise(F.col("line_id") - F.col("last_begin"))
-    crossing = (
-        known.filter(crosses)
-        .select(
-            "file_path", "block_start", "line_id", "line",
-            (F.col("records_before") + F.when(leads, 0).otherwise(F.col("n_begins"))).alias("record"),
-            F.floor(ordinal / max_lines).cast("bigint").alias("part"),
-        )
-        .groupBy(*_PART)
-        .agg(F.count(F.lit(1)).alias("n_lines"), _joined(F.struct("block_start", "line_id", "line")).alias("body"))
+    pieces = known.filter(crosses).select(
+        "file_path", "block_start", "line_id", "line",
+        (F.col("records_before") + F.when(leads, 0).otherwise(F.col("n_begins"))).alias("record"),
+        part(ordinal).alias("part"),
     )
-    return inner.unionByName(crossing)
+    crossing = pieces.groupBy(*_PART).agg(
+        F.count(F.lit(1)).alias("n_lines"), _joined(F.struct("block_start", "line_id", "line")).alias("body"))
+    if max_lines is None:
+        crossing = crossing.withColumn("oversize", F.lit(False))
+    else:
+        # A record has a second part only if it is too long; these are few, and known without the text.
+        long = pieces.filter(F.col("part") > 0).select("file_path", "record").distinct().withColumn("oversize", F.lit(True))
+        crossing = crossing.join(long, ["file_path", "record"], "left").withColumn(
+            "oversize", F.coalesce("oversize", F.lit(False)))
+    return inner.unionByName(crossing.select(*inner.columns))
 
 
 def _groups(body: Column, regex: str, n: int) -> Column:

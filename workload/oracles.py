@@ -83,6 +83,13 @@ lines AS (
   FROM documents
 )"""
 
+RECORDS = LINES + """,
+marked AS (
+  SELECT *, CAST(sum(CASE WHEN regexp_full_match(line, '[A-Z].*') THEN 1 ELSE 0 END)
+              OVER (PARTITION BY file_path ORDER BY n) AS BIGINT) AS record
+  FROM lines
+)"""
+
 URLS = r"""
 urls AS (
   SELECT page_id, regexp_full_match(url, '(https?)://([^/]+)/([a-z]+)/([0-9]+)\?page=([0-9]+).*') AS ok,
@@ -195,16 +202,16 @@ SELECT source, lang, CAST(sum(1 + len(string_split(text, chr(10)))) AS BIGINT) A
            + length('[] doc= lang=' || CAST(doc_id AS VARCHAR) || lang)
            + CASE WHEN source = 'src3' THEN length('no time') ELSE 19 END) AS BIGINT) AS n_chars
 FROM documents GROUP BY source, lang""",
-    "assemble_records": f"""WITH {LINES},
-marked AS (
-  SELECT *, CAST(sum(CASE WHEN regexp_full_match(line, '[A-Z].*') THEN 1 ELSE 0 END)
-              OVER (PARTITION BY file_path ORDER BY n) AS BIGINT) AS record
-  FROM lines
-),
+    "assemble_records": f"""WITH {RECORDS}
+SELECT file_path, record, 0 AS part, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY n) AS body
+FROM marked GROUP BY file_path, record""",
+    "assemble_bounded_records": f"""WITH {RECORDS},
 placed AS (
-  SELECT *, (row_number() OVER (PARTITION BY file_path, record ORDER BY n) - 1) // 2 AS part FROM marked
+  SELECT *, (row_number() OVER (PARTITION BY file_path, record ORDER BY n) - 1) // 2 AS part,
+         count(*) OVER (PARTITION BY file_path, record) > 2 AS oversize
+  FROM marked
 )
-SELECT file_path, record, part, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY n) AS body
+SELECT file_path, record, part, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY n) AS body, any_value(oversize) AS oversize
 FROM placed GROUP BY file_path, record, part""",
     "extract_fields": f"""WITH {URLS}
 SELECT page_id, CASE WHEN ok THEN f.scheme END AS scheme, CASE WHEN ok THEN f.host END AS host,

@@ -238,6 +238,10 @@ def read_log_files_query(spark, sf_dir):
 
 
 def assemble_records(spark, sf_dir):
+    return collect.assemble_records(t.document_lines(spark, sf_dir), "[A-Z].*").drop("oversize")
+
+
+def assemble_bounded_records(spark, sf_dir):
     return collect.assemble_records(t.document_lines(spark, sf_dir), "[A-Z].*", max_lines=2)
 
 
@@ -255,10 +259,17 @@ def filter_records(spark, sf_dir):
 
 
 def parse_log_time(spark, sf_dir):
+    """Times of orders in several formats, by the order's key; low priority ones carry none."""
     at = F.timestamp_add("SECOND", F.col("o_orderkey") % t.DAY, F.col("o_orderdate"))
-    text = F.when(F.col("o_orderpriority") == "5-LOW", "not a time").otherwise(t.slashed(at))
-    logs = t.table(spark, sf_dir, "orders").select("o_orderkey", make_contents([("at", text)]).alias("contents"))
-    return collect.parse_log_time(logs, "at", "%Y/%m/%d %H:%M:%S").select("o_orderkey", "time")
+    formats = t.written_times(at)
+    kind = F.pmod(F.col("o_orderkey"), F.lit(len(formats)))
+    logs = t.table(spark, sf_dir, "orders").withColumn("kind", kind)
+    parsed = []
+    for n, (form, text) in enumerate(formats):
+        text = F.when(F.col("o_orderpriority") == "5-LOW", "not a time").otherwise(text)
+        own = logs.filter(F.col("kind") == n).select("o_orderkey", make_contents([("at", text)]).alias("contents"))
+        parsed.append(collect.parse_log_time(own, "at", form).select("o_orderkey", "time"))
+    return reduce(DataFrame.unionByName, parsed)
 
 
 def derive_topic(spark, sf_dir):
@@ -376,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "lookup_term": lookup_term,
     "read_log_files": read_log_files_query,
     "assemble_records": assemble_records,
+    "assemble_bounded_records": assemble_bounded_records,
     "extract_fields": extract_fields,
     "filter_records": filter_records,
     "parse_log_time": parse_log_time,

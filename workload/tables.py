@@ -111,6 +111,22 @@ def slashed(ts):
     return F.translate(ts.cast("string"), "-", "/")
 
 
+def written_times(ts) -> list[tuple]:
+    """A TIMESTAMP_NTZ in several time formats, each with its format."""
+    padded = F.lpad(F.day(ts).cast("string"), 2, " ")
+    clock = F.substring(ts.cast("string"), 12, 8)
+    name = lambda pattern: F.date_format(ts, pattern)
+    return [
+        ("%Y/%m/%d %H:%M:%S", slashed(ts)),
+        ("%d/%b/%Y:%T %z", F.concat(name("dd/MMM/yyyy"), F.lit(":"), clock, F.lit(" Z"))),
+        ("%a %b %e %H:%M:%S %Y", F.concat(name("EEE MMM "), padded, F.lit(" "), clock, name(" yyyy"))),
+        ("%m/%d/%y %I:%M:%S %p", F.concat(name("MM/dd/yy hh:mm:ss "), F.when(F.hour(ts) < 12, "AM").otherwise("PM"))),
+        ("%FT%T%z", F.concat(name("yyyy-MM-dd"), F.lit("T"), clock, F.lit("+00:00"))),
+        ("%A, %d %B %Y %R:%S 100%%", F.concat(name("EEEE, dd MMMM yyyy "), clock, F.lit(" 100%"))),
+        ("%Y%j%H%M%S", F.concat(name("yyyyDDD"), F.replace(clock, F.lit(":")))),
+    ]
+
+
 def write_document_files(spark: SparkSession, sf_dir: str) -> str:
     """Documents as log files with a header line each; those of one source have an unusable time."""
     path = scratch_path(spark, "files")
