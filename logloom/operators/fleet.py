@@ -1,23 +1,25 @@
-"""Machines, machine groups, collection configs and what binds them."""
+"""Machines, machine groups, collection configs and what binds them.
+
+Joins leave hot keys to adaptive execution, which splits a large partition of either side when it sees
+the shuffled sizes; that reads every input once.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.model import ID_TYPE_USERDEFINED
 from logloom.operators.collect import glob_regex
-from logloom.plans.skew import DEFAULT_HEAT, Heat, salted_join
 
 
-def expand_machine_groups(groups: DataFrame, machines: DataFrame, heat: Heat = DEFAULT_HEAT) -> DataFrame:
+def expand_machine_groups(groups: DataFrame, machines: DataFrame) -> DataFrame:
     """Machines of every group: (group_name, ip, unique_id, userdefined_id).
 
     A group lists user-defined ids or, for any other id type, IPs. Its list may be spread over
-    several rows. Many machines may share one user-defined id, so the machines are the side whose
-    hot ids are salted.
+    several rows.
     """
     userdefined = F.col("id_type") == ID_TYPE_USERDEFINED
     members = groups.select(
@@ -33,8 +35,7 @@ def expand_machine_groups(groups: DataFrame, machines: DataFrame, heat: Heat = D
         machines.select("ip", "unique_id", "userdefined_id", F.inline(ids))
         .filter(F.col("machine_id").isNotNull())
     )
-    joined = salted_join(known, members, ["id_kind", "machine_id"], "inner", ["ip", "unique_id"], heat)
-    return joined.select("group_name", "ip", "unique_id", "userdefined_id")
+    return known.join(members, ["id_kind", "machine_id"]).select("group_name", "ip", "unique_id", "userdefined_id")
 
 
 def machine_totals(members: DataFrame) -> DataFrame:
@@ -66,20 +67,19 @@ def current_bindings(changes: DataFrame) -> DataFrame:
     )
 
 
-def entity_snapshot(changes: DataFrame, attributes: Sequence[str], heat: Heat = DEFAULT_HEAT) -> DataFrame:
+def entity_snapshot(changes: DataFrame, attributes: Sequence[str]) -> DataFrame:
     """Entities that exist after a feed of changes (name, op, time, position, attributes...) with op
     `create`, `update` or `delete`, with their present attributes.
 
     An entity lives from its first change after its last deletion; `position` orders the feed and is
-    unique. Both passes aggregate before they shuffle; names with very many changes are salted in
-    the join between them.
+    unique. Both passes aggregate before they shuffle.
     """
     deleted = (
         changes.filter(F.col("op") == "delete")
         .groupBy("name").agg(F.max("position").alias("deleted_at"))
     )
     feed = changes.select("name", "op", "time", "position", *attributes)
-    living = salted_join(feed, deleted, ["name"], "left", ["position"], heat).filter(
+    living = feed.join(deleted, "name", "left").filter(
         F.col("deleted_at").isNull() | (F.col("position") > F.col("deleted_at"))
     )
     return living.groupBy("name").agg(
@@ -98,32 +98,45 @@ def missing_targets(refs: DataFrame, snapshot: DataFrame, name: str = "name") ->
     )
 
 
-def machine_configs(members: DataFrame, bindings: DataFrame, configs: DataFrame,
-                    heat: Heat = DEFAULT_HEAT) -> DataFrame:
+def machine_configs(members: DataFrame, bindings: DataFrame, configs: DataFrame) -> DataFrame:
     """Configs that apply to every machine of `members` (group_name, machine_id, group_topic): one row
     per machine and config. A config that reaches a machine through several groups counts once, with
     the first of these groups."""
     through = F.min(F.struct("group_name", "group_topic")).alias("through")
     applied = (
-        salted_join(members, bindings, ["group_name"], "inner", ["machine_id"], heat)
+        members.join(bindings, "group_name")
         .groupBy("machine_id", "config_name").agg(through)
         .select("machine_id", "config_name", "through.*")
     )
-    return salted_join(applied, configs, ["config_name"], "inner", ["machine_id"], heat)
+    return applied.join(configs, "config_name")
+
+
+def _covers(pattern: Column, name: Column) -> Column:
+    """Whether a file name matches a glob. The usual ones, with a star at one end and nothing else, are
+    tests of literal text; a regex is made for the others only."""
+    special = r"[*?]"
+    begin, end = F.substring(pattern, 1, 1), F.substring(pattern, -1, 1)
+    head, tail = F.expr("substring(file_pattern, 1, length(file_pattern) - 1)"), F.substring(pattern, 2, 1 << 30)
+    return (
+        F.when(pattern == "*", F.lit(True))
+        .when(~pattern.rlike(special), name == pattern)
+        .when((begin == "*") & ~tail.rlike(special), F.endswith(name, tail))
+        .when((end == "*") & ~head.rlike(special), F.startswith(name, head))
+        .otherwise(F.rlike(name, F.concat(F.lit(r"\A"), glob_regex(pattern), F.lit(r"\z"))))
+    )
 
 
-def route_records(records: DataFrame, members: DataFrame, bindings: DataFrame, configs: DataFrame,
-                  spread: Sequence[str], heat: Heat = DEFAULT_HEAT) -> DataFrame:
+def route_records(records: DataFrame, members: DataFrame, bindings: DataFrame, configs: DataFrame) -> DataFrame:
     """Records (machine_id, file_path, ...) times the destinations of every config that is applied to
     their machine's group and covers their path; records no config covers are not collected.
 
-    The fleet tables are joined to each other first, so the records meet a single equi-join; hot
-    machines are salted in it by the columns `spread`.
+    The fleet tables are joined to each other first, so the records meet a single join, whose condition
+    tests the path; they are read once. Records of many lines per file are better routed by file, see
+    `routes_of`.
     """
-    reach = machine_configs(members, bindings, configs, heat)
-    routed = salted_join(records, reach, ["machine_id"], "inner", spread, heat)
+    reach = machine_configs(members, bindings, configs).withColumnRenamed("machine_id", "_machine")
     folder = F.concat(F.rtrim("log_path", F.lit("/")), F.lit("/"))
     file_name = F.substring_index("file_path", "/", -1)
-    name_regex = F.concat(F.lit(r"\A"), glob_regex(F.col("file_pattern")), F.lit(r"\z"))
-    covered = F.startswith("file_path", folder) & F.rlike(file_name, name_regex)
-    return routed.filter(covered).drop("log_path", "file_pattern")
+    covered = F.startswith("file_path", folder) & _covers(F.col("file_pattern"), file_name)
+    routed = records.join(reach, (F.col("machine_id") == F.col("_machine")) & covered)
+    return routed.drop("log_path", "file_pattern", "_machine")

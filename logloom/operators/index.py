@@ -7,9 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.functions.fields import field, line_tokens, tokens, typed
-from logloom.model import Index, IndexKey, IndexLine
+from logloom.functions.fields import field, line_tokens, term_match, tokens, typed
+from logloom.functions.times import utc_day
+from logloom.model import MAX_TIME, Index, IndexKey, IndexLine
 from logloom.operators.ingest import expire_logs
+from logloom.operators.search import scan_logs
 
 _ADDRESS = ["date", "shard", "log_id"]
 
@@ -47,16 +49,21 @@ def token_bucket(token: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
 
 
-def lookup_term(postings: DataFrame, logs: DataFrame, term: str, line: IndexLine,
-                buckets: int | None = None) -> DataFrame:
-    """Logs that hold a term, through their postings; the same logs that `term_match` finds.
+def lookup_term(postings: DataFrame, logs: DataFrame, term: str, line: IndexLine, from_time: int = 0,
+                to_time: int = MAX_TIME + 1, buckets: int | None = None) -> DataFrame:
+    """Logs of [from, to) that hold a term; the same logs that `term_match` finds.
 
-    Stored postings need the number of buckets they were written with; the lookup then opens the
-    files of one bucket only. Log ids are unique, so a frequent term makes the join larger but not
-    uneven.
+    The postings, of these days only, tell which days and shards hold the term and from which to which
+    log. That is a row per day and shard, however frequent the term, so it goes to all tasks; the scan of
+    a store then opens only these folders, and the logs between the bounds are tested themselves. No log
+    is shuffled. Stored postings need the number of buckets they were written with; the lookup then opens
+    the files of one bucket per day.
     """
     wanted = F.lit(term if line.case_sensitive else term.lower())
-    hits = postings.filter(F.col("token") == wanted)
+    hits = postings.filter((F.col("token") == wanted) & F.col("date").between(utc_day(from_time), utc_day(to_time - 1)))
     if buckets is not None:
         hits = hits.filter(F.col("bucket") == token_bucket(wanted, buckets))
-    return logs.join(hits.select(*_ADDRESS), _ADDRESS, "left_semi")
+    places = hits.groupBy("date", "shard").agg(F.min("log_id").alias("_first"), F.max("log_id").alias("_last"))
+    near = scan_logs(logs, from_time, to_time).join(F.broadcast(places), ["date", "shard"])
+    near = near.filter(F.col("log_id").between(F.col("_first"), F.col("_last"))).drop("_first", "_last")
+    return near.filter(term_match(term, line)).select(*logs.columns)

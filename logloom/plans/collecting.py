@@ -1,43 +1,63 @@
-"""The collection pipeline: lines of files to logs of a destination, with everything that fails."""
+"""The collection pipeline: lines of files to logs in the stores of their destinations."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.model import CollectConfig
 from logloom.operators.collect import (
     assemble_records, derive_topic, extract_fields, keeps, parse_log_time,
 )
-from logloom.sources.files import read_log_files
+from logloom.operators.fleet import route_records
+from logloom.operators.ingest import assign_shard, pack_log_groups
+from logloom.plans.scratch import scratch_path
+from logloom.sources.store import put_batch, put_logs
+
+
+@dataclass(frozen=True)
+class Packing:
+    """How collected logs are stored: shards, logs per group, window of a group in seconds, and the UNIX
+    time of their arrival (none means now)."""
+
+    shards: int
+    max_logs: int = 4096
+    window_s: int = 3600
+    arrival: int | None = None
 
 
-def collect_logs(lines: DataFrame, config: CollectConfig, ingest_time: int | None = None,
-                 source: str | None = None, group_topic: str | None = None) -> DataFrame:
+def collect_logs(lines: DataFrame, config: CollectConfig, source: Column, ingest_time: int | None = None,
+                 group_topic: str | None = None) -> DataFrame:
     """Records of one config with `time`, `topic`, `contents` and destination, or a `reject_reason`.
 
-    Rejected are records that do not match the extraction regex, whose time does not parse, and the
-    continuations of records longer than `config.max_lines`; they keep their text. Logs that the
-    filters exclude are left out.
+    `source` names the machine a file comes from, as a column over `file_path`, which has to tell the
+    files of different machines apart; it is part of the log id. Rejected, with all their text, are
+    records that do not match the extraction regex, whose time does not parse, and records of more than
+    `config.max_lines` lines, as a whole. Logs that the filters exclude are left out.
     """
     records = assemble_records(lines, config.log_begin_regex, config.max_lines)
     logs = extract_fields(records, config.regex, config.keys)
     logs = parse_log_time(logs, config.time_key, config.time_format, ingest_time)
     reason = (
-        F.when(F.col("part") > 0, "continuation of a long record")
+        F.when(F.col("oversize"), "record has too many lines")
         .when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
         .when(F.col("time").isNull(), "time does not parse")
     )
     logs = logs.withColumn("reject_reason", reason).filter(
         F.col("reject_reason").isNotNull() | keeps(config.filter_keys, config.filter_regex)
     )
-    logs = logs.withColumn("group_topic", F.lit(group_topic).cast("string"))
+    logs = logs.withColumn("group_topic", F.lit(group_topic).cast("string")).withColumn("source", source.cast("string"))
     return derive_topic(logs, config.topic_format).select(
-        F.concat_ws(":", "file_path", F.lpad(F.col("record").cast("string"), 12, "0")).alias("log_id"),
-        "time", "topic",
-        F.lit(source).cast("string").alias("source"),
+        F.concat_ws(":", F.lit(config.name), F.coalesce("source", F.lit("")), "file_path",
+                    F.lpad(F.col("record").cast("string"), 12, "0")).alias("log_id"),
+        "time", "topic", "source",
         F.lit(None).cast("string").alias("reserved"),
         "contents",
+        F.lit(config.name).alias("config_name"),
         F.lit(config.project).alias("project"),
         F.lit(config.logstore).alias("logstore"),
         "file_path", "record", "part", "n_lines",
@@ -46,11 +66,30 @@ def collect_logs(lines: DataFrame, config: CollectConfig, ingest_time: int | Non
     )
 
 
-def collect_files(spark: SparkSession, config: CollectConfig, ingest_time: int | None = None,
-                  source: str | None = None, group_topic: str | None = None) -> DataFrame:
-    """`collect_logs` on the files that the config names."""
-    lines = read_log_files(spark, config.log_path, config.file_pattern)
-    return collect_logs(lines, config, ingest_time, source, group_topic)
+def routes_of(lines: DataFrame, configs: Sequence[CollectConfig], members: DataFrame, bindings: DataFrame,
+              source: Column) -> DataFrame:
+    """(file_path, config_name) of the files each config covers, by the machines its groups have."""
+    spark = lines.sparkSession
+    known = spark.createDataFrame(
+        [(c.name, c.log_path, c.file_pattern) for c in configs], "config_name string, log_path string, file_pattern string")
+    files = lines.select("file_path").distinct().withColumn("machine_id", source.cast("string"))
+    return route_records(files, members, bindings, known).select("file_path", "config_name")
+
+
+def collect_configs(lines: DataFrame, configs: Sequence[CollectConfig], source: Column,
+                    routes: DataFrame | None = None, ingest_time: int | None = None) -> DataFrame:
+    """`collect_logs` for several configs. With `routes` each takes the files routed to it only; they are far
+    fewer than lines, so Spark sends them to the lines where their size allows."""
+    names = [c.name for c in configs]
+    if len(set(names)) < len(names):
+        raise ValueError("configs need names of their own")
+    collected = []
+    for config in configs:
+        own = lines
+        if routes is not None:
+            own = lines.join(routes.filter(F.col("config_name") == config.name), "file_path", "left_semi")
+        collected.append(collect_logs(own, config, source, ingest_time))
+    return reduce(DataFrame.unionByName, collected)
 
 
 def accepted(collected: DataFrame) -> DataFrame:
@@ -63,13 +102,49 @@ def accepted(collected: DataFrame) -> DataFrame:
 def rejected(collected: DataFrame) -> DataFrame:
     """What a collection could not use, with its text and the reason."""
     return collected.filter(F.col("reject_reason").isNotNull()).select(
-        "file_path", "record", "part", "n_lines", "body", "reject_reason"
+        "config_name", "source", "file_path", "record", "part", "n_lines", "body", "reject_reason"
     )
 
 
-def write_collected(collected: DataFrame, path: str, mode: str = "append") -> None:
-    """Write logs and rejects in one pass, by destination and outcome."""
-    (
-        collected.withColumn("rejected", F.col("reject_reason").isNotNull())
-        .write.mode(mode).partitionBy("project", "logstore", "rejected").parquet(path)
-    )
+def check_destinations(configs: Sequence[CollectConfig]) -> list[tuple[str, str]]:
+    """Destinations of the configs, each once; a config has to name one."""
+    nameless = [c.name for c in configs if not c.project or not c.logstore]
+    if nameless:
+        raise ValueError(f"configs without project or logstore: {', '.join(nameless)}")
+    return list(dict.fromkeys((c.project, c.logstore) for c in configs))
+
+
+def store_path(path: str, project: str, logstore: str) -> str:
+    """Store of a destination below the path of a collection."""
+    return f"{path}/stores/{project}/{logstore}"
+
+
+def rejects_path(path: str) -> str:
+    """Rejects of a collection."""
+    return f"{path}/rejects"
+
+
+def write_collected(collected: DataFrame, configs: Sequence[CollectConfig], path: str, packing: Packing,
+                    folder: str | None = None) -> None:
+    """Put the logs into the stores of their destinations and the rejects beside them.
+
+    The collection is computed once, into the scratch folder. With a `folder` every store gets the logs
+    there, replacing what an earlier attempt has left; without, they are appended.
+    """
+    destinations = check_destinations(configs)
+    spark = collected.sparkSession
+    held = scratch_path(spark, "collected")
+    collected.write.parquet(held)
+    collected = spark.read.schema(collected.schema).parquet(held)
+    refused = rejected(collected).write
+    if folder is None:
+        refused.mode("append").parquet(rejects_path(path))
+    else:
+        refused.mode("overwrite").parquet(f"{rejects_path(path)}/{folder}")
+    for project, logstore in destinations:
+        logs = accepted(collected).filter((F.col("project") == project) & (F.col("logstore") == logstore))
+        groups = pack_log_groups(assign_shard(logs, packing.shards), packing.max_logs, packing.window_s, packing.arrival)
+        if folder is None:
+            put_logs(groups, store_path(path, project, logstore))
+        else:
+            put_batch(groups, f"{store_path(path, project, logstore)}/{folder}")

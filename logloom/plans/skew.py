@@ -17,15 +17,13 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Heat:
-    """When a key counts as heavy, and over how many salts it is spread."""
+    """When a key counts as heavy."""
 
     max_keys: int = 100_000
     min_rows: int = 1_000_000
-    salts: int = 64
 
 
 DEFAULT_HEAT = Heat()
-_SALT = "_salt"
 
 
 def _heavy_name(key: str) -> str:
@@ -46,22 +44,3 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], heat: Heat = DEFAULT_HEAT) ->
 def is_heavy(keys: Sequence[str]) -> Column:
     """Join condition between rows and `heavy_keys`; NULL keys match NULL."""
     return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(_heavy_name(k))) for k in keys])
-
-
-def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, spread: Sequence[str],
-                heat: Heat = DEFAULT_HEAT) -> DataFrame:
-    """Equi-join in which heavy keys of the left side spread over `heat.salts` tasks.
-
-    The rows of a heavy key take a salt from the hash of `spread`, columns that tell its rows apart;
-    the matching right rows are repeated once per salt. Ordinary keys join as usual, and Spark still
-    broadcasts the right side when it turns out small.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"salted_join cannot spread the left side of a {how!r} join")
-    heavy = F.broadcast(heavy_keys(left, keys, heat))
-    hot = F.col("heavy_rows").isNotNull()
-    salt = F.when(hot, F.pmod(F.xxhash64(*spread), F.lit(heat.salts))).otherwise(0)
-    salts = F.when(hot, F.sequence(F.lit(0), F.lit(heat.salts - 1))).otherwise(F.array(F.lit(0)))
-    left = left.join(heavy, is_heavy(keys), "left").withColumn(_SALT, salt.cast("int")).drop(*heavy.columns)
-    right = right.join(heavy, is_heavy(keys), "left").withColumn(_SALT, F.explode(salts)).drop(*heavy.columns)
-    return left.join(right, [*keys, _SALT], how).drop(_SALT)

@@ -25,20 +25,20 @@ def _folder(spark: SparkSession, path: str):
     return root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _holds(spark: SparkSession, path: str, name: str) -> bool:
-    root, fs = _folder(spark, f"{path.rstrip('/')}/{name}")
-    return fs.exists(root)
+def _children(spark: SparkSession, path: str) -> list[str]:
+    root, fs = _folder(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
 
 
 def written_by_stream(spark: SparkSession, path: str) -> bool:
-    """Whether a stream writes this path. Readers then see the files of its log only, so whatever
-    else lands there would stay invisible."""
-    return _holds(spark, path, "_spark_metadata")
+    """Whether streams write this path, in folders per run and batch. Folders per day beside them would
+    be another layout, which no reader takes together."""
+    return any(c.startswith("run=") for c in _children(spark, path))
 
 
 def written_by_batch(spark: SparkSession, path: str) -> bool:
     """Whether a batch job has written this path."""
-    return _holds(spark, path, "_SUCCESS") and not written_by_stream(spark, path)
+    return any(c.startswith("date=") for c in _children(spark, path))
 
 
 def _write(groups: DataFrame, path: str, mode: str) -> None:
@@ -67,7 +67,7 @@ def put_logs(groups: DataFrame, path: str, rejects_path: str | None = None, mode
     ones are written; the store itself is written last.
     """
     if written_by_stream(groups.sparkSession, path):
-        raise ValueError(f"{path} is written by a stream; store the groups below another path")
+        raise ValueError(f"{path} is written by streams; store the groups below another path")
     if rejects_path is None:
         _write(valid_groups(groups, arrival), path, mode)
         return
@@ -79,6 +79,14 @@ def put_logs(groups: DataFrame, path: str, rejects_path: str | None = None, mode
     _write(_stored_form(checked.filter("valid").drop("valid"), arrival), path, mode)
 
 
+def put_batch(groups: DataFrame, path: str, rejects_path: str | None = None) -> None:
+    """Write one batch of a stream to a folder of its own; a repeated batch replaces what was there."""
+    if rejects_path is None:
+        _write(valid_groups(groups), path, "overwrite")
+    else:
+        put_logs(groups, path, rejects_path, mode="overwrite")
+
+
 def valid_groups(groups: DataFrame, arrival: int | None = None) -> DataFrame:
     """Groups in stored form; the first invalid one fails the job."""
     failure = F.raise_error(F.concat(F.lit("invalid log group: "), F.col("reject_reason")))
@@ -105,20 +113,21 @@ def read_groups(spark: SparkSession, path: str, extra: T.StructType | None = Non
     """Groups of a store. Columns beyond the stored schema are kept by `put_logs`; name those to read
     in `extra`, they are NULL in files that lack them."""
     schema = T.StructType([*GROUPS_SCHEMA.fields, *(extra.fields if extra else ())])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def write_line_index(postings: DataFrame, path: str, buckets: int, mode: str = "overwrite") -> None:
-    """Store postings in a folder per bucket of tokens, sorted by token.
+def write_line_index(postings: DataFrame, path: str, buckets: int, mode: str = "append") -> None:
+    """Store postings in folders per day and bucket of tokens, sorted by token.
 
-    A lookup opens one folder and skips the row groups of other tokens. Rebalancing cuts a bucket
-    that a frequent token has made large into several files.
+    A lookup opens one bucket of the days it asks for and skips the row groups of other tokens; new days
+    are appended, expired ones dropped with `drop_expired`. Rebalancing cuts a bucket that a frequent token
+    has made large into several files.
     """
     (
         postings.withColumn("bucket", token_bucket(F.col("token"), buckets))
-        .hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "token", "log_id")
-        .write.mode(mode).partitionBy("bucket").parquet(path)
+        .hint("rebalance", "date", "bucket")
+        .sortWithinPartitions("date", "bucket", "token", "log_id")
+        .write.mode(mode).partitionBy("date", "bucket").parquet(path)
     )
 
 
@@ -130,17 +139,16 @@ def read_line_index(spark: SparkSession, path: str) -> DataFrame:
 def drop_expired(spark: SparkSession, path: str, ttl: int, as_of: int) -> list[str]:
     """Delete the days of a store whose last second has passed the retention; returns them.
 
-    Works on directories only, one per day; no log is read. A stream keeps its own list of files, so
-    its paths are refused.
+    Works on directories only, one per day (and batch of a stream); no log is read.
     """
-    if written_by_stream(spark, path):
-        raise ValueError(f"{path} is written by a stream, whose log lists the files to delete")
     root, fs = _folder(spark, path)
     first_kept = dt.datetime.fromtimestamp(as_of - ttl * _DAY, dt.timezone.utc).date().isoformat()
-    dropped = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith("date=") and name[5:] < first_kept:
-            fs.delete(status.getPath(), True)
-            dropped.append(name[5:])
+    dropped = set()
+    for pattern in ("date=*", "run=*/batch=*/date=*"):
+        found, _ = _folder(spark, f"{path.rstrip('/')}/{pattern}")
+        for status in fs.globStatus(found) or []:
+            day = status.getPath().getName()[5:]
+            if day < first_kept:
+                fs.delete(status.getPath(), True)
+                dropped.add(day)
     return sorted(dropped)

@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from logloom.model import CollectConfig
-from logloom.plans.collecting import collect_logs, write_collected
+from logloom.plans.collecting import Packing, check_destinations, collect_configs, write_collected
 from logloom.sources.files import number_lines
-from logloom.streaming.runs import run_batches
+from logloom.streaming.runs import Trigger, start_batches
 
 
-def collect_stream(lines: DataFrame, config: CollectConfig, path: str, checkpoint: str,
-                   ingest_time: int | None = None, source: str | None = None,
-                   group_topic: str | None = None) -> None:
-    """Run `collect_logs` on every micro-batch of `stream_log_files` until caught up.
+def collect_stream(lines: DataFrame, configs: Sequence[CollectConfig], path: str, checkpoint: str, source: Column,
+                   packing: Packing, routes: DataFrame | None = None, ingest_time: int | None = None,
+                   trigger: Trigger | None = None) -> StreamingQuery:
+    """Collect every micro-batch of `stream_log_files` into the stores below `path`, exactly once: a batch
+    has a folder of its own in each store and replaces it when it is repeated."""
+    check_destinations(configs)
 
-    Each batch has its own folder `batch=<id>` below `path` and replaces it when it is repeated, so a
-    restart neither loses nor doubles records.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        collected = collect_logs(number_lines(batch), config, ingest_time, source, group_topic)
-        write_collected(collected, f"{path}/batch={batch_id}", mode="overwrite")
+    def write(batch: DataFrame, folder: str) -> None:
+        collected = collect_configs(number_lines(batch), configs, source, routes, ingest_time)
+        write_collected(collected, configs, path, packing, folder=folder)
 
-    run_batches(lines, write, checkpoint)
+    return start_batches(lines, write, checkpoint, trigger)

@@ -4,20 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from logloom.functions.times import utc_day
 from logloom.model import GROUPS_SCHEMA
 from logloom.operators.ingest import flatten_log_groups
-from logloom.sources.store import valid_groups, written_by_batch
-from logloom.streaming.runs import run_to_files
+from logloom.sources.store import put_batch, written_by_batch
+from logloom.streaming.runs import Trigger, start_batches
 
 
-def put_logs_stream(groups: DataFrame, path: str, checkpoint: str) -> None:
-    """Stream form of `put_logs`: stores all groups present, exactly once; an invalid group fails the
-    stream. The path belongs to the stream alone."""
+def put_logs_stream(groups: DataFrame, path: str, checkpoint: str, rejects_path: str | None = None,
+                    trigger: Trigger | None = None) -> StreamingQuery:
+    """Stream form of `put_logs`: stores groups exactly once, a folder per batch, clustered like a batch
+    write. Groups without a cursor arrive when their batch runs. Invalid ones go to `rejects_path`, or
+    fail the stream where there is none. The path belongs to streams alone."""
     if written_by_batch(groups.sparkSession, path):
         raise ValueError(f"{path} is written by batch jobs; store the stream below another path")
-    run_to_files(valid_groups(groups), path, checkpoint, ["date", "shard"])
+
+    def write(batch: DataFrame, folder: str) -> None:
+        put_batch(batch, f"{path}/{folder}", rejects_path and f"{rejects_path}/{folder}")
+
+    return start_batches(groups, write, checkpoint, trigger)
 
 
 def tail_logs(spark: SparkSession, path: str, max_files: int | None = None,

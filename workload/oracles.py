@@ -108,14 +108,17 @@ FROM grouped GROUP BY shard, date"""
 _TERM = f"WITH {DOCUMENTS} SELECT log_id, time, topic, source FROM docs WHERE {_HAS_THE}"
 
 _COLLECTED = f"""
-SELECT CAST(doc_id AS VARCHAR) AS doc,
-       CASE WHEN source <> 'src3' THEN {JAN_1} + 60 * doc_id END AS time,
-       lang AS topic,
-       1 + len(string_split(text, chr(10))) AS n_lines,
-       md5(text) AS message,
-       'library' AS project, 'texts' AS logstore,
-       CASE WHEN source = 'src3' THEN 'time does not parse' END AS reject_reason
-FROM documents WHERE source = 'src3' OR lang IN ('en', 'fr', 'de')"""
+WITH taken AS (
+  SELECT kind AS logstore, doc_id, lang, source, text FROM documents
+  CROSS JOIN (VALUES ('texts'), ('spanish')) AS kinds(kind) WHERE kind = 'texts' OR source <> 'src1'
+)
+SELECT logstore, CAST(doc_id AS VARCHAR) AS doc, {JAN_1} + 60 * doc_id AS time, lang AS topic, source,
+       md5(text) AS message, NULL AS reject_reason
+FROM taken WHERE source <> 'src3' AND (lang = 'es') = (logstore = 'spanish')
+UNION ALL
+SELECT logstore, NULL, NULL, NULL, source, md5('[no time] doc=' || doc_id || ' lang=' || lang || chr(10) || text),
+       'time does not parse'
+FROM taken WHERE source = 'src3'"""
 
 _MEMBERS = r"""
 members AS (
@@ -195,7 +198,8 @@ SELECT DISTINCT unnest(list_filter(regexp_split_to_array(lower(text), '[,: ]'),
 FROM docs""",
     "build_key_index": f"""WITH {EVENTS}
 SELECT log_id, time, {_NUMBER_K} AS k, TRY_CAST(value AS DOUBLE) AS value FROM ev""",
-    "lookup_term": _TERM,
+    "lookup_term": f"""WITH {DOCUMENTS}
+SELECT time, topic, source FROM docs WHERE time >= {JAN_1 + 3600} AND time < {JAN_31} AND {_HAS_THE}""",
     "read_log_files": """
 SELECT source, lang, CAST(sum(1 + len(string_split(text, chr(10)))) AS BIGINT) AS n_lines,
        CAST(sum(length(replace(text, chr(10), ''))

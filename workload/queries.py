@@ -13,7 +13,7 @@ from logloom.functions.fields import field, key_compare, key_term_match, make_co
 from logloom.functions.times import seconds
 from logloom.model import MAX_TIME, IndexKey, IndexLine, ShardRange
 from logloom.operators import collect, consume, fleet, index, ingest, search
-from logloom.plans.collecting import collect_logs, write_collected
+from logloom.plans.collecting import collect_configs, rejects_path, routes_of, store_path, write_collected
 from logloom.plans.scratch import scratch_path
 from logloom.sources import store
 from logloom.sources.files import read_log_files, stream_log_files
@@ -74,11 +74,12 @@ def put_logs(spark, sf_dir):
 
 
 def put_logs_stream(spark, sf_dir):
-    """Groups arrive as files and are stored by a stream."""
+    """Groups arrive as files and are stored by a stream, in several batches."""
     arrived, path, state = (scratch_path(spark, n) for n in ("arrived", "store", "state"))
-    t.event_groups(spark, sf_dir).write.parquet(arrived)
+    t.event_groups(spark, sf_dir).repartition(4).write.parquet(arrived)
     schema = spark.read.parquet(arrived).schema
-    stream_store.put_logs_stream(spark.readStream.schema(schema).parquet(arrived), path, state)
+    groups = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(arrived)
+    stream_store.put_logs_stream(groups, path, state).awaitTermination()
     return _per_partition(store.read_groups(spark, path))
 
 
@@ -137,7 +138,8 @@ def tail_logs(spark, sf_dir):
     """A store is written, followed from 2024-01-15 in bounded steps, and counted."""
     path, out, state = (scratch_path(spark, n) for n in ("store", "tail", "state"))
     store.put_logs(t.event_groups(spark, sf_dir), path)
-    runs.run_to_files(stream_store.tail_logs(spark, path, max_files=10_000, start_time=t.JAN_15), out, state)
+    tail = stream_store.tail_logs(spark, path, max_files=10_000, start_time=t.JAN_15)
+    runs.start_files(tail, out, state).awaitTermination()
     return spark.read.parquet(out).groupBy("topic").agg(
         F.count(F.lit(1)).alias("n_logs"), F.min("time").alias("first_time"), F.max("time").alias("last_time")
     )
@@ -193,17 +195,14 @@ def histogram_total(spark, sf_dir):
 
 
 def live_histograms(spark, sf_dir):
-    """Events as a stream, counted per hour; the table of buckets is replaced by every batch."""
-    schema = t.table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
-    logs = stream.select(seconds(F.col("ts")).alias("time"))
-    out, state = scratch_path(spark, "buckets"), scratch_path(spark, "state")
-    runs.run_batches(
-        live.live_histograms(logs, 3600, LATENESS),
-        lambda batch, _: live.bucket_progress(batch, LATENESS).write.mode("overwrite").parquet(out),
-        state, mode="complete",
-    )
-    return spark.read.parquet(out)
+    """Events as a stream of several batches, the newest first, counted per hour."""
+    arrived, out, state = (scratch_path(spark, n) for n in ("arrived", "buckets", "state"))
+    logs = t.table(spark, sf_dir, "events").select(seconds(F.col("ts")).alias("time"))
+    for part in (F.col("time") >= t.JAN_15, F.col("time") < t.JAN_15):
+        logs.filter(part).repartition(2).write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(logs.schema).option("maxFilesPerTrigger", 1).parquet(arrived)
+        live.count_stream(stream, out, state, 3600).awaitTermination()
+    return live.live_histograms(spark, out, 3600, LATENESS)
 
 
 # index
@@ -219,12 +218,15 @@ def build_key_index(spark, sf_dir):
 
 
 def lookup_term(spark, sf_dir):
-    """The index is stored first and read back for the lookup."""
-    logs = t.documents_as_logs(spark, sf_dir)
-    path = scratch_path(spark, "index")
-    store.write_line_index(index.build_line_index(logs, LINE), path, t.BUCKETS)
-    hits = index.lookup_term(store.read_line_index(spark, path), logs, "The", LINE, t.BUCKETS)
-    return hits.select("log_id", "time", "topic", "source")
+    """Documents and their index are stored, and a word is looked up in a range of days."""
+    path, postings = scratch_path(spark, "store"), scratch_path(spark, "index")
+    groups = ingest.pack_log_groups(t.documents_as_logs(spark, sf_dir), 50, t.DAY, arrival=F.col("max_time"))
+    store.put_logs(groups, path)
+    logs = ingest.flatten_log_groups(store.read_groups(spark, path))
+    store.write_line_index(index.build_line_index(logs, LINE), postings, t.BUCKETS)
+    hits = index.lookup_term(
+        store.read_line_index(spark, postings), logs, "The", LINE, t.JAN_1 + 3600, t.JAN_31, t.BUCKETS)
+    return hits.select("time", "topic", "source")
 
 
 # collect
@@ -280,33 +282,46 @@ def derive_topic(spark, sf_dir):
 
 
 def route_records(spark, sf_dir):
-    routed = fleet.route_records(*t.route_inputs(spark, sf_dir), spread=["event_id"])
+    routed = fleet.route_records(*t.route_inputs(spark, sf_dir))
     return routed.select("event_id", "machine_id", "file_path", "config_name", "project", "logstore",
                          "group_name", "group_topic")
 
 
-def _collected(frame: DataFrame) -> DataFrame:
-    return frame.select(
-        field("doc").alias("doc"), "time", "topic", "n_lines",
-        F.md5(field("message")).alias("message"), "project", "logstore", "reject_reason",
-    )
+def _collected(spark: SparkSession, path: str) -> DataFrame:
+    """What the stores of a collection hold, and what it refused."""
+    held = [
+        ingest.flatten_log_groups(store.read_groups(spark, store_path(path, c.project, c.logstore))).select(
+            F.lit(c.logstore).alias("logstore"), field("doc").alias("doc"), "time", "topic", "source",
+            F.md5(field("message")).alias("message"), F.lit(None).cast("string").alias("reject_reason"))
+        for c in t.COLLECT_CONFIGS
+    ]
+    none = lambda name: F.lit(None).cast("string").alias(name)
+    refused = spark.read.parquet(rejects_path(path)).select(
+        F.col("config_name").alias("logstore"), none("doc"), F.lit(None).cast("bigint").alias("time"), none("topic"),
+        "source", F.md5("body").alias("message"), "reject_reason")
+    return reduce(DataFrame.unionByName, [*held, refused])
 
 
 def collect_logs_query(spark, sf_dir):
-    """Files to logs in batch, written by destination and read back."""
-    lines = read_log_files(spark, t.write_document_files(spark, sf_dir), t.FILE_CONFIG.file_pattern)
+    """Files of several machines through two configs into their stores."""
+    configs = t.configs_below(t.write_document_files(spark, sf_dir))
+    lines = read_log_files(spark, configs[0].log_path, "*.txt")
+    members, bindings = t.collecting_fleet(spark, sf_dir)
+    routes = routes_of(lines, configs, members, bindings, t.MACHINE)
     path = scratch_path(spark, "collected")
-    write_collected(collect_logs(lines, t.FILE_CONFIG), path)
-    return _collected(spark.read.parquet(path))
+    write_collected(collect_configs(lines, configs, t.MACHINE, routes), configs, path, t.PACKING)
+    return _collected(spark, path)
 
 
 def collect_logs_stream(spark, sf_dir):
-    """The same from a stream of files."""
-    files = t.write_document_files(spark, sf_dir)
-    lines = stream_log_files(spark, files, t.FILE_CONFIG.file_pattern, max_files=10_000)
+    """The same from a stream of files, in several batches."""
+    configs = t.configs_below(t.write_document_files(spark, sf_dir))
+    files = read_log_files(spark, configs[0].log_path, "*.txt")
+    routes = routes_of(files, configs, *t.collecting_fleet(spark, sf_dir), t.MACHINE)
+    lines = stream_log_files(spark, configs[0].log_path, "*.txt", max_files=60)
     path, state = scratch_path(spark, "collected"), scratch_path(spark, "state")
-    collect_stream(lines, t.FILE_CONFIG, path, state)
-    return _collected(spark.read.parquet(path))
+    collect_stream(lines, configs, path, state, t.MACHINE, t.PACKING, routes).awaitTermination()
+    return _collected(spark, path)
 
 
 # fleet

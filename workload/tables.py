@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from logloom.functions.fields import make_contents
 from logloom.functions.times import seconds, utc_date
 from logloom.model import CollectConfig
 from logloom.operators.ingest import assign_shard, flatten_log_groups, pack_log_groups
+from logloom.plans.collecting import Packing
 from logloom.plans.scratch import scratch_path
 from logloom.sources.store import put_logs, read_groups
 
@@ -24,8 +26,11 @@ MAX_LOGS = 2
 BLOCK_LINES = 16
 BUCKETS = 16
 
-FILE_CONFIG = CollectConfig(
-    name="documents",
+#: The machine a file of documents comes from, by its path.
+MACHINE = F.regexp_extract("file_path", "/source=([^/]*)/", 1)
+PACKING = Packing(shards=SHARDS, max_logs=50, window_s=DAY, arrival=JAN_31)
+TEXTS = CollectConfig(
+    name="texts",
     log_path="/var/log",
     file_pattern="*.txt",
     log_begin_regex=r"\[[^\]]*\] doc=[0-9]+ lang=[a-z]+",
@@ -39,6 +44,23 @@ FILE_CONFIG = CollectConfig(
     project="library",
     logstore="texts",
 )
+COLLECT_CONFIGS = (TEXTS, replace(TEXTS, name="spanish", filter_regex=("es", ""), logstore="spanish"))
+
+
+def configs_below(path: str) -> list[CollectConfig]:
+    """The configs for files that lie below a folder."""
+    return [replace(c, log_path=path) for c in COLLECT_CONFIGS]
+
+
+def collecting_fleet(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Sources as machines: all are in one group, which both configs apply to, but src1 only in another,
+    which has the first."""
+    machine = table(spark, sf_dir, "documents").select(F.col("source").alias("machine_id")).distinct()
+    group = F.when(F.col("machine_id") == "src1", "one").otherwise("most")
+    members = machine.select(group.alias("group_name"), "machine_id", F.lit("").alias("group_topic"))
+    bindings = spark.createDataFrame(
+        [("texts", "one"), ("texts", "most"), ("spanish", "most")], "config_name string, group_name string")
+    return members, bindings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
