@@ -307,9 +307,9 @@ def collect_logs_query(spark, sf_dir):
     configs = t.configs_below(t.write_document_files(spark, sf_dir))
     lines = read_log_files(spark, configs[0].log_path, "*.txt")
     members, bindings = t.collecting_fleet(spark, sf_dir)
-    routes = routes_of(lines, configs, members, bindings, t.MACHINE)
+    routes = routes_of(lines, configs, members, bindings, t.machine_of_file())
     path = scratch_path(spark, "collected")
-    write_collected(collect_configs(lines, configs, t.MACHINE, routes), configs, path, t.PACKING)
+    write_collected(collect_configs(lines, configs, t.machine_of_file(), routes), configs, path, t.PACKING)
     return _collected(spark, path)
 
 
@@ -317,10 +317,10 @@ def collect_logs_stream(spark, sf_dir):
     """The same from a stream of files, in several batches."""
     configs = t.configs_below(t.write_document_files(spark, sf_dir))
     files = read_log_files(spark, configs[0].log_path, "*.txt")
-    routes = routes_of(files, configs, *t.collecting_fleet(spark, sf_dir), t.MACHINE)
+    routes = routes_of(files, configs, *t.collecting_fleet(spark, sf_dir), t.machine_of_file())
     lines = stream_log_files(spark, configs[0].log_path, "*.txt", max_files=60)
     path, state = scratch_path(spark, "collected"), scratch_path(spark, "state")
-    collect_stream(lines, configs, path, state, t.MACHINE, t.PACKING, routes).awaitTermination()
+    collect_stream(lines, configs, path, state, t.machine_of_file(), t.PACKING, routes).awaitTermination()
     return _collected(spark, path)
 
 

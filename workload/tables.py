@@ -26,8 +26,6 @@ MAX_LOGS = 2
 BLOCK_LINES = 16
 BUCKETS = 16
 
-#: The machine a file of documents comes from, by its path.
-MACHINE = F.regexp_extract("file_path", "/source=([^/]*)/", 1)
 PACKING = Packing(shards=SHARDS, max_logs=50, window_s=DAY, arrival=JAN_31)
 TEXTS = CollectConfig(
     name="texts",
@@ -47,6 +45,11 @@ TEXTS = CollectConfig(
 COLLECT_CONFIGS = (TEXTS, replace(TEXTS, name="spanish", filter_regex=("es", ""), logstore="spanish"))
 
 
+def machine_of_file():
+    """The machine a file of documents comes from, by its path."""
+    return F.regexp_extract("file_path", "/source=([^/]*)/", 1)
+
+
 def configs_below(path: str) -> list[CollectConfig]:
     """The configs for files that lie below a folder."""
     return [replace(c, log_path=path) for c in COLLECT_CONFIGS]
