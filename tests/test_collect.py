@@ -1,18 +1,23 @@
 import random
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import logs_frame, tuples
-from logloom.model import CollectConfig
+from logloom.model import CollectConfig, IndexKey, IndexLine
 from logloom.operators.collect import (
     assemble_records, derive_topic, extract_fields, filter_records, glob_regex, parse_log_time,
 )
-from logloom.plans.collecting import accepted, collect_logs, rejected, write_collected
+from logloom.operators.ingest import flatten_log_groups
+from logloom.plans.collecting import (
+    Packing, accepted, collect_configs, collect_logs, rejected, rejects_path, routes_of, store_path, write_collected,
+)
 from logloom.sources.files import plain_path, read_log_files
+from logloom.sources.store import read_groups
 
-PIECES = "file_path", "record", "part", "n_lines", "body"
+PIECES = "file_path", "record", "part", "n_lines", "body", "oversize"
 
 
 def lines_frame(spark, files, block):
@@ -29,9 +34,10 @@ def expected_records(files, begin, max_lines):
                 record += 1
             members.setdefault(record, []).append(line)
         for r, body in members.items():
-            for at in range(0, len(body), max_lines):
-                part = body[at:at + max_lines]
-                out.append((name, r, at // max_lines, len(part), "\n".join(part)))
+            size = max_lines or len(body)
+            for at in range(0, len(body), size):
+                part = body[at:at + size]
+                out.append((name, r, at // size, len(part), "\n".join(part), len(body) > size))
     return sorted(out)
 
 
@@ -47,23 +53,23 @@ def random_files(seed):
 
 
 @pytest.mark.parametrize("block", [1, 3, 7, 1000])
-@pytest.mark.parametrize("max_lines", [1, 4, 1000])
+@pytest.mark.parametrize("max_lines", [1, 4, None])
 def test_records_do_not_depend_on_blocks(spark, block, max_lines):
-    files = random_files(block * max_lines)
+    files = random_files(block * (max_lines or 9))
     got = assemble_records(lines_frame(spark, files, block), "# .*", max_lines)
     assert tuples(got, *PIECES) == expected_records(files, "# .*", max_lines)
 
 
 def test_without_a_begin_regex_lines_are_records(spark):
     files = {"/a": ["1", "2", "3"]}
-    assert tuples(assemble_records(lines_frame(spark, files, 2), ""), *PIECES) == expected_records(files, None, 9)
+    assert tuples(assemble_records(lines_frame(spark, files, 2), ""), *PIECES) == expected_records(files, None, None)
 
 
 def test_a_begin_that_never_matches_loses_nothing(spark):
     files = {"/a": [str(n) for n in range(50)]}
     got = tuples(assemble_records(lines_frame(spark, files, 7), "never", 9), *PIECES)
     assert got == expected_records(files, "never", 9)
-    assert "\n".join(body for *_, body in got) == "\n".join(files["/a"])
+    assert "\n".join(body for *_, body, _ in got) == "\n".join(files["/a"])
 
 
 def write_files(folder, files):
@@ -154,11 +160,11 @@ def test_time_needs_a_key_or_an_ingest_time(spark):
 
 
 @pytest.mark.parametrize("mode, topic", [
-    ("/var/log/lambda/([^/]*)/.*", "my-service"), ("none", ""), ("", ""), ("group_topic", "the group"),
-    ("default", "/var/log/lambda/my-service/fjaishgaidhfiajf2343/func1.LOG"), ("/log/([^/]*)/.*", ""),
+    ("/data/apps/([^/]*)/.*", "billing"), ("none", ""), ("", ""), ("group_topic", "the group"),
+    ("default", "/data/apps/billing/run-17/worker.LOG"), ("/log/([^/]*)/.*", ""),
 ])
 def test_topics(spark, mode, topic):
-    path = "/var/log/lambda/my-service/fjaishgaidhfiajf2343/func1.LOG"
+    path = "/data/apps/billing/run-17/worker.LOG"
     frame = spark.createDataFrame([(path, "the group")], "file_path string, group_topic string")
     assert derive_topic(frame, mode).first().topic == topic
 
@@ -182,13 +188,64 @@ def test_collecting_keeps_all_that_fails(spark, tmp_path):
         regex=r"(\S+ \S+) ([A-Z]+) (.*)", keys=("at", "level", "message"), time_key="at",
         time_format="%Y-%m-%d %H:%M:%S", filter_keys=("level",), filter_regex=("INFO|WARN",),
         topic_format=".*/in/([^/]*)/.*", project="p", logstore="s", max_lines=3)
-    collected = collect_logs(read_log_files(spark, config.log_path, config.file_pattern), config, source="host")
-    write_collected(collected, str(tmp_path / "out"))
-    for frame in (collected, spark.read.parquet(str(tmp_path / "out"))):
-        good = accepted(frame).orderBy("time").collect()
-        assert [(r.time, r.topic, r.source, r.project, r.logstore, r.contents[2].value) for r in good] == [
-            (1704067200, "svc", "host", "p", "s", "one\n more"), (1704067202, "svc", "host", "p", "s", "two\n2\n3")]
-        assert tuples(rejected(frame), "record", "part", "body", "reject_reason") == [
-            (0, 0, "junk before", "extraction regex does not match"),
-            (2, 0, "2024-13-01 00:00:00 INFO bad month", "time does not parse"),
-            (4, 1, "4\n5", "continuation of a long record")]
+    lines = read_log_files(spark, config.log_path, config.file_pattern)
+    collected = collect_logs(lines, config, F.lit("host"))
+    good = accepted(collected).orderBy("time").collect()
+    assert [(r.time, r.topic, r.source, r.project, r.logstore, r.contents[2].value) for r in good] == [
+        (1704067200, "svc", "host", "p", "s", "one\n more")]
+    refused = [
+        (0, 0, "junk before", "extraction regex does not match"),
+        (2, 0, "2024-13-01 00:00:00 INFO bad month", "time does not parse"),
+        (4, 0, "2024-01-01 00:00:02 INFO two\n2\n3", "record has too many lines"),
+        (4, 1, "4\n5", "record has too many lines")]
+    assert tuples(rejected(collected), "record", "part", "body", "reject_reason") == refused
+    write_collected(collected, [config], str(tmp_path / "out"), Packing(2, arrival=1))
+    stored = read_groups(spark, store_path(str(tmp_path / "out"), "p", "s"))
+    assert tuples(flatten_log_groups(stored), "time", "topic", "source") == [(1704067200, "svc", "host")]
+    assert tuples(spark.read.parquet(rejects_path(str(tmp_path / "out"))), "record", "part", "body", "reject_reason") == refused
+    whole = collect_logs(lines, replace(config, max_lines=None), F.lit("host"))
+    assert [r.contents[2].value for r in accepted(whole).orderBy("time").collect()] == ["one\n more", "two\n2\n3\n4\n5"]
+
+
+def test_the_same_path_of_several_machines(spark, tmp_path):
+    for machine in ("a", "b"):
+        write_files(tmp_path / "in" / machine, {"var/app.LOG": ["one", "two"]})
+    config = CollectConfig(name="c", log_path="", regex="(.*)", keys=("m",), project="p", logstore="s")
+    source = F.regexp_extract("file_path", "/in/([^/]*)/", 1)
+    collected = collect_logs(read_log_files(spark, str(tmp_path / "in"), "*.LOG"), config, source, ingest_time=7)
+    assert tuples(collected, "source") == [("a",), ("a",), ("b",), ("b",)]
+    assert collected.select("log_id").distinct().count() == 4
+
+
+def test_files_with_carriage_returns(spark, tmp_path):
+    (tmp_path / "x.LOG").write_bytes(b"2024-01-01\r\n2024-01-02\r\n")
+    config = CollectConfig(name="c", log_path=str(tmp_path), regex="(.*)", keys=("at",), time_key="at", time_format="%Y-%m-%d",
+                           project="p", logstore="s", line_sep="\r\n")
+    collected = collect_logs(read_log_files(spark, config.log_path, "*.LOG", config.line_sep), config, F.lit("h"))
+    assert tuples(collected, "time", "reject_reason") == [(1704067200, None), (1704153600, None)]
+
+
+def test_a_destination_is_needed(spark, tmp_path):
+    config = CollectConfig(name="c", log_path="", regex="(.*)", keys=("m",))
+    lines = lines_frame(spark, {"/a": ["1"]}, 2)
+    with pytest.raises(ValueError, match="project or logstore"):
+        write_collected(collect_logs(lines, config, F.lit("h"), 7), [config], str(tmp_path), Packing(1))
+    with pytest.raises(ValueError, match="name"):
+        CollectConfig(name="", log_path="")
+    with pytest.raises(ValueError, match="delimiter"):
+        IndexKey(token=("",))
+    with pytest.raises(ValueError, match="delimiter"):
+        IndexLine(token=(" ", ""))
+
+
+def test_configs_take_the_files_routed_to_them(spark):
+    lines = lines_frame(spark, {"/m1/a/x.LOG": ["1"], "/m1/b/y.txt": ["2"], "/m2/a/x.LOG": ["3"]}, 2)
+    source = F.regexp_extract("file_path", "^/([^/]*)/", 1)
+    configs = [CollectConfig(n, path, pattern, regex="(.*)", keys=("m",), project="p", logstore=n)
+               for n, path, pattern in (("logs", "/", "*.LOG"), ("all", "/m1", "*"))]
+    configs = [replace(c, log_path=p) for c, p in zip(configs, ("/m1", "/m1"))] + [replace(configs[0], name="two", log_path="/m2/a")]
+    members = spark.createDataFrame([("g", "m1", ""), ("h", "m2", "")], "group_name string, machine_id string, group_topic string")
+    bindings = spark.createDataFrame([("logs", "g"), ("all", "g"), ("two", "h"), ("all", "h")], "config_name string, group_name string")
+    got = collect_configs(lines, configs, source, routes_of(lines, configs, members, bindings, source), ingest_time=7)
+    assert tuples(got, "config_name", "file_path") == [
+        ("all", "/m1/a/x.LOG"), ("all", "/m1/b/y.txt"), ("logs", "/m1/a/x.LOG"), ("two", "/m2/a/x.LOG")]

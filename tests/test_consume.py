@@ -19,7 +19,7 @@ def groups(spark, tmp_path_factory):
     rows = [(f"{i:04d}", rng.randrange(3 * DAY), "t", f"s{rng.randrange(4)}", None, [("i", str(i))],
              0 if rng.random() < 0.8 else 2) for i in range(300)]
     path = str(tmp_path_factory.mktemp("store") / "groups")
-    put_logs(pack_log_groups(spark.createDataFrame(rows, LOG_COLUMNS), 3, 3600), path)
+    put_logs(pack_log_groups(spark.createDataFrame(rows, LOG_COLUMNS), 3, 3600, F.col("max_time")), path)
     return read_groups(spark, path)
 
 
@@ -30,16 +30,59 @@ def cursors_of(groups, shard):
 def test_shards(groups):
     expected = [(s, len(c), c[0], c[-1]) for s in (0, 2) for c in [cursors_of(groups, s)]]
     assert tuples(list_shards(groups), "shard", "n_groups", "first_cursor", "last_cursor") == expected
+    every = list_shards(groups, 4).collect()
+    assert sorted((r.shard, r.n_groups) for r in every) == [(0, expected[0][1]), (1, 0), (2, expected[1][1]), (3, 0)]
 
 
 def test_positions(groups):
-    got = {(r.shard, r.position): r.cursor for r in resolve_cursor(groups, ["begin", "end", DAY, "end", 9 * DAY]).collect()}
+    got = {(r.shard, r.position): r.cursor
+           for r in resolve_cursor(groups, ["begin", "end", DAY, "end", 9 * DAY], 3).collect()}
     for shard in (0, 2):
         cursors = cursors_of(groups, shard)
         assert got[shard, "begin"] == cursors[0]
-        assert got[shard, "end"] == got[shard, str(9 * DAY)] == "~"
+        assert got[shard, "end"] == cursors[-1] + "~"
+        assert got[shard, str(9 * DAY)] == cursor_at(9 * DAY)
         assert got[shard, str(DAY)] == next(c for c in cursors if c >= cursor_at(DAY))
-    assert len(got) == 8
+        whole = pull_logs(groups, [ShardRange(shard, got[shard, "begin"], got[shard, "end"])], 1000)
+        assert whole.count() == len(cursors)
+    assert [got[1, p] for p in ("begin", "end", str(9 * DAY))] == ["", "", cursor_at(9 * DAY)]
+    assert len(got) == 12
+
+
+def put(spark, path, log_time, arrival, name):
+    logs = spark.createDataFrame([(name, log_time, "t", "s", None, [("i", name)], 0)], LOG_COLUMNS)
+    put_logs(pack_log_groups(logs, 3, 3600), path, arrival=arrival)
+
+
+def pulled_from(spark, path, cursor, most=10):
+    ranges = [ShardRange(0, cursor)]
+    found = pull_logs(read_groups(spark, path), ranges, most)
+    return [r.i for r in found.orderBy("place").selectExpr("logs[0].contents[0].value as i").collect()], \
+        next_cursors(found, ranges).first().next_cursor
+
+
+def test_what_arrives_late_is_delivered(spark, tmp_path):
+    path = str(tmp_path / "s")
+    put(spark, path, 1000, 5000, "first")
+    end = {r.position: r.cursor for r in resolve_cursor(read_groups(spark, path), ["end", 6000]).collect()}
+    seen, cursor = pulled_from(spark, path, "")
+    assert seen == ["first"]
+    assert [pulled_from(spark, path, c)[0] for c in end.values()] == [[], []]
+    put(spark, path, 500, 6000, "older log, later arrival")
+    assert pulled_from(spark, path, cursor)[0] == ["older log, later arrival"]
+    assert [pulled_from(spark, path, c)[0] for c in end.values()] == [["older log, later arrival"]] * 2
+    put(spark, path, 10, 6000, "same second")
+    assert sorted(pulled_from(spark, path, "")[0]) == ["first", "older log, later arrival", "same second"]
+
+
+def test_ranges_of_one_shard_have_limits_of_their_own(groups):
+    cursors = cursors_of(groups, 0)
+    ranges = [ShardRange(0, cursors[2]), ShardRange(0, cursors[0], cursors[1]), ShardRange(0, cursors[2])]
+    pulled = pull_logs(groups, ranges, 2)
+    assert tuples(pulled, "range", "place", "cursor") == [
+        (0, 1, cursors[2]), (0, 2, cursors[3]), (1, 1, cursors[0]), (2, 1, cursors[2]), (2, 2, cursors[3])]
+    assert [r.next_cursor for r in next_cursors(pulled, ranges).orderBy("range").collect()] == [
+        cursors[3] + "~", cursors[0] + "~", cursors[3] + "~"]
 
 
 def test_a_pull_is_bounded_per_shard_and_ordered(groups):
@@ -77,12 +120,18 @@ def test_successive_pulls_are_one_full_read(groups):
     assert following[7].next_cursor == ""
 
 
-def test_a_pull_skips_days_and_shards(groups):
-    plan = pull_logs(groups, [ShardRange(2, cursor_at(DAY), cursor_at(2 * DAY))], 5)._jdf.queryExecution().toString()
-    partition_filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
-    assert "shard" in partition_filters and "date" in partition_filters
-    assert "GreaterThanOrEqual(cursor," in plan
-    assert "WindowGroupLimit" in plan
+def test_a_pull_reads_the_logs_once_below_its_bound(spark, groups):
+    cursors = cursors_of(groups, 2)
+    length = spark.conf.get("spark.sql.maxMetadataStringLength")
+    try:
+        spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+        plan = pull_logs(groups, [ShardRange(2, cursors[1])], 5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", length)
+    payload = [l for l in plan.splitlines() if "FileScan" in l and "logs#" in l]
+    assert len(payload) == 1 and "shard#" in payload[0].split("PartitionFilters: [")[1].split("]")[0]
+    assert "LessThanOrEqual(cursor," in payload[0]
+    assert "Sort" not in plan.split("BroadcastExchange")[0]
 
 
 def test_a_pull_needs_a_shard(groups):

@@ -14,7 +14,8 @@ from logloom.operators.consume import list_shards, next_cursors, pull_logs, reso
 from logloom.operators.index import build_line_index, lookup_term
 from logloom.operators.ingest import assign_shard, flatten_log_groups, pack_log_groups
 from logloom.operators.search import find_logs, get_histograms, get_logs, histogram_total, scan_groups
-from logloom.plans.collecting import accepted, collect_files, rejected
+from logloom.plans.collecting import accepted, collect_logs, rejected
+from logloom.sources.files import read_log_files
 from logloom.sources.store import put_logs, read_groups
 from workload import tables as t
 
@@ -29,13 +30,15 @@ def documents(spark):
 
 @pytest.fixture(scope="module")
 def groups(spark, tmp_path_factory):
-    config = replace(t.FILE_CONFIG, log_path=t.write_document_files(spark, SF))
-    collected = collect_files(spark, config, source="host-1")
+    config = replace(t.TEXTS, log_path=t.write_document_files(spark, SF))
+    lines = read_log_files(spark, config.log_path, config.file_pattern)
+    collected = collect_logs(lines, config, F.lit("host-1"))
     assert rejected(collected).select("reject_reason").distinct().first()[0] == "time does not parse"
+    path = str(tmp_path_factory.mktemp("stores"))
+    # a group arrives with the newest of its logs
     logs = assign_shard(accepted(collected), 3, key="log_id")
-    path = str(tmp_path_factory.mktemp("store") / "groups")
-    put_logs(pack_log_groups(logs, 4, 1800), path)
-    return read_groups(spark, path)
+    put_logs(pack_log_groups(logs, 4, 1800, F.col("max_time")), path + "/groups")
+    return read_groups(spark, path + "/groups")
 
 
 def time_of(document):

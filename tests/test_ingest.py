@@ -1,5 +1,7 @@
 import datetime as dt
 import random
+import time
+from hashlib import md5
 from itertools import groupby
 from pathlib import Path
 
@@ -21,7 +23,7 @@ DAY = 86_400
 
 def test_known_sizes(spark):
     """The sizes of one recorded group: content 22, log 30, group 50, list 52."""
-    frame = groups_frame(spark, [("", "10.230.201.117", None, [(1405409656, [("TestKey", "TestContent")])])])
+    frame = groups_frame(spark, [("", "192.0.2.1:80001"[:14], None, [(1700000000, [("a" * 7, "b" * 11)])])])
     row = frame.withColumn("group", group_size("logs", "reserved", "topic", "source")).select(
         log_size("logs[0].time", "logs[0].contents").alias("log"), "group", list_size("group").alias("list"),
         group_size("logs", "reserved", "cast(null as string)", "source").alias("no_topic"),
@@ -47,6 +49,11 @@ def some_logs(spark, n, seed=1):
     return spark.createDataFrame(rows, LOG_COLUMNS), rows
 
 
+def ranked(log_id):
+    """The order of logs of one second."""
+    return md5(log_id.encode()).hexdigest()
+
+
 def packed_ids(groups):
     return [
         (r.shard, r.topic, r.source, [(l.time, l.contents[0].value.zfill(6)) for l in r.logs], r)
@@ -59,34 +66,44 @@ def test_groups_fill_up_in_order(spark):
     got = packed_ids(pack_log_groups(logs, 7, 3600))
     key = lambda r: (r[6], str(r[2]), r[3], r[1] // 3600)
     expected = []
-    for (shard, _, source, _), members in groupby(sorted(rows, key=lambda r: (key(r), r[1], r[0])), key=key):
+    for (shard, _, source, _), members in groupby(sorted(rows, key=lambda r: (key(r), r[1], ranked(r[0]))), key=key):
         members = list(members)
         for at in range(0, len(members), 7):
             expected.append((shard, str(members[at][2]), source, [(m[1], m[0]) for m in members[at:at + 7]]))
     assert sorted((s, str(t), so, l) for s, t, so, l, _ in got) == sorted(expected)
 
 
-@pytest.mark.parametrize("heat", [Heat(), Heat(max_keys=50, min_rows=10)])
-def test_every_log_is_in_one_group_however_hot_its_window(spark, heat):
+@pytest.mark.parametrize("max_logs", [7, 1])
+def test_groups_are_the_same_however_hot_a_window(spark, max_logs):
     logs, rows = some_logs(spark, 2000)
-    groups = pack_log_groups(logs, 7, 3600, heat)
+    groups = pack_log_groups(logs, max_logs, 3600, F.col("max_time") + 5)
     got = packed_ids(groups)
     assert sorted(i for *_, members, _ in got for _, i in members) == sorted(r[0] for r in rows)
     source = {r[0]: (r[6], r[2], r[3]) for r in rows}
     for shard, topic, origin, members, row in got:
-        assert 1 <= len(members) <= 7
-        assert members == sorted(members)
+        assert 1 <= len(members) <= max_logs
+        assert members == sorted(members, key=lambda m: (m[0], ranked(m[1])))
         assert {source[i] for _, i in members} == {(shard, topic, origin)}
         assert len({t // 3600 for t, _ in members}) == 1
         assert (row.n_logs, row.min_time, row.max_time) == (len(members), members[0][0], members[-1][0])
-        assert row.cursor.startswith(f"{row.min_time:010d}-")
+        assert row.cursor.startswith(f"{row.max_time + 5:010d}-")
     assert len({row.cursor for *_, row in got}) == len(got)
-    assert [r.cursor for r in groups.orderBy("cursor").collect()] == sorted(row.cursor for *_, row in got)
+    hot = pack_log_groups(logs, max_logs, 3600, F.col("max_time") + 5, Heat(max_keys=50, min_rows=10))
+    assert sorted(map(str, hot.collect())) == sorted(map(str, groups.collect()))
+
+
+def test_cursors_tell_groups_apart(spark):
+    """The same log id from three sources, topics and reserved fields, in one shard and second."""
+    rows = [("1", 5, topic, source, reserved, [], 0)
+            for topic in ("a", None) for source in ("x", "y", "x/y") for reserved in ("r", None)]
+    groups = pack_log_groups(spark.createDataFrame(rows, LOG_COLUMNS), 10, 60, 1000)
+    assert groups.select("cursor").distinct().count() == len(rows)
+    assert "cursor" not in pack_log_groups(spark.createDataFrame(rows, LOG_COLUMNS), 10, 60).columns
 
 
 def test_flattening_undoes_packing(spark):
     logs, rows = some_logs(spark, 300)
-    flat = flatten_log_groups(pack_log_groups(logs, 5, 3600))
+    flat = flatten_log_groups(pack_log_groups(logs, 5, 3600, 10**6))
     columns = ["time", "topic", "source", "reserved", "contents", "shard"]
     assert sorted(map(str, flat.select(columns).collect())) == sorted(map(str, logs.select(columns).collect()))
     assert flat.select("log_id").distinct().count() == len(rows)
@@ -101,7 +118,7 @@ def test_shards_are_stable_and_spread(spark):
 
 
 def test_an_empty_group_writes_nothing(spark, tmp_path):
-    put_logs(groups_frame(spark, [("test", "10.168.122.110", None, [])]), str(tmp_path / "s"))
+    put_logs(groups_frame(spark, [("test", "192.0.2.2", None, [])]), str(tmp_path / "s"))
     assert read_groups(spark, str(tmp_path / "s")).count() == 0
 
 
@@ -116,12 +133,13 @@ INVALID = [
 def test_invalid_groups_are_rejected_with_a_reason(spark, tmp_path):
     store, rejects = str(tmp_path / "s"), str(tmp_path / "r")
     valid = ("t", "s", None, [(2**32 - 1, [("k", "")]), (2**32 - 2, [])])
-    groups = groups_frame(spark, [valid, *INVALID])
+    none = groups_frame(spark, [valid]).withColumn("logs", F.lit(None).cast(groups_frame(spark, [valid]).schema["logs"].dataType))
+    groups = groups_frame(spark, [valid, *INVALID]).unionAll(none)
     put_logs(groups, store, rejects)
     assert tuples(read_groups(spark, store), "n_logs", "max_time") == [(2, 2**32 - 1)]
     reasons = [r.reject_reason for r in spark.read.parquet(rejects).collect()]
     assert sorted(reasons) == sorted(
-        ["log without time", "content without key or value", "content without key or value", "time out of range"])
+        ["log without time", "content without key or value", "content without key or value", "group without logs", "time out of range"])
     assert check_groups(groups).filter("reject_reason is null").count() == 1
 
 
@@ -143,10 +161,16 @@ def test_groups_are_cut_at_midnight(spark, tmp_path):
 
 def test_stored_cursors_are_kept(spark, tmp_path):
     logs, _ = some_logs(spark, 200)
-    packed = pack_log_groups(logs, 5, 3600)
+    packed = pack_log_groups(logs, 5, 3600, 10**6)
     put_logs(packed, str(tmp_path / "s"))
     assert tuples(read_groups(spark, str(tmp_path / "s")), "cursor", "n_logs", "raw_size") == \
         tuples(packed, "cursor", "n_logs", "raw_size")
+    put_logs(packed, str(tmp_path / "later"), arrival=2 * 10**6)
+    later = [c for c, in tuples(read_groups(spark, str(tmp_path / "later")), "cursor")]
+    assert later == [c.replace("0001000000", "0002000000") for c, in tuples(packed, "cursor")]
+    put_logs(pack_log_groups(logs, 5, 3600), str(tmp_path / "now"))
+    first = read_groups(spark, str(tmp_path / "now")).agg(F.min("cursor")).first()[0]
+    assert abs(int(first[:10]) - time.time()) < 600
 
 
 def test_unknown_columns_are_kept(spark, tmp_path):

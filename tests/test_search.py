@@ -113,7 +113,7 @@ def test_lookup_finds_what_the_scan_finds(spark, logs, tmp_path):
     for term in ("idx", "IDX", "7", "39", "absent"):
         scanned = tuples(logs.filter(term_match(term, LINE)), "log_id")
         assert tuples(lookup_term(build_line_index(logs, LINE), logs, term, LINE), "log_id") == scanned
-        stored = lookup_term(read_line_index(spark, path), logs, term, LINE, 8)
+        stored = lookup_term(read_line_index(spark, path), logs, term, LINE, buckets=8)
         assert tuples(stored, "log_id") == scanned
         assert "bucket#" in stored._jdf.queryExecution().toString().split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert len(tuples(logs.filter(term_match("idx", LINE)), "log_id")) == 400

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from logloom.functions.times import date_pattern, floor_to, parse_seconds, seconds, utc_date
+from logloom.functions.times import floor_to, parse_seconds, seconds, time_regex, utc_date
 
 UTC = dt.timezone.utc
 
@@ -21,23 +21,29 @@ def parse(spark, text, fmt, zone="UTC"):
     ("at '2024-02-29' it's 23 o'clock", "at '%Y-%m-%d' it's %H o'clock"),
     ("100% 2024-02-29", "100%% %Y-%m-%d"),
     ("2024-02-29 23:59:58+0530", "%Y-%m-%d %H:%M:%S%z"),
+    ("2024-02-29 23:59:58-08:00", "%Y-%m-%d %H:%M:%S%z"),
+    ("2024-02-29 23:59:58Z", "%Y-%m-%d %H:%M:%S%z"),
+    ("05/01/99", "%d/%m/%y"), ("05/01/69", "%d/%m/%y"), ("05/01/68", "%d/%m/%y"), ("29/02/00", "%d/%m/%y"),
+    ("Jan  5 2024", "%b %e %Y"), ("Thu Jan  5 23:01:02 2023", "%a %b %d %H:%M:%S %Y"),
+    ("Thursday, 05 January 2023", "%A, %d %B %Y"), ("%T 2024-02-29", "%%T %Y-%m-%d"),
+    ("12:01 am 2024-02-29", "%I:%M %p %Y-%m-%d"), ("2024060", "%Y%j"), ("2024-02-29 GMT", "%Y-%m-%d %Z"),
 ])
 def test_same_as_strptime(spark, text, fmt):
-    known = fmt.replace("%F", "%Y-%m-%d")
+    known = fmt.replace("%F", "%Y-%m-%d").replace("%e", "%d")
     expected = dt.datetime.strptime(text, known)
     expected = expected if expected.tzinfo else expected.replace(tzinfo=UTC)
     assert parse(spark, text, fmt) == int(expected.timestamp())
 
 
-@pytest.mark.parametrize("text", ["", "no time", "2024/13/01 00:00:00", "2024/01/01", None])
+@pytest.mark.parametrize("text", ["", "no time", "2024/13/01 00:00:00", "2024/01/01", "2023/02/29 00:00:00", "2024/01/01 24:00:00", "x2024/01/01 00:00:00", "\x012024\x0101\x01", None])
 def test_what_does_not_parse_is_null(spark, text):
     assert parse(spark, text, "%Y/%m/%d %H:%M:%S") is None
 
 
-@pytest.mark.parametrize("fmt", ["%A %Y-%m-%d", "%H:%M", "%Y-%m-%d %I:%M", "%Y-%m", "%Q"])
+@pytest.mark.parametrize("fmt", ["%H:%M", "%Y-%m-%d %I:%M", "%Y-%m", "%Q"])
 def test_formats_spark_cannot_parse_fail_before_the_job(fmt):
     with pytest.raises(ValueError):
-        date_pattern(fmt)
+        time_regex(fmt)
 
 
 def test_epoch_seconds_and_zones(spark):
