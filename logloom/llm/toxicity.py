@@ -1,9 +1,9 @@
 """Toxicity of texts from subword-bag embeddings and a linear softmax.
 
-A word is the mean of the embeddings of its character n-grams and of itself, all hashed to one table, so a
-spelling never seen before shares most of its vector with one that was. A window of words is the mean
-of its words, and a linear softmax over it gives the probability of label 1. A text is as toxic as its
-worst window, however long the rest of it is.
+A word is half its own embedding and half the mean of those of its character n-grams, all hashed to one
+table, so a spelling never seen before shares its n-grams' half with those that were. A window is the mean
+of its words, by default of a single one, and a linear softmax over it gives the probability of label 1. A
+text is as toxic as its worst window, however long the rest of it is.
 
 Embeddings and softmax are trained jointly in numpy, on a bounded sample of labelled texts: `MAX_ROWS` per
 label, of at most `MAX_BYTES` each, taken in the order of a hash of the id. Each round scores all windows
@@ -30,11 +30,18 @@ from logloom.llm.tables import whole_text
 
 MAX_ROWS = 3000
 MAX_BYTES = 20_000
-BUCKETS, DIMENSIONS = 1 << 17, 8
-GRAMS = (3, 4, 5)
+BUCKETS, DIMENSIONS = 1 << 18, 8
+#: Lengths of the character n-grams, in bytes: long enough for a stem with its mark of the begin.
+GRAMS = (3, 4, 5, 6, 7, 8)
 #: Words of a window.
-WINDOW = 12
+WINDOW = 1
+#: Grams that fewer texts of the sample hold have no vector: they could only tell single texts apart.
+MIN_TEXTS = 4
 PREDICTED = 0.7
+#: Windows of a clean text that a round learns from.
+WORST = 8
+#: Rate of the embeddings for each of the other weights'.
+GRAM_RATE = 20.0
 
 _INSIDE = np.zeros(256, dtype=bool)
 _INSIDE[[*b"0123456789abcdefghijklmnopqrstuvwxyz", *range(0x80, 0x100)]] = True
@@ -72,8 +79,16 @@ class Words:
             distinct, np.concatenate([p.grams for p in parts])[at], first,
         )
 
-    def windows(self, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    def shares(self) -> np.ndarray:
+        """Share of every gram in the vector of its word; the first gram of a word is the word itself."""
+        size = np.repeat(np.diff(self.first) - 1, np.diff(self.first))
+        whole = np.zeros(len(self.grams), dtype=bool)
+        whole[self.first[:-1]] = True
+        return np.where(size == 0, 1.0, np.where(whole, 0.5, 0.5 / np.maximum(size, 1)))
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """First word of every window, and of which text it is."""
+        size = WINDOW
         n = -(-np.diff(self.texts) // size)
         text = np.repeat(np.arange(len(n)), n)
         inside = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
@@ -134,14 +149,15 @@ class Model:
     @classmethod
     def new(cls, seed: int = 3) -> Model:
         values = np.random.Generator(np.random.PCG64(seed)).uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
-        return cls(values, np.zeros((DIMENSIONS, 2)), np.zeros(2))
+        weights = np.stack([-np.ones(DIMENSIONS), np.ones(DIMENSIONS)], axis=1)
+        return cls(values, weights, np.zeros(2))
 
     def word_scores(self, words: Words) -> np.ndarray:
         """What each spelling adds to the log odds of label 1 of a window, before averaging."""
         per_gram = self.embeddings @ (self.weights[:, 1] - self.weights[:, 0])
         if not len(words.grams):
             return np.zeros(0)
-        return np.add.reduceat(per_gram[words.grams], words.first[:-1]) / np.diff(words.first)
+        return np.add.reduceat(per_gram[words.grams] * words.shares(), words.first[:-1])
 
     def window_scores(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First word, text and log odds of every window."""
@@ -170,62 +186,81 @@ class Model:
         return cls(x[:e].reshape(BUCKETS, DIMENSIONS), x[e:-2].reshape(DIMENSIONS, 2), x[-2:])
 
 
-def train(words: Words, labels: np.ndarray, rounds: int = 14, rate: float = 0.25, batch: int = 256, seed: int = 3) -> Model:
-    """Fit a model to labelled texts. The first rounds learn from windows drawn at random, later ones from
-    the worst of each text and one at random; labels weigh alike however often they occur."""
+def _texts_of_grams(words: Words, chosen: np.ndarray) -> np.ndarray:
+    """For every place of the table how many of some texts use it, a text counted once per word."""
+    text = np.repeat(np.arange(len(words.texts) - 1), np.diff(words.texts))
+    mine = chosen[text]
+    pairs = np.unique(words.spelling[mine] * np.int64(len(words.texts)) + text[mine])
+    texts = np.bincount(pairs // len(words.texts), minlength=len(words.hashes))
+    return np.bincount(words.grams, np.repeat(texts, np.diff(words.first)), minlength=BUCKETS)
+
+
+def _suspicion(words: Words, ones: np.ndarray, both: np.ndarray, share: float) -> np.ndarray:
+    """How far each spelling's most telling gram is from being in toxic texts by chance, in standard
+    deviations. A word of a single text says little by this measure, a stem that many share a lot."""
+    expected = np.maximum(both * share, 1e-3)
+    return np.maximum.reduceat(((ones - expected) / np.sqrt(expected))[words.grams], words.first[:-1])
+
+
+def train(words: Words, labels: np.ndarray, rounds: int = 10, rate: float = 0.25, batch: int = 256, seed: int = 3) -> Model:
+    """Fit a model to labelled texts: by the worst window of a toxic text, and by the `WORST` worst and one
+    drawn at random of a clean one.
+
+    Which window of a text is its worst, the first rounds take from counts of grams in toxic and other
+    texts, later ones from the model. Labels weigh alike however often they occur.
+    """
     model = Model.new(seed)
+    if not len(words.spelling):
+        return model
+    ones = _texts_of_grams(words, labels == 1)
+    both = ones + _texts_of_grams(words, labels == 0)
+    known, shares = both >= MIN_TEXTS, words.shares()
+    model.embeddings[~known] = 0
+    suspicion = _suspicion(words, ones, both, float(labels.mean()))
     rng = np.random.Generator(np.random.PCG64(seed))
-    ones = max(int(labels.sum()), 1)
-    weight = np.where(labels == 1, 0.5 / ones, 0.5 / max(len(labels) - ones, 1)) * len(labels)
-    seen = [np.full(x.shape, 1e-6) for x in (model.embeddings, model.weights, model.offsets)]
+    count = max(int(labels.sum()), 1)
+    weight = np.where(labels == 1, 0.5 / count, 0.5 / max(len(labels) - count, 1)) * len(labels)
     for turn in range(rounds):
         first, text, odds = model.window_scores(words)
-        if not len(first):
-            return model
-        drawn = rng.random(len(first))
-        pools = [drawn, drawn[::-1], rng.random(len(first))] if turn < 3 else [odds + 1e-6 * drawn, drawn]
-        chosen = [_top(text, pool) for pool in pools]
-        # A random window of a toxic text says little; it counts for clean texts only, once words are known.
-        if turn >= 3:
-            chosen[1] = chosen[1][labels[text[chosen[1]]] == 0]
-        picked = rng.permutation(np.concatenate(chosen))
+        worst = np.maximum.reduceat(suspicion[words.spelling], first) if turn < 3 else odds
+        picked = rng.permutation(np.concatenate([
+            _top(text, worst, np.where(labels == 1, 1, WORST)), _top(text, rng.random(len(first)), 1 - labels)]))
         for at in range(0, len(picked), batch):
             part = picked[at: at + batch]
-            _step(model, seen, words, first[part], text[part], labels, weight, rate)
+            _step(model, words, shares, first[part], text[part], labels, weight, rate)
+            model.embeddings[~known] = 0
     return model
 
 
-def _top(text: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """The window of the largest value of each text."""
+def _top(text: np.ndarray, value: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """The windows of the `k` largest values of each text, `k` by text."""
     order = np.lexsort((value, text))
-    return order[np.append(text[order][1:] != text[order][:-1], True)]
+    behind = np.cumsum(np.bincount(text))[text[order]] - np.arange(len(order))  # 1 for the last of its text
+    return order[behind <= k[text[order]]]
 
 
-def _step(model: Model, seen, words: Words, first, text, labels, weight, rate: float) -> None:
-    """One step on some windows, by Adagrad."""
+def _step(model: Model, words: Words, shares, first, text, labels, weight, rate: float) -> None:
+    """One step on some windows. Embeddings move by plain gradients, so that a gram moves as far as the
+    windows that hold it agree; scaled ones would move the grams of a single text as far as common ones."""
     n = np.minimum(words.texts[text + 1] - first, WINDOW)
     window = np.repeat(np.arange(len(n)), n)
     word = words.spelling[np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)]
     begin, size = words.first[word], words.first[word + 1] - words.first[word]
-    gram = words.grams[np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)]
+    places = np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
+    gram = words.grams[places]
     owner = np.repeat(np.arange(len(word)), size)
-    share = (1 / (n[window] * size))[owner]  # of each gram in its window's mean
+    share = shares[places] / n[window][owner]  # of each gram in its window's mean
     mean = np.zeros((len(n), DIMENSIONS))
     np.add.at(mean, window[owner], model.embeddings[gram] * share[:, None])
     logits = mean @ model.weights + model.offsets
     p = np.exp(logits - logits.max(axis=1, keepdims=True))
     p /= p.sum(axis=1, keepdims=True)
     p[np.arange(len(n)), labels[text]] -= 1
-    p *= (weight[text] / len(n))[:, None]
-    grad_mean = p @ model.weights.T
-    touched, place = np.unique(gram, return_inverse=True)
-    grad = np.zeros((len(touched), DIMENSIONS))
-    np.add.at(grad, place, grad_mean[window[owner]] * share[:, None])
-    for x, total, g in ((model.weights, seen[1], mean.T @ p), (model.offsets, seen[2], p.sum(axis=0))):
-        total += g * g
-        x -= rate * g / np.sqrt(total)
-    seen[0][touched] += grad * grad
-    model.embeddings[touched] -= rate * grad / np.sqrt(seen[0][touched])
+    p *= weight[text][:, None]
+    grad = (p @ model.weights.T)[window[owner]] * share[:, None]
+    np.add.at(model.embeddings, gram, -rate * GRAM_RATE * grad)
+    model.weights -= rate * (mean.T @ p) / len(n)
+    model.offsets -= rate * p.sum(axis=0) / len(n)
 
 
 def held_out(doc_id: Column) -> Column:
