@@ -1,7 +1,7 @@
 """Toxicity of texts from subword-bag embeddings and a linear softmax.
 
 A word is half its own embedding and half the mean of those of its character n-grams, all hashed to one
-table, so a spelling never seen before shares its n-grams' half with those that were. A window is the mean
+table; a word that training did not meet often is its n-grams alone, which it shares with those it did. A window is the mean
 of its words, by default of a single one, and a linear softmax over it gives the probability of label 1. A
 text is as toxic as its worst window, however long the rest of it is.
 
@@ -79,12 +79,14 @@ class Words:
             distinct, np.concatenate([p.grams for p in parts])[at], first,
         )
 
-    def shares(self) -> np.ndarray:
-        """Share of every gram in the vector of its word; the first gram of a word is the word itself."""
-        size = np.repeat(np.diff(self.first) - 1, np.diff(self.first))
-        whole = np.zeros(len(self.grams), dtype=bool)
-        whole[self.first[:-1]] = True
-        return np.where(size == 0, 1.0, np.where(whole, 0.5, 0.5 / np.maximum(size, 1)))
+    def shares(self, known: np.ndarray) -> np.ndarray:
+        """Share of every gram in the vector of its word. The first gram of a word is the word itself; it has
+        half where its place is `known`, and leaves all to the n-grams elsewhere."""
+        size = np.diff(self.first)
+        own = np.where(size == 1, 1.0, np.where(known[self.grams[self.first[:-1]]], 0.5, 0.0))
+        shares = np.repeat((1 - own) / np.maximum(size - 1, 1), size)
+        shares[self.first[:-1]] = own
+        return shares
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """First word of every window, and of which text it is."""
@@ -146,6 +148,11 @@ class Model:
     weights: np.ndarray
     offsets: np.ndarray
 
+    @classmethod
+    def untrained(cls) -> Model:
+        """Nothing is known: every text scores 0.5."""
+        return cls(np.zeros((BUCKETS, DIMENSIONS)), np.zeros((DIMENSIONS, 2)), np.zeros(2))
+
     @classmethod
     def new(cls, seed: int = 3) -> Model:
         values = np.random.Generator(np.random.PCG64(seed)).uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
@@ -157,7 +164,8 @@ class Model:
         per_gram = self.embeddings @ (self.weights[:, 1] - self.weights[:, 0])
         if not len(words.grams):
             return np.zeros(0)
-        return np.add.reduceat(per_gram[words.grams] * words.shares(), words.first[:-1])
+        known = self.embeddings.any(axis=1)
+        return np.add.reduceat(per_gram[words.grams] * words.shares(known), words.first[:-1])
 
     def window_scores(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First word, text and log odds of every window."""
@@ -202,19 +210,20 @@ def _suspicion(words: Words, ones: np.ndarray, both: np.ndarray, share: float) -
     return np.maximum.reduceat(((ones - expected) / np.sqrt(expected))[words.grams], words.first[:-1])
 
 
-def train(words: Words, labels: np.ndarray, rounds: int = 10, rate: float = 0.25, batch: int = 256, seed: int = 3) -> Model:
+def train(words: Words, labels: np.ndarray, rounds: int = 16, rate: float = 0.25, batch: int = 256, seed: int = 3) -> Model:
     """Fit a model to labelled texts: by the worst window of a toxic text, and by the `WORST` worst and one
     drawn at random of a clean one.
 
     Which window of a text is its worst, the first rounds take from counts of grams in toxic and other
     texts, later ones from the model. Labels weigh alike however often they occur.
     """
-    model = Model.new(seed)
     if not len(words.spelling):
-        return model
+        return Model.untrained()
+    model = Model.new(seed)
     ones = _texts_of_grams(words, labels == 1)
     both = ones + _texts_of_grams(words, labels == 0)
-    known, shares = both >= MIN_TEXTS, words.shares()
+    known = both >= MIN_TEXTS
+    shares = words.shares(known)
     model.embeddings[~known] = 0
     suspicion = _suspicion(words, ones, both, float(labels.mean()))
     rng = np.random.Generator(np.random.PCG64(seed))
@@ -291,7 +300,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
             yield pa.record_batch({"model": [train(words, table["label"].to_numpy().astype(np.int64)).packed()]})
 
     rows = sample.select("doc_id", "text", "label").repartition(1).mapInArrow(learn, "model binary").collect()
-    return Model.unpacked(bytes(rows[0]["model"])) if rows else Model.new()
+    return Model.unpacked(bytes(rows[0]["model"])) if rows else Model.untrained()
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
