@@ -97,6 +97,8 @@ def decode_block(n: int, states: np.ndarray, words: np.ndarray, table: Table,
         out[first:last] = symbol
         state[:] = f[symbol] * (state >> _BITS) + slot - c[symbol]
         under = np.flatnonzero(state < _LOW)
+        if at + len(under) > len(words):
+            raise ValueError("damaged block: words are missing")
         state[under] = (state[under] << _WORD) | words[at: at + len(under)]
         at += len(under)
     if at != len(words) or (x != _LOW).any():

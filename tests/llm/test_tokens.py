@@ -68,10 +68,9 @@ def test_blocks_round_trip(ids):
 
 def test_token_files(spark, library, monkeypatch):
     monkeypatch.setattr(token_files, "TASK_BYTES", 300_000)
-    monkeypatch.setattr(token_files, "SEGMENT_IDS", 20_000)
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), path, BYTES)
-    assert spark.read.parquet(path).count() > 20
+    assert spark.read.parquet(path).count() > 5
     got = {r["doc_id"]: r for r in token_files.read_token_files(spark, path).collect()}
     docs, start = brute.read("documents").sort_values("doc_id"), 0
     for i, text in zip(docs.doc_id, docs.text):
