@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.tables import stored, whole_text
+from logloom.plans.once import with_once
 
 _BLANK = r"[\x20\x09-\x0D]"
 _SYMBOLS = "#*$%&|<>"
@@ -84,22 +85,21 @@ def measure(docs: DataFrame, text: str = "text", limits: Limits = Limits()) -> D
     """Documents with MEASURES, `base_failed`, `strict_failed` and `failures` (a boolean per rule)."""
     whole = whole_text(text)
     percent = lambda part, of, most: F.col(part) * 100 > F.col(of) * most
-    measured = (
-        docs.drop(*MEASURES, "base_failed", "strict_failed", "failures", "_words", "_lines")
-        .withColumns({
-            "_words": F.filter(F.split(whole, f"{_BLANK}+"), lambda w: w != ""),
-            "_lines": F.filter(F.split(whole, "\n"), lambda l: l.rlike(r"[^\x20\x09-\x0D]")),
-        })
-        .withColumns({
-            "n_words": F.size("_words").cast("bigint"),
-            "word_chars": F.length(F.array_join("_words", "")).cast("bigint"),
-            "n_symbols": F.length(F.regexp_replace(whole, f"[^{_SYMBOLS}]+", F.lit(""))).cast("bigint"),
-            "n_lines": F.size("_lines").cast("bigint"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
-            "n_repeat_words": _repeated_words(F.col("_words")),
-        })
-        .drop("_words", "_lines")
-    )
+    split = docs.drop(*MEASURES, "base_failed", "strict_failed", "failures", "_words", "_lines", "_measured").withColumns({
+        "_words": F.filter(F.split(whole, f"{_BLANK}+"), lambda w: w != ""),
+        "_lines": F.filter(F.split(whole, "\n"), lambda l: l.rlike(r"[^\x20\x09-\x0D]")),
+    })
+    values = {
+        "n_words": F.size("_words"),
+        "word_chars": F.length(F.array_join("_words", "")),
+        "n_symbols": F.length(F.regexp_replace(whole, f"[^{_SYMBOLS}]+", F.lit(""))),
+        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
+        "n_repeat_words": _repeated_words(F.col("_words")),
+        "n_lines": F.size("_lines"),
+    }
+    # Later filters would repeat these expressions below the projection that has them.
+    once = F.struct(*[v.cast("bigint").alias(n) for n, v in values.items()])
+    measured = with_once(split, "_measured", once).drop("_words", "_lines").select("*", "_measured.*").drop("_measured")
     strict = {
         "symbols": percent("n_symbols", "word_chars", limits.strict_symbols_percent),
         "dup_lines": percent("n_dup_lines", "n_lines", limits.strict_dup_lines_percent),
@@ -155,9 +155,10 @@ def host_quality(docs: DataFrame, text: str = "text", host: str = "source", limi
                  with_text: bool = True) -> DataFrame:
     """Documents with MEASURES, `base_failed`, `host_failed` and `kept`; without their text on wish.
 
-    Texts are read once: the measured rows go to the scratch folder, which the hosts' sums and the join
-    back then read.
+    Without texts the measured rows, which are short, go to the scratch folder, and texts are read once. With
+    them the rules are computed twice, for the hosts and for the result, rather than writing whole texts.
     """
     measured = measure(docs, text, limits)
-    measured = stored(measured if with_text else measured.drop(text), "measured")
+    if not with_text:
+        measured = stored(measured.drop(text), "measured")
     return apply_verdicts(measured, host_verdicts(measured, host, limits), host).drop("failures", "strict_failed")
