@@ -5,9 +5,9 @@ The chain reads a text's words by their shapes and labels them as beginning, ins
 same four kinds, so it also finds forms the patterns leave out, such as numbers without a country code
 or addresses with blanks around the sign. It is trained in numpy from a small labelled table.
 
-A word that holds neither a digit nor an @ is always outside. Stretches of other words are therefore
-independent of each other given their neighbours' shapes, and decoding them alone (Viterbi, all
-stretches of one length at a time) is decoding the whole text. Spans of the chain that overlap one of the
+A word more than `REACH` places from all words with a digit or an @ is always outside. Stretches of other
+words are therefore independent of each other given their neighbours' shapes, and decoding them alone
+(Viterbi, all stretches of one length at a time) is decoding the whole text. Spans of the chain that overlap one of the
 patterns, or that hold too few or too many digits, are dropped; those of the patterns stay.
 
 Positions count code points. NULL and empty texts have no spans; repeated rows give repeated results; an
@@ -46,6 +46,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _MARKED = re.compile(r"[0-9@]")
+#: Places around a word with a digit or an @ that the chain reads too: names and hosts may have neither.
+REACH = 2
 
 Span = tuple[str, int, int]
 
@@ -160,13 +162,12 @@ def train(rows: Sequence[tuple[Sequence[str], Sequence[str]]], rounds: int = 150
           decay: float = 1e-4) -> Chain:
     """Fit a chain to labelled stretches (words, labels) by the gradient of their likelihood.
 
-    The words without marks at both ends, labelled O, only lend their shapes.
+    Words beyond the reach of marked ones, labelled O, only lend their shapes.
     """
     fixed = _allowed()
     by_length: dict[int, list] = {}
     for words, labels in rows:
-        marked = [n for n, w in enumerate(words) if _MARKED.search(w)]
-        for first, last in _runs(marked):
+        for first, last in _stretches(words):
             x = [_features(words, n) for n in range(first, last)]
             y = [LABELS.index(labels[n]) for n in range(first, last)]
             by_length.setdefault(last - first, []).append((x, y))
@@ -228,6 +229,15 @@ def _runs(places: Sequence[int]) -> list[tuple[int, int]]:
     return [(int(r[0]), int(r[-1]) + 1) for r in np.split(at, edges)]
 
 
+def _stretches(words: Sequence[str]) -> list[tuple[int, int]]:
+    """Runs [first, last) of words within reach of a marked one."""
+    near = np.zeros(len(words) + 2 * REACH, dtype=bool)
+    for n, word in enumerate(words):
+        if _MARKED.search(word):
+            near[n: n + 2 * REACH + 1] = True
+    return _runs(np.flatnonzero(near[REACH: REACH + len(words)]))
+
+
 # The labelled table
 
 
@@ -248,7 +258,13 @@ def labelled_table(n: int = 1500, seed: int = 5) -> list[tuple[list[str], list[s
         name, host = plain() + rng.choice(["", ".", "_"]) + digits(rng.randint(0, 2)), plain() + digits(rng.randint(0, 1))
         tail = rng.choice(["example.com", "example.org", "mail.example.net"])
         return rng.choice([[f"{name}@{host}.{tail}"], [f"{name}@{host}.{tail}"], [f"<{name}@{host}.{tail}>"],
-                           [f"{name}@", f"{host}{rng.randint(1, 9)}.{tail}"]])
+                           [f"{name}@", f"{host}{rng.randint(1, 9)}.{tail}"], *split()])
+
+    def split() -> list[list[str]]:
+        """With blanks around the sign, mostly without a digit."""
+        name = plain() + rng.choice(["", "", f".{plain()}", f"_{plain()}", digits(2)])
+        host = rng.choice(["", "", f"{plain()}."]) + f"{plain()}.{rng.choice(['com', 'org', 'net', 'co.uk', 'de'])}"
+        return [[f"{name}@", host], [name, f"@{host}"], [name, "@", host]]
 
     def phone() -> list[str]:
         a, b, c = digits(3), digits(3), digits(4)
@@ -269,6 +285,7 @@ def labelled_table(n: int = 1500, seed: int = 5) -> list[tuple[list[str], list[s
             [f"{digits(1)},{digits(3)}"], [f"{digits(2)}:{digits(2)}:{digits(2)}"], [f"@{plain()}"], [f"{digits(2)}%"],
             [f"{rng.randint(256, 999)}.{digits(3)}.{digits(3)}.{digits(3)}"], [digits(4), digits(4)], [f"{digits(2)}-{digits(2)}"],
             [digits(3), digits(3)], ["2.0."], [f"({digits(1)})"], [f"({digits(4)})"], [f"[{digits(2)}]"],
+            ["@", plain()], [digits(1), "@", f"{digits(1)}.{digits(2)}"], [f"{plain()}.{plain()}", digits(2)],
         ])
 
     rows = []
@@ -301,7 +318,7 @@ def default_chain() -> Chain:
 def _plausible(kind: str, found: str) -> bool:
     digits = len(_digits(found))
     if kind == "email":
-        return "@" in found and "." in found
+        return next(_emails("".join(found.split())), None) is not None
     if kind == "phone":
         return 7 <= digits <= 15 and not found.isdigit()
     return _is_ip(found) if kind == "ip" and re.fullmatch(r"[0-9.]+", found) else kind == "card" and _is_card(found)
@@ -316,7 +333,7 @@ def chain_spans(texts: Sequence[str], chain: Chain) -> list[list[Span]]:
             continue
         found = [(m.start(), m.end()) for m in _WORD.finditer(text)]
         words = [text[a:b] for a, b in found]
-        for first, last in _runs([k for k, w in enumerate(words) if _MARKED.search(w)]):
+        for first, last in _stretches(words):
             features = [_features(words, k) for k in range(first, last)]
             waiting.setdefault(last - first, []).append((n, found[first:last], features))
     for stretches in waiting.values():

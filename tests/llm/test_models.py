@@ -34,6 +34,19 @@ def test_chain_on_unseen_rows():
     assert right / n > 0.93
 
 
+@pytest.mark.parametrize("address", ["jane @ example.com", "jane@ example.com", "jane @example.com", "j.smith @ mail.example.org",
+                                     "peter@ post.de", "anna_k @ uni.example.net"])
+@pytest.mark.parametrize("text", ["write to {} today", "{}", "please ask {}, or call", "Mail:\n{}.\nThe end of it", "of 12 people {} came"])
+def test_addresses_with_blanks_in_whole_texts(address, text):
+    spans = pii_crf.spans_of([text.format(address)], pii_crf.default_chain())[0][1]
+    assert pii_crf.redact(text.format(address), spans) == text.format("[EMAIL]")
+
+
+@pytest.mark.parametrize("text", ["meet me @ noon", "3 @ 5.00 each", "ask @peter about it", "we met @ the station. Then we left"])
+def test_signs_that_are_no_address(text):
+    assert pii_crf.spans_of([text], pii_crf.default_chain())[0][1] == []
+
+
 def test_decoding_is_the_best_path():
     rng = np.random.default_rng(4)
     chain = pii_crf.Chain(rng.normal(size=(50, len(pii_crf.LABELS))), rng.normal(size=(len(pii_crf.LABELS),) * 2))
