@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm import block_anchors, collision_index, host_rules, pii_crf, simhash_index, suffix_repeats, toxicity
 from logloom.llm.curve_packing import pack_along_curve
+from logloom.llm.filter_audit import audit
 from logloom.llm.piece_tokens import encode_pieces
 from logloom.llm.sql import ORACLES
 from logloom.llm.token_files import read_token_files, write_token_files
@@ -72,6 +73,10 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op13_filter_audit(spark, sf_dir):
+    return audit(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_rules": op1_host_rules,
     "op2_block_anchors": op2_block_anchors,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_crf": op8_pii_crf,
     "op9_collision_index": op9_collision_index,
     "op10_toxicity": op10_toxicity,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

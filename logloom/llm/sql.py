@@ -84,4 +84,48 @@ SELECT s.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(k.n, 0)):
 FROM split_words s LEFT JOIN kept k ON s.doc_id = k.doc_id
 """
 
-ORACLES = {"op1_host_rules": OP1, "op2_block_anchors": OP2}
+OP13 = rf"""
+WITH {_WORDS},
+failing AS (
+    SELECT coalesce(source, '') AS part, doc_id,
+        (len(words) < 200)::INT
+        + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+        + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+        + 8 * regexp_matches(t, '[#$%&*|]')::INT
+        + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t),
+                        doc_id IS NULL AND min(doc_id) OVER (PARTITION BY t) IS NOT NULL)::INT AS mask
+    FROM split_words
+),
+counted AS (
+    SELECT part, mask, count(*) AS n,
+        count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)) AS n_good,
+        count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)) AS n_toxic
+    FROM failing GROUP BY part, mask
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31
+),
+steps AS (
+    SELECT filter_order, step, l.x, l.bit,
+        (SELECT coalesce(sum(p.bit), 0)::INT FROM letters p WHERE instr(filter_order[1:step - 1], p.x) > 0) AS before
+    FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders) o JOIN letters l ON l.x = o.filter_order[step]
+),
+effects AS (
+    SELECT part, filter_order, step, x,
+        sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n_good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n_toxic ELSE 0 END)::BIGINT AS toxic_lost
+    FROM counted, steps GROUP BY part, filter_order, step, x
+)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    sum(removed) OVER (PARTITION BY part, x)::BIGINT AS shapley
+FROM effects
+"""
+
+ORACLES = {"op1_host_rules": OP1, "op2_block_anchors": OP2, "op13_filter_audit": OP13}
