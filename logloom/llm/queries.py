@@ -17,9 +17,17 @@ from logloom.llm.filter_audit import audit
 from logloom.llm.piece_tokens import encode_pieces
 from logloom.llm.sql import ORACLES
 from logloom.llm.token_files import read_token_files, write_token_files
+from logloom.llm.url_filter import ALLOW, BLOCK, as_entries, judge_urls
+from logloom.llm.whitening import whiten
 from logloom.plans.scratch import scratch_path
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+URL_RULES = [
+    ("org/", ALLOW), ("example.org/es/", BLOCK), ("example.org/en/1", BLOCK), ("com/fr/", ALLOW), ("com/de/", BLOCK)]
+#: A small block list of the invented web: advertising, betting, pills, spam and adult content.
+BLOCKED_HOSTS = [
+    "ads-track.example.com/", "casino-win.example.net/", "cheap-pills.example.net/", "free-bets.example.net/",
+    "spam-farm.example.org/", "adult-x.example.com/"]
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -73,6 +81,16 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op11_whitening(spark, sf_dir):
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_url_filters(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    blocked = as_entries(spark, [(entry, BLOCK) for entry in BLOCKED_HOSTS])
+    return judge_urls(pages, as_entries(spark, URL_RULES), blocked).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op13_filter_audit(spark, sf_dir):
     return audit(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -88,6 +106,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_crf": op8_pii_crf,
     "op9_collision_index": op9_collision_index,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_url_filters": op12_url_filters,
     "op13_filter_audit": op13_filter_audit,
 }
 

@@ -128,4 +128,31 @@ SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_f
 FROM effects
 """
 
-ORACLES = {"op1_host_rules": OP1, "op2_block_anchors": OP2, "op13_filter_audit": OP13}
+OP12 = r"""
+WITH cut AS (
+    SELECT page_id,
+        translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+    FROM pages
+),
+rules(rule_host, rule_path, rule_verdict) AS (VALUES
+    ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+listed(host) AS (VALUES
+    ('ads-track.example.com'), ('casino-win.example.net'), ('cheap-pills.example.net'), ('free-bets.example.net'),
+    ('spam-farm.example.org'), ('adult-x.example.com')),
+found AS (
+    SELECT c.*, (
+        SELECT max_by(struct_pack(rule := rule_host || rule_path, verdict := rule_verdict), length(rule_host || rule_path))
+        FROM rules WHERE (c.host = rule_host OR ends_with(c.host, '.' || rule_host)) AND starts_with(c.path, rule_path)
+    ) AS best, starts_with(path, '/') AND EXISTS (
+        SELECT 1 FROM listed l WHERE c.host = l.host OR ends_with(c.host, '.' || l.host)) AS blocked
+    FROM cut c
+)
+SELECT page_id, host, path, best.rule AS rule,
+    coalesce(best.verdict, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
+FROM found
+"""
+
+ORACLES = {"op1_host_rules": OP1, "op2_block_anchors": OP2, "op12_url_filters": OP12, "op13_filter_audit": OP13}
