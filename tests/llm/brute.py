@@ -104,6 +104,31 @@ def groups(prints):
     return [find(x) for x in range(len(prints))]
 
 
+def shingles(text):
+    words = [w.encode().lower() for w in WORD.findall(text or "")]
+    return {tuple(words[k:k + 5]) for k in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} - {()}
+
+
+def near_groups(rows, found=None):
+    """Least place of every component by the Jaccard similarity of all pairs; `found` collects those."""
+    sets, parent = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for b, y in enumerate(sets):
+        for a, x in enumerate(sets[:b]):
+            both = len(x & y)
+            if x == y or (both and 5 * both >= 4 * (len(x) + len(y) - both)):
+                if found is not None and x != y:
+                    found.append((a, b))
+                ra, rb = find(a), find(b)
+                parent[max(ra, rb)] = min(ra, rb)
+    return sorted({find(x) for x in range(len(rows))})
+
+
 def personal(text):
     out = []
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):

@@ -24,8 +24,7 @@ def plain(docs):
         if n >= 10 and 100 * repeated <= 20 * n:
             kept.append((d.doc_id, d.text))
     kept.sort()
-    roots = brute.groups([brute.fingerprint(t) for _, t in kept])
-    kept = [d for n, d in enumerate(kept) if roots[n] == n]
+    kept = [kept[n] for n in brute.near_groups(kept)]
     seen, out = set(), {}
     for i, text in kept:
         found = list(brute.WORD.finditer(text))
