@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logloom.functions.cursors import make_cursor, part_of, with_arrival
+from logloom.functions.cursors import make_cursor, of_put, part_of, put_of
 from logloom.functions.times import floor_to, utc_date
 from logloom.model import GROUPS_SCHEMA, POSTINGS_SCHEMA
 from logloom.operators.index import token_bucket
 from logloom.operators.ingest import check_groups, describe_groups, first_second, split_days
 from logloom.plans.scratch import scratch_path
+from logloom.sources.puts import Put, Puts
 
 _DAY = 86_400
 
@@ -54,53 +54,69 @@ def _write(groups: DataFrame, path: str, mode: str) -> None:
 
 
 def put_logs(groups: DataFrame, path: str, rejects_path: str | None = None, mode: str = "append",
-             arrival: int | None = None) -> None:
+             arrival: int | None = None, put: Put | None = None) -> None:
     """Store groups. Empty ones write nothing; groups across midnight are cut there.
 
-    `arrival` is the UNIX time at which the groups arrive; their cursors start with it. Without it,
-    groups keep the cursors they have, and those without one arrive now. A follower of the store misses
-    nothing as long as arrivals never go back.
+    A put takes the next number of the store's order (`sources.puts`) before it writes, or comes with one it has
+    taken earlier, and all its cursors start with its arrival and number: `arrival`, a UNIX time, or now, but no
+    earlier than the put before it. `read_settled` shows whole puts in their order, so that a follower misses
+    nothing and sees nothing twice. Groups that bring cursors keep them where no arrival is given; such a put, of a
+    store that is moved, has the order its cursors have and takes no number.
 
     Groups with a log without time, a time out of range, or a content without key or value go to
     `rejects_path` with the reason, or fail the whole write where no such path is given. With rejects
     the groups are judged once, into the scratch folder, from which first the rejects and then the valid
     ones are written; the store itself is written last.
     """
-    if written_by_stream(groups.sparkSession, path):
+    spark = groups.sparkSession
+    if written_by_stream(spark, path):
         raise ValueError(f"{path} is written by streams; store the groups below another path")
+    if "cursor" in groups.columns and arrival is None and put is None:
+        _put(groups, path, rejects_path, mode, None)
+        return
+    order = Puts(spark, path)
+    put = put or order.claim(arrival)
+    try:
+        _put(groups, path, rejects_path, mode, put)
+    except BaseException:
+        order.abandon(put.number)
+        raise
+    order.end(put)
+
+
+def _put(groups: DataFrame, path: str, rejects_path: str | None, mode: str, put: Put | None) -> None:
     if rejects_path is None:
-        _write(valid_groups(groups, arrival), path, mode)
+        _write(valid_groups(groups, put), path, mode)
         return
     checked = check_groups(groups).withColumn("valid", F.col("reject_reason").isNull())
     judged = scratch_path(groups.sparkSession, "judged")
     checked.write.partitionBy("valid").parquet(judged)
     checked = groups.sparkSession.read.schema(checked.schema).parquet(judged)
     checked.filter("not valid").drop("valid").write.mode(mode).parquet(rejects_path)
-    _write(_stored_form(checked.filter("valid").drop("valid"), arrival), path, mode)
+    _write(_stored_form(checked.filter("valid").drop("valid"), put), path, mode)
 
 
 def put_batch(groups: DataFrame, path: str, rejects_path: str | None = None) -> None:
-    """Write one batch of a stream to a folder of its own; a repeated batch replaces what was there."""
-    if rejects_path is None:
-        _write(valid_groups(groups), path, "overwrite")
-    else:
-        put_logs(groups, path, rejects_path, mode="overwrite")
+    """Write one batch of a stream to a folder of its own; a repeated batch replaces what was there. Batches of one
+    stream follow each other; their groups arrive when they run."""
+    _put(groups, path, rejects_path, "overwrite", None)
 
 
-def valid_groups(groups: DataFrame, arrival: int | None = None) -> DataFrame:
+def valid_groups(groups: DataFrame, put: Put | None = None) -> DataFrame:
     """Groups in stored form; the first invalid one fails the job."""
     failure = F.raise_error(F.concat(F.lit("invalid log group: "), F.col("reject_reason")))
     valid = F.when(F.col("reject_reason").isNotNull(), failure.cast("boolean")).otherwise(True)
-    return _stored_form(check_groups(groups).filter(valid), arrival)
+    return _stored_form(check_groups(groups).filter(valid), put)
 
 
-def _stored_form(groups: DataFrame, arrival: int | None = None) -> DataFrame:
+def _stored_form(groups: DataFrame, put: Put | None = None) -> DataFrame:
     groups = groups.drop("reject_reason")
     extra = [c for c in groups.columns if c not in GROUPS_SCHEMA.names]
+    cursor_of = (lambda key: of_put(put.arrival, put.number, key)) if put else (
+        lambda key: make_cursor(F.unix_timestamp(), key))
     if "cursor" not in groups.columns:
-        came = F.lit(int(time.time()) if arrival is None else arrival)
-        return describe_groups(split_days(groups), make_cursor(came, F.expr("uuid()")), extra)
-    given = F.col("cursor") if arrival is None else with_arrival(F.col("cursor"), F.lit(arrival))
+        return describe_groups(split_days(groups), cursor_of(F.expr("uuid()")), extra)
+    given = cursor_of(F.col("cursor")) if put else F.col("cursor")
     whole = groups.withColumn("given_cursor", given).drop("cursor").withColumn("first_day", utc_date(first_second()))
     # The part of the first day keeps the cursor, one cut off gets its own.
     day = utc_date(first_second())
@@ -109,6 +125,17 @@ def _stored_form(groups: DataFrame, arrival: int | None = None) -> DataFrame:
     return describe_groups(split_days(whole), cursor, extra)
 
 
+def read_settled(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:
+    """Groups of all puts before the first that is still being written. What a follower reads: `end` of these groups
+    bounds what is there, and later puts lie behind it, also those of the same second."""
+    settled = Puts(spark, path).settled()  # first, so that whatever it names is listed below
+    groups = read_groups(spark, path, extra)
+    if settled.bound is None:
+        return groups
+    groups = groups.filter(F.col("cursor") < settled.bound)
+    return groups.filter(~put_of(F.col("cursor")).isin([f"{n:08x}" for n in settled.void])) if settled.void else groups
+
+
 def read_groups(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:
     """Groups of a store. Columns beyond the stored schema are kept by `put_logs`; name those to read
     in `extra`, they are NULL in files that lack them."""

@@ -1,4 +1,5 @@
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,9 @@ from logloom.functions.cursors import cursor_at
 from logloom.model import ShardRange
 from logloom.operators.consume import list_shards, next_cursors, pull_logs, resolve_cursor
 from logloom.operators.ingest import pack_log_groups
-from logloom.sources.store import put_logs, read_groups
+from logloom.sources import puts
+from logloom.sources.puts import Put, Puts
+from logloom.sources.store import put_logs, read_groups, read_settled
 
 DAY = 86_400
 
@@ -75,6 +78,76 @@ def test_what_arrives_late_is_delivered(spark, tmp_path):
     assert sorted(pulled_from(spark, path, "")[0]) == ["first", "older log, later arrival", "same second"]
 
 
+def read_from(spark, path, cursor):
+    ranges = [ShardRange(0, cursor)]
+    found = pull_logs(read_settled(spark, path), ranges, 10)
+    return [r.i for r in found.orderBy("place").selectExpr("logs[0].contents[0].value as i").collect()], \
+        next_cursors(found, ranges).first().next_cursor
+
+
+def test_puts_of_one_second_have_an_order(spark, tmp_path):
+    path, cursor, seen = str(tmp_path / "s"), "", []
+    for n in range(4):
+        put(spark, path, 1000 - n, 5000, f"put {n}")
+        found, cursor = read_from(spark, path, cursor)
+        seen += found
+    assert seen == [f"put {n}" for n in range(4)]
+    end = resolve_cursor(read_settled(spark, path), ["end"]).first().cursor
+    put(spark, path, 1, 4000, "an arrival that goes back")
+    assert read_from(spark, path, cursor)[0] == ["an arrival that goes back"]
+    bounded = pull_logs(read_settled(spark, path), [ShardRange(0, "", end)], 10)
+    assert bounded.count() == 4
+
+
+def test_a_put_that_commits_later_is_read_in_its_place(spark, tmp_path):
+    path = str(tmp_path / "s")
+    put(spark, path, 1, 5000, "first")
+    order = Puts(spark, path)
+    slow = order.claim(5000)
+    put(spark, path, 2, 5000, "quick")
+    assert order.open() == [slow]
+    seen, cursor = read_from(spark, path, "")
+    assert seen == ["first"]
+    logs = spark.createDataFrame([("slow", 3, "t", "s", None, [("i", "slow")], 0)], LOG_COLUMNS)
+    put_logs(pack_log_groups(logs, 3, 3600), path, put=slow)
+    assert read_from(spark, path, cursor)[0] == ["slow", "quick"] and order.open() == []
+
+
+def test_failed_and_lost_puts_hold_nobody_back(spark, tmp_path):
+    path = str(tmp_path / "s")
+    bad = spark.createDataFrame([("x", None, "t", "s", None, [("i", "x")], 0)], LOG_COLUMNS)
+    with pytest.raises(Exception):
+        put_logs(pack_log_groups(bad, 3, 3600).withColumn("logs", F.expr("array(struct(cast(null as bigint) as time, logs[0].contents as contents))")),
+                 path, arrival=5000)
+    order = Puts(spark, path)
+    lost = order.claim(5000)
+    put(spark, path, 2, 5000, "behind")
+    assert read_from(spark, path, "")[0] == []
+    assert order.abandon(lost.number) and not order.abandon(lost.number)
+    assert read_from(spark, path, "")[0] == ["behind"]
+    logs = spark.createDataFrame([("late", 3, "t", "s", None, [("i", "late")], 0)], LOG_COLUMNS)
+    with pytest.raises(RuntimeError):
+        put_logs(pack_log_groups(logs, 3, 3600), path, put=lost)
+    assert read_groups(spark, path).count() == 2 and read_from(spark, path, "")[0] == ["behind"]
+
+
+def test_numbers_are_taken_once_and_gathered(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(puts, "LOOSE", 5)
+    order = Puts(spark, str(tmp_path / "s"))
+    assert order.settled() == puts.Settled(None)
+    with ThreadPoolExecutor(4) as pool:
+        taken = list(pool.map(lambda n: order.claim(100 + n), range(12)))
+    taken.sort(key=lambda p: p.number)
+    assert [p.number for p in taken] == list(range(1, 13))
+    assert [p.arrival for p in taken] == sorted(p.arrival for p in taken)
+    order.abandon(taken[1].number)
+    for p in taken[2:] + taken[:1]:
+        order.end(p)
+    assert order.settled() == puts.Settled(f"{taken[-1].arrival:010d}-{13:08x}", (2,))
+    assert len(list((tmp_path / "s" / "_puts").iterdir())) == 1
+    assert order.claim(1) == Put(13, taken[-1].arrival)
+
+
 def test_ranges_of_one_shard_have_limits_of_their_own(groups):
     cursors = cursors_of(groups, 0)
     ranges = [ShardRange(0, cursors[2]), ShardRange(0, cursors[0], cursors[1]), ShardRange(0, cursors[2])]

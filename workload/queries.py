@@ -15,7 +15,7 @@ from logloom.model import MAX_TIME, IndexKey, IndexLine, ShardRange
 from logloom.operators import collect, consume, fleet, index, ingest, search
 from logloom.plans.collecting import collect_configs, rejects_path, routes_of, store_path, write_collected
 from logloom.plans.scratch import scratch_path
-from logloom.sources import store
+from logloom.sources import puts, store
 from logloom.sources.files import read_log_files, stream_log_files
 from logloom.streaming import live, runs
 from logloom.streaming import store as stream_store
@@ -113,25 +113,46 @@ def next_cursors(spark, sf_dir):
 
 
 def follow_shards(spark, sf_dir):
-    """Events arrive in two rounds, the older ones last; a reader follows all shards in steps from the
-    beginning, and goes on where it was after the second round."""
+    """Events arrive in four puts. The first two do so in one second; the third takes its place before the fourth
+    but commits behind it. A reader follows all shards in steps from the beginning, after every commit."""
     path = scratch_path(spark, "store")
     logs = t.events_as_logs(spark, sf_dir)
-    ranges = [ShardRange(n, "") for n in range(t.SHARDS)]
-    steps = []
-    for arrival, part in ((t.JAN_31, F.col("time") >= t.JAN_15), (t.JAN_31 + 60, F.col("time") < t.JAN_15)):
-        store.put_logs(ingest.pack_log_groups(logs.filter(part), t.MAX_LOGS, t.DAY, arrival=arrival), path)
-        groups = store.read_groups(spark, path)
+    quarter = F.pmod(F.xxhash64("log_id"), F.lit(4))
+    follower = _Follower(spark, path)
+    put = lambda n, **when: store.put_logs(
+        ingest.pack_log_groups(logs.filter(quarter == n), t.MAX_LOGS, t.DAY), path, **when)
+    for n in (0, 1):
+        put(n, arrival=t.JAN_31)
+        follower.follow()
+    slow = puts.Puts(spark, path).claim(t.JAN_31)
+    put(3, arrival=t.JAN_31)
+    if follower.follow():
+        raise AssertionError("a put was read that an unfinished one precedes")
+    put(2, put=slow)
+    follower.follow()
+    read = reduce(DataFrame.unionByName, follower.steps)
+    return _values(ingest.flatten_log_groups(read), "time", "topic", "source", "shard")
+
+
+class _Follower:
+    """A reader that keeps its positions."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.steps = spark, path, []
+        self.ranges = [ShardRange(n, "") for n in range(t.SHARDS)]
+
+    def follow(self) -> int:
+        """Read in bounded steps until nothing is left; returns the number of steps."""
+        groups = store.read_settled(self.spark, self.path)
         most = consume.list_shards(groups).agg(F.max("n_groups")).first()[0] or 0
+        before = len(self.steps)
         while True:
-            pulled = consume.pull_logs(groups, ranges, max(1, most // 3))
-            following = consume.next_cursors(pulled, ranges).orderBy("range").collect()
+            pulled = consume.pull_logs(groups, self.ranges, max(1, most // 2))
+            following = consume.next_cursors(pulled, self.ranges).orderBy("range").collect()
             if not any(r["n_groups"] for r in following):
-                break
-            steps.append(pulled)
-            ranges = [ShardRange(r["shard"], r["next_cursor"]) for r in following]
-    read = reduce(DataFrame.unionByName, steps)
-    return _values(ingest.flatten_log_groups(read), "time", "topic", "source", "shard")
+                return len(self.steps) - before
+            self.steps.append(pulled)
+            self.ranges = [ShardRange(r["shard"], r["next_cursor"]) for r in following]
 
 
 def tail_logs(spark, sf_dir):
