@@ -15,7 +15,7 @@ from logloom.model import MAX_TIME, IndexKey, IndexLine, ShardRange
 from logloom.operators import collect, consume, fleet, index, ingest, search
 from logloom.plans.collecting import collect_configs, rejects_path, routes_of, store_path, write_collected
 from logloom.plans.scratch import scratch_path
-from logloom.sources import puts, store
+from logloom.sources import growing, puts, store
 from logloom.sources.files import read_log_files, stream_log_files
 from logloom.streaming import live, runs
 from logloom.streaming import store as stream_store
@@ -260,6 +260,19 @@ def read_log_files_query(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line")).alias("n_chars"))
 
 
+def follow_log_files(spark, sf_dir):
+    """Log files that a writer appends to and rotates between the steps of a reader, which sees each line once."""
+    folder, out, state = (scratch_path(spark, n) for n in ("growing", "lines", "state"))
+    steps = 3
+    for step in range(steps):
+        t.append_events(spark, sf_dir, folder, step, steps, rotate=step == 1)
+        runs.start_files(growing.follow_log_files(spark, folder, "*.log*"), out, state).awaitTermination()
+    parts = F.split("line", "[|]")
+    return spark.read.parquet(out).select(
+        parts[0].alias("at"), parts[1].cast("bigint").alias("event_id"), parts[2].alias("event_type"),
+        parts[3].cast("double").alias("value"), parts[4].alias("mark"))
+
+
 def assemble_records(spark, sf_dir):
     return collect.assemble_records(t.document_lines(spark, sf_dir), "[A-Z].*").drop("oversize")
 
@@ -422,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "build_key_index": build_key_index,
     "lookup_term": lookup_term,
     "read_log_files": read_log_files_query,
+    "follow_log_files": follow_log_files,
     "assemble_records": assemble_records,
     "assemble_bounded_records": assemble_bounded_records,
     "extract_fields": extract_fields,

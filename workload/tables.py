@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import replace
+from pathlib import Path
+from urllib.parse import urlparse
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -152,6 +155,28 @@ def written_times(ts) -> list[tuple]:
     ]
 
 
+def append_events(spark: SparkSession, sf_dir: str, folder: str, step: int, steps: int, rotate: bool = False) -> None:
+    """One step's share of the events' lines, appended to a log file per type by a task each. All but the last step
+    leave the end of their last line to the next one; a rotation gives the old file another name first."""
+    def write(kind: tuple, lines: pa.Table) -> pa.Table:
+        path = Path(urlparse(folder).path) / f"{kind[0].as_py()}.log"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        if rotate and path.exists():
+            # The writer finishes its line before it moves on.
+            with open(path, "ab") as file:
+                file.write(b"|end\n")
+            path.rename(path.with_name(f"{path.name}.{step}"))
+        begin = b"" if rotate or not step else b"|end\n"
+        rows = lines.sort_by("event_id")["line"].to_pylist()
+        with open(path, "ab") as file:
+            file.write(begin + b"|end\n".join(r.encode() for r in rows) + (b"|end\n" if step == steps - 1 else b""))
+        return pa.table({"n": pa.array([len(rows)], pa.int64())})
+
+    line = F.concat_ws("|", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "event_id", "event_type", "value")
+    mine = table(spark, sf_dir, "events").filter(F.pmod(F.col("event_id"), F.lit(steps)) == step)
+    mine.select("event_type", "event_id", line.alias("line")).groupBy("event_type").applyInArrow(write, "n bigint").collect()
+
+
 def write_document_files(spark: SparkSession, sf_dir: str) -> str:
     """Documents as log files with a header line each; those of one source have an unusable time."""
     path = scratch_path(spark, "files")
