@@ -31,9 +31,9 @@ def logs(spark):
     rng = random.Random(5)
     rows = []
     for i in range(400):
-        contents = [("col_0", str(rng.randrange(10_000_000)))] + [
-            (f"col_{c}", f"batch idx: {i // 40}, log idx: {i % 40}, col idx: {c}") for c in range(1, 4)]
-        rows.append((f"{i:06d}", BEGIN + rng.randrange(100), "" if i % 3 else "demo topic", "10.230.201.117", contents))
+        contents = [("amount", str(rng.randrange(10_000_000)))] + [
+            (f"note_{c}", f"round {i // 40}, place {i % 40}, note {c}") for c in range(1, 4)]
+        rows.append((f"{i:06d}", BEGIN + rng.randrange(100), "" if i % 3 else "billing", "192.0.2.7", contents))
     return logs_frame(spark, rows).cache()
 
 
@@ -41,19 +41,19 @@ def test_one_stored_record_is_found_by_word(spark, tmp_path):
     """A log written with a topic is found by a search over any topic: histogram 1, search 1."""
     path = str(tmp_path / "s")
     put_logs(groups_frame(spark, [
-        ("demo topic", "10.230.201.117", None, [(BEGIN, [("error code", "InternalServerError")])])]), path)
+        ("billing", "192.0.2.7", None, [(BEGIN, [("reason", "DiskFull")])])]), path)
     stored = flatten_log_groups(read_groups(spark, path))
-    word = term_match("InternalServerError", LINE)
+    word = term_match("DiskFull", LINE)
     assert histogram_total(get_histograms(stored, "", BEGIN, BEGIN + 2, word)).first()["count"] == 1
     page = get_logs(stored, "", BEGIN, BEGIN + 2, word, lines=100, offset=0).collect()
-    assert [r.fields for r in page] == [{"error code": "InternalServerError"}]
+    assert [r.fields for r in page] == [{"reason": "DiskFull"}]
     assert get_logs(stored, "other", BEGIN, BEGIN + 2, word).count() == 0
     assert get_logs(stored, "", BEGIN + 1, BEGIN + 2, word).count() == 0
     assert get_logs(stored, "", BEGIN - 1, BEGIN, word).count() == 0
 
 
 def test_pages_are_the_whole_result(logs):
-    wanted = key_compare("col_0", ">", 1_000_000)
+    wanted = key_compare("amount", ">", 1_000_000)
     total = histogram_total(get_histograms(logs, "", BEGIN, BEGIN + 100, wanted, 7)).first()["count"]
     pages, offset = [], 0
     while offset < total:
@@ -68,17 +68,17 @@ def test_pages_are_the_whole_result(logs):
 def test_pages_after_a_position(logs, reverse):
     pages, after = [], None
     while True:
-        page = get_logs(logs, "demo topic", BEGIN, BEGIN + 90, lines=37, reverse=reverse, after=after).collect()
+        page = get_logs(logs, "billing", BEGIN, BEGIN + 90, lines=37, reverse=reverse, after=after).collect()
         if not page:
             break
         pages += [(r.time, r.log_id) for r in page]
         after = pages[-1]
-    assert pages == sorted(tuples(scan_logs(logs, BEGIN, BEGIN + 90, "demo topic"), "time", "log_id"), reverse=reverse)
+    assert pages == sorted(tuples(scan_logs(logs, BEGIN, BEGIN + 90, "billing"), "time", "log_id"), reverse=reverse)
 
 
 def test_histogram_buckets(logs):
     """Buckets start at `from`, the last is cut at `to`, empty ones are there, the sum is the count."""
-    wanted = key_compare("col_0", "<", 100_000)
+    wanted = key_compare("amount", "<", 100_000)
     start, end = BEGIN + 3, BEGIN + 98
     buckets = sorted(get_histograms(logs, "", start, end, wanted, 10).collect())
     assert [(r["from"], r["to"]) for r in buckets] == [(s, min(s + 10, end)) for s in range(start, end, 10)]
@@ -110,13 +110,13 @@ def test_a_stored_scan_skips_days(spark, tmp_path):
 def test_lookup_finds_what_the_scan_finds(spark, logs, tmp_path):
     path = str(tmp_path / "index")
     write_line_index(build_line_index(logs, LINE), path, 8)
-    for term in ("idx", "IDX", "7", "39", "absent"):
+    for term in ("place", "PLACE", "7", "39", "absent"):
         scanned = tuples(logs.filter(term_match(term, LINE)), "log_id")
         assert tuples(lookup_term(build_line_index(logs, LINE), logs, term, LINE), "log_id") == scanned
         stored = lookup_term(read_line_index(spark, path), logs, term, LINE, buckets=8)
         assert tuples(stored, "log_id") == scanned
         assert "bucket#" in stored._jdf.queryExecution().toString().split("PartitionFilters: [")[1].split("PushedFilters")[0]
-    assert len(tuples(logs.filter(term_match("idx", LINE)), "log_id")) == 400
+    assert len(tuples(logs.filter(term_match("place", LINE)), "log_id")) == 400
 
 
 def test_the_line_index_needs_no_shuffle(logs):
