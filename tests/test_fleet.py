@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from helpers import tuples
 from logloom.operators.fleet import (
     applied_configs, applied_machine_groups, current_bindings, entity_snapshot, expand_machine_groups,
-    machine_totals, missing_targets, route_records,
+    machine_totals, missing_targets,
 )
+from logloom.operators.routing import binding_intervals, route_records, route_records_in_time
 from logloom.plans.skew import Heat, heavy_keys
 
 def test_heavy_keys_are_bounded_whatever_the_data(spark):
@@ -87,3 +88,71 @@ def test_records_go_to_every_config_that_covers_them(spark):
                 expected.append((i, "a", "a", "g2"))
     got = route_records(records, members, bindings, configs)
     assert tuples(got, "id", "config_name", "logstore", "group_name") == sorted(expected)
+
+
+def test_intervals_follow_a_feed_across_periods(spark):
+    rng = random.Random(5)
+    feed = [(rng.choice("cd"), rng.choice(["g", "hot", "hot"]), rng.choice(["apply", "remove"]), rng.randrange(0, 9 * 86_400, 7_200), n)
+            for n in range(300)]
+    rng.shuffle(feed)
+    got = binding_intervals(spark.createDataFrame(feed, "config_name string, group_name string, op string, time bigint, position int"))
+    expected = []
+    for pair in {f[:2] for f in feed}:
+        ops = dict((t, op) for t, _, op in sorted((f[3], f[4], f[2]) for f in feed if f[:2] == pair))
+        since = None
+        for time, op in ops.items():
+            if op == "apply" and since is None:
+                since = time
+            elif op == "remove" and since is not None:
+                expected.append((*pair, since, time))
+                since = None
+        if since is not None:
+            expected.append((*pair, since, None))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_records_go_where_they_were_bound_at_their_time(spark):
+    rng = random.Random(6)
+    year = 366 * 86_400
+    members = [("g1", "m1", "t1"), ("g2", "m1", "t2"), ("g2", "m2", "t2"), ("g1", None, "t1")]
+    configs = [("all", "/var/log", "*", "s1"), ("a", "/var/log/a/", "*.LOG", "s2"), ("root", "/", "x?LOG", "s3")]
+    intervals = []
+    for config, group in [("all", "g1"), ("all", "g2"), ("a", "g2"), ("root", "g1"), ("gone", "g1")]:
+        times = sorted(rng.sample(range(0, 6 * year, 1_801), 12)) + [6 * year]
+        intervals += [(config, group, a, b) for a, b in zip(times[:-1:2], times[1::2])] + [(config, group, times[-1], None)]
+    edges = [t for i in intervals for t in i[2:] if t is not None]
+    paths = ["/var/log/a/x.LOG", "/var/log/a/y.txt", "/var/log/ab/x.LOG", "/srv/x.LOG", "x.LOG", None]
+    records = [(n, rng.choice(["m1", "m2", "m3", None]), rng.choice(paths),
+                rng.choice([None, rng.randrange(0, 7 * year), *[rng.choice(edges) + rng.choice([-1, 0, 1]) for _ in range(4)]]))
+               for n in range(1500)]
+    covers = {"all": lambda p: p.startswith("/var/log/"), "a": lambda p: p == "/var/log/a/x.LOG",
+              "root": lambda p: p.startswith("/") and p.endswith("/x.LOG"), "gone": lambda p: False}
+    expected = []
+    for n, machine, path, time in records:
+        for config, _, _, store in configs:
+            if None in (machine, path, time) or not covers[config](path):
+                continue
+            groups = [g for g, m, _ in members if m == machine and any(
+                c == config and h == g and a <= time and (b is None or time < b) for c, h, a, b in intervals)]
+            if groups:
+                expected.append((n, config, store, min(groups)))
+    got = route_records_in_time(
+        spark.createDataFrame(records, "id int, machine_id string, file_path string, time bigint"),
+        spark.createDataFrame(members, "group_name string, machine_id string, group_topic string"),
+        spark.createDataFrame(intervals, "config_name string, group_name string, bound_from bigint, bound_to bigint"),
+        spark.createDataFrame(configs, "config_name string, log_path string, file_pattern string, logstore string"))
+    assert len(expected) > 300
+    assert got.columns == ["machine_id", "file_path", "id", "time", "config_name", "logstore", "group_name", "group_topic"]
+    assert tuples(got, "id", "config_name", "logstore", "group_name") == sorted(expected)
+
+
+def test_files_meet_only_configs_bound_above_them(spark):
+    n = 400
+    members = spark.createDataFrame([("g", "m", "t")], "group_name string, machine_id string, group_topic string")
+    bindings = spark.range(n).selectExpr("concat('c', id) AS config_name", "'g' AS group_name")
+    configs = spark.range(n).selectExpr("concat('c', id) AS config_name", "concat('/d', id) AS log_path", "'*.LOG' AS file_pattern")
+    records = spark.range(2 * n).selectExpr("id", "'m' AS machine_id", "concat('/d', id % 400, '/e/f.LOG') AS file_path")
+    found = route_records(records, members, bindings, configs)
+    assert tuples(found, "id", "config_name") == sorted((i, f"c{i % n}") for i in range(2 * n))
+    keys = "".join(l for l in found._jdf.queryExecution().toString().splitlines() if "Join" in l)
+    assert "_folder" in keys

@@ -128,6 +128,16 @@ members AS (
   FROM nation JOIN supplier ON n_nationkey = s_nationkey
 )"""
 
+# The state of a pair after each second in which it changed.
+_CHANGES = f"""
+seconds AS (
+  SELECT (CASE WHEN o_orderkey % 2 = 0 THEN 'all-' ELSE 'errors-' END) || r_name AS config_name, n_name AS group_name,
+         {JAN_1} + o_orderkey * 7919 % (30 * {DAY}) AS time, arg_max(o_orderstatus, o_orderkey) <> 'F' AS "on"
+  FROM orders JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  GROUP BY ALL
+)"""
+
 _FLAT = f"""WITH {GROUPS}
 SELECT g.cursor || '-' || lpad(CAST((rn - 1) % {MAX_LOGS} AS VARCHAR), 8, '0') AS log_id,
        s.time, s.topic, s.source, s.shard, s.value, s.k
@@ -251,6 +261,30 @@ JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey
 CROSS JOIN (VALUES ('all'), ('errors')) AS kinds(kind)
 WHERE kind = 'all' OR (event_type = 'error' AND regexp_full_match(machine_id, '1[0-9]'))""",
+    "binding_intervals": f"""WITH {_CHANGES},
+turns AS (
+  SELECT *, lag("on", 1, false) OVER (PARTITION BY config_name, group_name ORDER BY time) AS was FROM seconds
+)
+SELECT config_name, group_name, bound_from, bound_to FROM (
+  SELECT config_name, group_name, "on", time AS bound_from,
+         lead(time) OVER (PARTITION BY config_name, group_name ORDER BY time) AS bound_to
+  FROM turns WHERE "on" <> was
+) WHERE "on\"""",
+    "route_records_in_time": f"""WITH {_CHANGES},
+wanted AS (
+  SELECT event_id, epoch_us(ts) // 1000000 AS time, CAST(user_id AS VARCHAR) AS machine_id, event_type,
+         '/var/log/' || event_type || '/' || CAST(user_id AS VARCHAR) || '.LOG' AS file_path,
+         kind || '-' || r_name AS config_name, r_name AS project, kind AS logstore, n_name AS group_name
+  FROM events
+  JOIN customer ON user_id = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey
+  JOIN region ON n_regionkey = r_regionkey
+  CROSS JOIN (VALUES ('all'), ('errors')) AS kinds(kind)
+)
+SELECT event_id, machine_id, file_path, w.config_name, project, logstore, w.group_name, 'topic-' || w.group_name AS group_topic
+FROM wanted w ASOF JOIN seconds s
+  ON w.config_name = s.config_name AND w.group_name = s.group_name AND w.time >= s.time
+WHERE s."on" AND (logstore = 'all' OR (event_type = 'error' AND regexp_full_match(machine_id, '1[0-9]')))""",
     "collect_logs": _COLLECTED,
     "collect_logs_stream": _COLLECTED,
     "expand_machine_groups": f"WITH {_MEMBERS} SELECT group_name, ip, unique_id, userdefined_id FROM members",

@@ -12,7 +12,7 @@ from logloom.functions.cursors import cursor_at
 from logloom.functions.fields import field, key_compare, key_term_match, make_contents, term_match
 from logloom.functions.times import seconds
 from logloom.model import MAX_TIME, IndexKey, IndexLine, ShardRange
-from logloom.operators import collect, consume, fleet, index, ingest, search
+from logloom.operators import collect, consume, fleet, index, ingest, routing, search
 from logloom.plans.collecting import collect_configs, rejects_path, routes_of, store_path, write_collected
 from logloom.plans.scratch import scratch_path
 from logloom.sources import growing, puts, store
@@ -29,6 +29,7 @@ TEXT = IndexKey(type="text", token=(",", ":", " "))
 RANGES = [ShardRange(n, cursor_at(t.JAN_15)) for n in range(t.SHARDS)]
 URL_REGEX = r"(https?)://([^/]+)/([a-z]+)/([0-9]+)\?page=([0-9]+).*"
 URL_KEYS = ("scheme", "host", "lang", "number", "page")
+ROUTED = ["event_id", "machine_id", "file_path", "config_name", "project", "logstore", "group_name", "group_topic"]
 PATH_TOPIC = "/var/log/([^/]*)/.*"
 LATENESS = 600
 #: A range of several days that starts and ends within one.
@@ -316,9 +317,18 @@ def derive_topic(spark, sf_dir):
 
 
 def route_records(spark, sf_dir):
-    routed = fleet.route_records(*t.route_inputs(spark, sf_dir))
-    return routed.select("event_id", "machine_id", "file_path", "config_name", "project", "logstore",
-                         "group_name", "group_topic")
+    return routing.route_records(*t.route_inputs(spark, sf_dir)).select(*ROUTED)
+
+
+def binding_intervals(spark, sf_dir):
+    return routing.binding_intervals(t.binding_feed(spark, sf_dir))
+
+
+def route_records_in_time(spark, sf_dir):
+    """Events by what was bound when they happened."""
+    records, members, _, configs = t.route_inputs(spark, sf_dir)
+    intervals = routing.binding_intervals(t.binding_feed(spark, sf_dir))
+    return routing.route_records_in_time(records, members, intervals, configs).select(*ROUTED)
 
 
 def _collected(spark: SparkSession, path: str) -> DataFrame:
@@ -443,6 +453,8 @@ QUERIES: dict[str, Query] = {
     "parse_log_time": parse_log_time,
     "derive_topic": derive_topic,
     "route_records": route_records,
+    "binding_intervals": binding_intervals,
+    "route_records_in_time": route_records_in_time,
     "collect_logs": collect_logs_query,
     "collect_logs_stream": collect_logs_stream,
     "expand_machine_groups": expand_machine_groups,

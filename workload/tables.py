@@ -234,7 +234,7 @@ def route_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """Events as records of customers' machines; nations are groups, two configs per region."""
     machine = F.col("user_id").cast("string")
     records = table(spark, sf_dir, "events").select(
-        "event_id", machine.alias("machine_id"),
+        "event_id", machine.alias("machine_id"), seconds(F.col("ts")).alias("time"),
         F.concat(F.lit("/var/log/"), F.col("event_type"), F.lit("/"), machine, F.lit(".LOG")).alias("file_path"),
     )
     nations = table(spark, sf_dir, "nation")
@@ -256,3 +256,18 @@ def route_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         F.col("kind").alias("logstore"),
     )
     return records, members, bindings, configs
+
+
+def binding_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as changes of what is bound to their customer's nation, spread over the month of the events."""
+    orders, customer, nation, region = (table(spark, sf_dir, n) for n in ("orders", "customer", "nation", "region"))
+    kind = F.when(F.col("o_orderkey") % 2 == 0, "all").otherwise("errors")
+    return (
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            F.concat_ws("-", kind, "r_name").alias("config_name"), F.col("n_name").alias("group_name"),
+            F.when(F.col("o_orderstatus") == "F", "remove").otherwise("apply").alias("op"),
+            (F.lit(JAN_1) + F.col("o_orderkey") * 7919 % (30 * DAY)).cast("bigint").alias("time"),
+            F.col("o_orderkey").alias("position"))
+    )
