@@ -1,10 +1,9 @@
 """Which configs take which records: by path, by what is bound, and by when it was bound.
 
-Routes are found for files and not for records, which are many more. A file meets the groups of its machine and
-then, for each folder above it, the configs bound there: group and folder are equi keys, so no record, file or
-machine meets the other configs of its groups, and no table of machines times configs is made. Records are
-read twice, the first time for their machine and file alone. Hot machines, folders and files are left to adaptive
-execution, which splits them; the smaller sides are sent where their size allows.
+A record or file meets the groups of its machine and then, for each folder above it, the configs bound there: group
+and folder are equi keys, so nothing meets the other configs of its groups, and no table of machines times configs
+is made. Hot machines, folders and files are left to adaptive execution, which splits them; the smaller sides are sent
+where their size allows.
 """
 
 from __future__ import annotations
@@ -53,33 +52,44 @@ def _folders(path: Column) -> Column:
 def _bound_folders(bindings: DataFrame, configs: DataFrame) -> DataFrame:
     """Bindings with the path of their config, and its folder as `_folder`."""
     folder = F.concat(F.rtrim("log_path", F.lit("/")), F.lit("/")).alias("_folder")
-    return bindings.join(configs.select(*_CONFIG, folder).distinct(), "config_name")
+    return bindings.join(configs.select("*", folder), "config_name")
 
 
-def _covered(files: DataFrame, members: DataFrame, bound: DataFrame, keys: list[str]) -> DataFrame:
-    """Files of machines times the bindings whose folder and pattern cover them; `keys` are further equi keys."""
+def _covered(files: DataFrame, members: DataFrame, bound: DataFrame) -> DataFrame:
+    """Files of machines times the bindings whose folder and pattern cover them."""
     below = files.join(members, "machine_id").withColumn("_folder", F.explode(_folders(F.col("file_path"))))
     name = F.substring_index("file_path", "/", -1)
-    return below.join(bound, ["group_name", "_folder", *keys]).filter(_covers(F.col("file_pattern"), name))
-
-
-def file_routes(files: DataFrame, members: DataFrame, bindings: DataFrame, configs: DataFrame) -> DataFrame:
-    """(machine_id, file_path) of distinct files times the configs that cover them, with the columns of `configs`,
-    group_name and group_topic. A config that reaches a machine through several groups counts once, with the first
-    of these groups."""
-    bound = _bound_folders(bindings.select(*_PAIR), configs)
-    found = _covered(files.select("machine_id", "file_path"), members.select("group_name", "machine_id", "group_topic"), bound, [])
-    through = F.min(F.struct("group_name", "group_topic")).alias("through")
-    routes = found.groupBy("machine_id", "file_path", *_CONFIG).agg(through)
-    return routes.select("machine_id", "file_path", *_CONFIG, "through.*").join(configs, _CONFIG)
+    found = below.join(bound, ["group_name", "_folder"]).filter(_covers(F.col("file_pattern"), name))
+    return found.drop("_folder", "log_path", "file_pattern")
+
+
+def _once_per_machine(members: DataFrame, bindings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with the groups of their machine that come before theirs (`_before`), and bindings with the groups
+    before theirs, of those that share a machine with it, that their config is bound to as well (`_also`). A way in
+    which the two have a group in common is not the first one."""
+    members = members.groupBy("group_name", "machine_id").agg(F.min("group_topic").alias("group_topic"))
+    groups = members.groupBy("machine_id").agg(F.collect_set("group_name").alias("_groups"))
+    before = F.filter("_groups", lambda g: g < F.col("group_name"))
+    members = members.join(groups, "machine_id").withColumn("_before", before).drop("_groups")
+    bindings = bindings.select(*_PAIR).distinct()
+    meet = members.select("group_name", F.explode("_before").alias("_earlier")).distinct()
+    earlier = bindings.withColumnRenamed("group_name", "_earlier")
+    also = bindings.join(meet, "group_name").join(earlier, ["config_name", "_earlier"]).groupBy(*_PAIR).agg(
+        F.collect_set("_earlier").alias("_also"))
+    return members, bindings.join(also, _PAIR, "left")
 
 
 def route_records(records: DataFrame, members: DataFrame, bindings: DataFrame, configs: DataFrame) -> DataFrame:
     """Records (machine_id, file_path, ...) times the destinations of every config that is applied to
-    their machine's group and covers their path; records no config covers are not collected."""
-    files = records.select("machine_id", "file_path").distinct()
-    routes = file_routes(files, members, bindings, configs).drop("log_path", "file_pattern")
-    return records.join(routes, ["machine_id", "file_path"])
+    their machine's group and covers their path, with group_name and group_topic; records no config covers are not
+    collected. A config that reaches a machine through several groups counts once, with the first of these groups.
+
+    Records are read once. Records of many lines per file are better routed by file, see `routes_of`.
+    """
+    members, bindings = _once_per_machine(members.select("group_name", "machine_id", "group_topic"), bindings)
+    found = _covered(records, members, _bound_folders(bindings, configs))
+    first = ~F.coalesce(F.arrays_overlap("_before", "_also"), F.lit(False))
+    return found.filter(first).drop("_before", "_also")
 
 
 def binding_intervals(changes: DataFrame) -> DataFrame:
@@ -135,20 +145,24 @@ def _with_spans(intervals: DataFrame) -> DataFrame:
 def route_records_in_time(records: DataFrame, members: DataFrame, intervals: DataFrame, configs: DataFrame) -> DataFrame:
     """`route_records` by what was bound at the `time` of each record, see `binding_intervals`.
 
-    For each file and hour the bindings of that hour are looked up: an as-of join whose equi keys are group, folder and
-    the spans of time the hour lies in. What a record of that hour has to choose from comes in one array per config,
-    which holds no more than the changes of one hour in the groups of one machine. Records without a time go nowhere.
+    A record's ways, bound at any time, are narrowed to those of its hour: for each file and hour the intervals of that
+    hour are looked up, an as-of join whose equi keys are the pair and the spans of time the hour lies in. What a
+    record of that hour has to choose from comes in one array per config, which holds no more than the changes of
+    one hour in the groups of one machine. Records are read twice, first for machine, file and hour alone. Records
+    without a time go nowhere.
     """
     hour = floor_to(F.col("time"), SPAN, 0)
     spans = F.array(*[
         F.struct(F.lit(n).alias("_level"), F.floor(F.col("_hour") / (SPAN * RADIX ** n)).alias("_span")) for n in range(LEVELS)])
-    hours = records.filter(F.col("time").isNotNull()).select("machine_id", "file_path", hour.alias("_hour")).distinct()
-    bound = _with_spans(_bound_folders(intervals.select(*_PAIR, "bound_from", "bound_to"), configs))
-    looked_up = hours.select("*", F.inline(spans))
-    found = _covered(looked_up, members.select("group_name", "machine_id", "group_topic"), bound, ["_level", "_span"])
     key = ["machine_id", "file_path", "_hour"]
+    hours = records.filter(F.col("time").isNotNull()).select("machine_id", "file_path", hour.alias("_hour")).distinct()
+    paths = configs.select(*_CONFIG).withColumn("_config", F.struct(*_CONFIG))
+    bound = _bound_folders(intervals.select(*_PAIR).distinct(), paths)
+    found = _covered(hours, members.select("group_name", "machine_id", "group_topic"), bound).select("*", F.inline(spans))
+    held = _with_spans(intervals.select(*_PAIR, "bound_from", "bound_to"))
     ways = F.collect_set(F.struct("group_name", "group_topic", "bound_from", "bound_to")).alias("_ways")
-    routes = found.groupBy(*key, *_CONFIG).agg(ways).join(configs, _CONFIG).drop("log_path", "file_pattern")
+    routes = found.join(held, [*_PAIR, "_level", "_span"]).groupBy(*key, "_config").agg(ways)
+    routes = routes.select(*key, "_config.*", "_ways").join(configs, _CONFIG).drop("log_path", "file_pattern")
     met = records.withColumn("_hour", hour).join(routes, key)
     time = F.col("time")
     open_ = F.filter("_ways", lambda w: (w["bound_from"] <= time) & (time < F.coalesce(w["bound_to"], F.lit(MAX_TIME + 1))))

@@ -14,7 +14,7 @@ from logloom.operators.collect import (
     assemble_records, derive_topic, extract_fields, keeps, parse_log_time,
 )
 from logloom.operators.ingest import assign_shard, pack_log_groups
-from logloom.operators.routing import file_routes
+from logloom.operators.routing import route_records
 from logloom.plans.scratch import scratch_path
 from logloom.sources.store import put_batch, put_logs
 
@@ -73,7 +73,7 @@ def routes_of(lines: DataFrame, configs: Sequence[CollectConfig], members: DataF
     known = spark.createDataFrame(
         [(c.name, c.log_path, c.file_pattern) for c in configs], "config_name string, log_path string, file_pattern string")
     files = lines.select("file_path").distinct().withColumn("machine_id", source.cast("string"))
-    return file_routes(files, members, bindings, known).select("file_path", "config_name")
+    return route_records(files, members, bindings, known).select("file_path", "config_name")
 
 
 def collect_configs(lines: DataFrame, configs: Sequence[CollectConfig], source: Column,
