@@ -26,7 +26,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-SCHEMA = "file_path string, position bigint, line string"
+SCHEMA = "file_path string, position bigint, next_position bigint, line string"
 #: First bytes that tell files apart, bytes of a split, and bytes read at once in search of a line's end.
 PREFIX, SPLIT, STEP = 1024, 16 << 20, 1 << 16
 #: Listings until two in a row agree, so that a file that is being renamed is seen under one of its names.
@@ -166,7 +166,8 @@ class _Reader(DataSourceStreamReader):
             lines = [data[a:b].decode(errors="replace") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             yield pa.record_batch({
                 "file_path": pa.array([partition.path] * len(lines), pa.string()),
-                "position": pa.array(begin + starts, pa.int64()), "line": pa.array(lines, pa.string())})
+                "position": pa.array(begin + starts, pa.int64()),
+                "next_position": pa.array(begin + ends + 1, pa.int64()), "line": pa.array(lines, pa.string())})
 
 
 class GrowingFiles(DataSource):
@@ -184,8 +185,9 @@ class GrowingFiles(DataSource):
 
 
 def follow_log_files(spark: SparkSession, path: str, pattern: str = "*", split_bytes: int = SPLIT) -> DataFrame:
-    """Stream of the lines (file_path, position, line) of files below `path` while they grow. `file_path` is the name
-    a file had when its step began, `position` the byte at which the line starts; both order the lines of a file."""
+    """Stream of the lines (file_path, position, next_position, line) of files below `path` while they grow. `file_path` is
+    the name a file had when its step began, `position` the byte at which the line starts and `next_position` the one at
+    which the next line does; both order the lines of a file."""
     spark.dataSource.register(GrowingFiles)
     return spark.readStream.format("growing_files").option("path", path).option("pattern", pattern).option(
         "splitBytes", split_bytes).load()

@@ -212,6 +212,8 @@ SELECT log_id, time, {_NUMBER_K} AS k, TRY_CAST(value AS DOUBLE) AS value FROM e
 SELECT time, topic, source FROM docs WHERE time >= {JAN_1 + 3600} AND time < {JAN_31} AND {_HAS_THE}""",
     "follow_log_files": """
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, event_id, event_type, value, 'end' AS mark FROM events""",
+    "follow_records": """
+SELECT event_id, event_type, value, 'end' AS mark, CAST(0 AS BIGINT) AS part, CAST(2 AS BIGINT) AS n_lines FROM events""",
     "read_log_files": """
 SELECT source, lang, CAST(sum(1 + len(string_split(text, chr(10)))) AS BIGINT) AS n_lines,
        CAST(sum(length(replace(text, chr(10), ''))

@@ -17,7 +17,7 @@ from logloom.plans.collecting import collect_configs, rejects_path, routes_of, s
 from logloom.plans.scratch import scratch_path
 from logloom.sources import growing, puts, store
 from logloom.sources.files import read_log_files, stream_log_files
-from logloom.streaming import live, runs
+from logloom.streaming import live, records, runs
 from logloom.streaming import store as stream_store
 from logloom.streaming.collecting import collect_stream
 from workload import tables as t
@@ -274,6 +274,19 @@ def follow_log_files(spark, sf_dir):
         parts[3].cast("double").alias("value"), parts[4].alias("mark"))
 
 
+def follow_records(spark, sf_dir):
+    """Records of two lines in such files, the last one of each step cut: those that have ended and those still open."""
+    folder, out, state = (scratch_path(spark, n) for n in ("growing", "records", "state"))
+    steps = 3
+    for step in range(steps):
+        t.append_events(spark, sf_dir, folder, step, steps, rotate=step == 1, two_lines=True)
+        records.records_stream(growing.follow_log_files(spark, folder, "*.log*"), "EVENT.*", out, state).awaitTermination()
+    parts = F.split("body", "[|]")
+    return records.read_records(spark, out).unionByName(records.open_records(spark, out)).select(
+        parts[1].cast("bigint").alias("event_id"), F.trim(F.replace(parts[2], F.lit("\n"), F.lit(" "))).alias("event_type"),
+        parts[3].cast("double").alias("value"), parts[4].alias("mark"), "part", "n_lines")
+
+
 def assemble_records(spark, sf_dir):
     return collect.assemble_records(t.document_lines(spark, sf_dir), "[A-Z].*").drop("oversize")
 
@@ -446,6 +459,7 @@ QUERIES: dict[str, Query] = {
     "lookup_term": lookup_term,
     "read_log_files": read_log_files_query,
     "follow_log_files": follow_log_files,
+    "follow_records": follow_records,
     "assemble_records": assemble_records,
     "assemble_bounded_records": assemble_bounded_records,
     "extract_fields": extract_fields,

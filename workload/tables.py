@@ -155,9 +155,11 @@ def written_times(ts) -> list[tuple]:
     ]
 
 
-def append_events(spark: SparkSession, sf_dir: str, folder: str, step: int, steps: int, rotate: bool = False) -> None:
+def append_events(spark: SparkSession, sf_dir: str, folder: str, step: int, steps: int, rotate: bool = False,
+                  two_lines: bool = False) -> None:
     """One step's share of the events' lines, appended to a log file per type by a task each. All but the last step
-    leave the end of their last line to the next one; a rotation gives the old file another name first."""
+    leave the end of their last line to the next one; a rotation gives the old file another name first. With `two_lines`
+    an event's value is on a line of its own."""
     def write(kind: tuple, lines: pa.Table) -> pa.Table:
         path = Path(urlparse(folder).path) / f"{kind[0].as_py()}.log"
         path.parent.mkdir(parents=True, exist_ok=True)
@@ -173,6 +175,8 @@ def append_events(spark: SparkSession, sf_dir: str, folder: str, step: int, step
         return pa.table({"n": pa.array([len(rows)], pa.int64())})
 
     line = F.concat_ws("|", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "event_id", "event_type", "value")
+    if two_lines:
+        line = F.concat(F.lit("EVENT|"), F.concat_ws("|", "event_id", "event_type"), F.lit("\n |"), F.col("value").cast("string"))
     mine = table(spark, sf_dir, "events").filter(F.pmod(F.col("event_id"), F.lit(steps)) == step)
     mine.select("event_type", "event_id", line.alias("line")).groupBy("event_type").applyInArrow(write, "n bigint").collect()
 
