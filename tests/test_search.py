@@ -8,7 +8,10 @@ from logloom.functions.fields import key_compare, term_match
 from logloom.model import Index, IndexKey, IndexLine
 from logloom.operators.index import build_index, build_key_index, build_line_index, lookup_term
 from logloom.operators.ingest import flatten_log_groups
-from logloom.operators.search import find_logs, get_histograms, get_logs, histogram_total, scan_groups, scan_logs
+from logloom.operators import search
+from logloom.operators.search import (
+    find_logs, get_histograms, get_logs, get_logs_by_rank, histogram_total, scan_groups, scan_logs,
+)
 from logloom.sources.store import put_logs, read_groups, read_line_index, write_line_index
 
 LINE = IndexLine((",", ":", " "))
@@ -145,3 +148,27 @@ def test_times_beyond_a_signed_int(spark):
     assert get_logs(logs, "", late, late + 1).count() == 1
     assert sum(r["count"] for r in get_histograms(logs, "", late - 10, late + 4, None, 3).collect()) == 1
     assert logs.filter(F.col("date") == "2106-02-07").count() == 1
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_pages_by_rank_equal_pages(spark, monkeypatch, reverse):
+    rng = random.Random(17)
+    monkeypatch.setattr(search, "SLICES", 5)
+    monkeypatch.setattr(search, "PASSED", 6)
+    times = [rng.choice([3, 4, rng.randrange(0, 1000), 990]) for _ in range(160)]
+    logs = logs_frame(spark, [(f"{n:03d}", BEGIN + t, "t", "s", [("k", str(n % 4))]) for n, t in enumerate(times)]).cache()
+    wanted = key_compare("k", ">", 0)
+    hits = sorted(((BEGIN + t, f"{n:03d}") for n, t in enumerate(times) if n % 4 and 2 <= t < 995), reverse=reverse)
+    for lines, offset in [(10, 0), (7, 33), (1, len(hits) - 1), (30, len(hits) - 12), (500, 3), (5, len(hits)), (0, 2)]:
+        page = get_logs_by_rank(logs, "", BEGIN + 2, BEGIN + 995, wanted, lines, offset, reverse).collect()
+        assert [(r.time, r.log_id) for r in page] == hits[offset: offset + lines]
+    assert get_logs_by_rank(logs, "", BEGIN + 9, BEGIN + 9, wanted).count() == 0
+
+
+def test_a_deep_page_sorts_its_slice_only(spark, monkeypatch):
+    monkeypatch.setattr(search, "PASSED", 50)
+    logs = logs_frame(spark, [(f"{n:05d}", BEGIN + n, "t", "s", [("k", "1")]) for n in range(5000)])
+    text = plan_of(get_logs_by_rank(logs, "", BEGIN, BEGIN + 5000, lines=10, offset=4900))
+    # The page begins in a slice of five seconds; nothing before it is read or passed over.
+    assert f">= {BEGIN + 4900})" in text
+    assert "4910" not in text.replace(str(BEGIN + 4910), "")

@@ -189,6 +189,9 @@ SELECT log_id, time, value, k FROM ev WHERE {_NUMBER_K} > 50 AND TRY_CAST(value
     "get_logs": f"""SELECT log_id, time, topic, source, value, k FROM ({_FLAT})
 WHERE time >= {JAN_2 + 40_000} AND time < {JAN_15 + 30_000} AND {_NUMBER_K} > 10
 ORDER BY time DESC, log_id DESC LIMIT 100 OFFSET 100""",
+    "get_logs_by_rank": f"""SELECT log_id, time, topic, source, value, k FROM ({_FLAT})
+WHERE time >= {JAN_2 + 40_000} AND time < {JAN_15 + 30_000} AND {_NUMBER_K} > 10
+ORDER BY time DESC, log_id DESC LIMIT 100 OFFSET 50""",
     "get_histograms": f"""WITH {EVENTS},
 buckets AS (SELECT unnest(range({JAN_2}, {JAN_2 + DAY - 100}, 3600)) AS lo)
 SELECT lo AS "from", least(lo + 3600, {JAN_2 + DAY - 100}) AS "to", count(log_id) AS count, 'Complete' AS progress

@@ -203,6 +203,15 @@ def get_logs(spark, sf_dir):
                        F.col("fields")["k"].alias("k"))
 
 
+def get_logs_by_rank(spark, sf_dir):
+    """A page close to the last hit."""
+    logs, wanted = t.stored_events(spark, sf_dir), key_compare("k", ">", 10)
+    hits = search.histogram_total(search.get_histograms(logs, "", *MIDDAYS, wanted, t.DAY)).first()["count"]
+    page = search.get_logs_by_rank(logs, "", *MIDDAYS, wanted, lines=100, offset=max(0, hits - 150))
+    return page.select("log_id", "time", "topic", "source", F.col("fields")["value"].alias("value"),
+                       F.col("fields")["k"].alias("k"))
+
+
 def get_histograms(spark, sf_dir):
     return search.get_histograms(
         t.stored_events(spark, sf_dir), "error", t.JAN_2, t.JAN_2 + t.DAY - 100,
@@ -451,6 +460,7 @@ QUERIES: dict[str, Query] = {
     "key_term_match": key_term_match_query,
     "key_compare": key_compare_query,
     "get_logs": get_logs,
+    "get_logs_by_rank": get_logs_by_rank,
     "get_histograms": get_histograms,
     "histogram_total": histogram_total,
     "live_histograms": live_histograms,
