@@ -201,6 +201,11 @@ GROUP BY lo""",
     "histogram_total": f"""WITH {EVENTS}
 SELECT count(*) AS count, 'Complete' AS progress FROM ev
 WHERE time >= {JAN_2 + 40_000} AND time < {JAN_15 + 30_000} AND {_NUMBER_K} <= 50""",
+    "rollup_histograms": f"""WITH {EVENTS},
+buckets AS (SELECT unnest(range({JAN_2 + 40_007}, {JAN_15 + 30_013}, {DAY})) AS lo)
+SELECT lo AS "from", least(lo + {DAY}, {JAN_15 + 30_013}) AS "to", count(log_id) AS count, 'Complete' AS progress
+FROM buckets LEFT JOIN ev ON time >= lo AND time < least(lo + {DAY}, {JAN_15 + 30_013})
+GROUP BY lo""",
     "live_histograms": f"""WITH {EVENTS}
 SELECT time // 3600 * 3600 AS "from", time // 3600 * 3600 + 3600 AS "to", count(*) AS count,
        CASE WHEN time // 3600 * 3600 + 3600 <= (SELECT max(time) FROM ev) - 600 THEN 'Complete' ELSE 'Incomplete' END AS progress

@@ -12,7 +12,7 @@ from logloom.functions.cursors import cursor_at
 from logloom.functions.fields import field, key_compare, key_term_match, make_contents, term_match
 from logloom.functions.times import seconds
 from logloom.model import MAX_TIME, IndexKey, IndexLine, ShardRange
-from logloom.operators import collect, consume, fleet, index, ingest, routing, search
+from logloom.operators import collect, consume, fleet, index, ingest, rollups, routing, search
 from logloom.plans.collecting import collect_configs, rejects_path, routes_of, store_path, write_collected
 from logloom.plans.scratch import scratch_path
 from logloom.sources import growing, puts, store
@@ -225,6 +225,14 @@ def histogram_total(spark, sf_dir):
     ))
 
 
+def rollup_histograms(spark, sf_dir):
+    """Counts are kept beside a store; a range that cuts minutes is counted from them and from the logs at its ends."""
+    path = scratch_path(spark, "rollup")
+    groups = t.event_store(spark, sf_dir)
+    rollups.write_rollup(groups, path, "1")
+    return rollups.rollup_histograms(rollups.read_rollup(spark, path), groups, "", MIDDAYS[0] + 7, MIDDAYS[1] + 13, t.DAY)
+
+
 def live_histograms(spark, sf_dir):
     """Events as a stream of several batches, the newest first, counted per hour."""
     arrived, out, state = (scratch_path(spark, n) for n in ("arrived", "buckets", "state"))
@@ -463,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "get_logs_by_rank": get_logs_by_rank,
     "get_histograms": get_histograms,
     "histogram_total": histogram_total,
+    "rollup_histograms": rollup_histograms,
     "live_histograms": live_histograms,
     "build_line_index": build_line_index,
     "build_key_index": build_key_index,
