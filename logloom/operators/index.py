@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,10 +11,12 @@ from pyspark.sql import functions as F
 from logloom.functions.fields import field, line_tokens, term_match, tokens, typed
 from logloom.functions.times import utc_day
 from logloom.model import MAX_TIME, Index, IndexKey, IndexLine
-from logloom.operators.ingest import expire_logs
+from logloom.operators.ingest import expire_logs, flatten_log_groups
 from logloom.operators.search import scan_logs
 
 _ADDRESS = ["date", "shard", "log_id"]
+#: Characters behind the cursor of its group in the id of a stored log.
+_PLACE = 9
 
 
 def build_line_index(logs: DataFrame, line: IndexLine) -> DataFrame:
@@ -67,3 +70,31 @@ def lookup_term(postings: DataFrame, logs: DataFrame, term: str, line: IndexLine
     near = scan_logs(logs, from_time, to_time).join(F.broadcast(places), ["date", "shard"])
     near = near.filter(F.col("log_id").between(F.col("_first"), F.col("_last"))).drop("_first", "_last")
     return near.filter(term_match(term, line)).select(*logs.columns)
+
+
+def lookup_terms(postings: DataFrame, groups: DataFrame, terms: Mapping[str, str], where: Column, line: IndexLine,
+                 from_time: int = 0, to_time: int = MAX_TIME + 1, buckets: int | None = None) -> DataFrame:
+    """Logs of [from, to) that satisfy an expression of several terms. `terms` names them, and `where` combines the names:
+    `{"disk": "disk", "ok": "ok"}` and `F.col("disk") & ~F.col("ok")`. The same logs that `term_match` finds.
+
+    The expression is settled by the postings of `flatten_log_groups(groups)`, log by log, before any log is read; then
+    only the groups that hold a hit are flattened, and their logs tested. A term, however frequent, is spread over
+    the logs it is in, and the hits go to all tasks only where their size allows. `where` must not hold for a
+    log without any of the terms, which no posting tells of.
+    """
+    spark = postings.sparkSession
+    if not terms:
+        raise ValueError("no terms to look up")
+    if not spark.range(1).select(*[F.lit(False).alias(n) for n in terms]).filter(where).isEmpty():
+        raise ValueError("the expression holds for logs without any of the terms")
+    tokens_ = {n: F.lit(t if line.case_sensitive else t.lower()) for n, t in terms.items()}
+    near = postings.filter(F.col("date").between(utc_day(from_time), utc_day(to_time - 1)) & F.col("token").isin(*tokens_.values()))
+    if buckets is not None:
+        near = near.filter(reduce(Column.__or__, [F.col("bucket") == token_bucket(t, buckets) for t in tokens_.values()]))
+    held = near.groupBy(*_ADDRESS).agg(*[F.bool_or(F.col("token") == t).alias(n) for n, t in tokens_.items()])
+    cursor = F.expr(f"substring(log_id, 1, length(log_id) - {_PLACE})").alias("cursor")
+    hit = held.filter(where).select("date", "shard", cursor).distinct()
+    days = F.col("date").between(utc_day(from_time), utc_day(to_time - 1))
+    reach = days & (F.col("max_time") >= from_time) & (F.col("min_time") < to_time)
+    logs = scan_logs(flatten_log_groups(groups.filter(reach).join(hit, ["date", "shard", "cursor"], "left_semi")), from_time, to_time)
+    return logs.withColumns({n: term_match(t, line) for n, t in terms.items()}).filter(where).select(*logs.columns)

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 WRITERS = {"put_logs", "scan_groups", "put_logs_stream", "tail_logs", "live_histograms", "lookup_term", "read_log_files",
            "collect_logs", "collect_logs_stream", "pull_logs", "next_cursors", "follow_shards", "expire_logs", "scan_logs",
            "get_logs", "get_logs_by_rank", "get_histograms", "histogram_total", "follow_log_files", "follow_records",
-           "rollup_histograms"}
+           "rollup_histograms", "lookup_terms"}
 
 
 def plan(frame):

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from helpers import groups_frame, logs_frame, tuples
 from logloom.functions.fields import key_compare, term_match
 from logloom.model import Index, IndexKey, IndexLine
-from logloom.operators.index import build_index, build_key_index, build_line_index, lookup_term
-from logloom.operators.ingest import flatten_log_groups
+from logloom.operators.index import build_index, build_key_index, build_line_index, lookup_term, lookup_terms
+from logloom.operators.ingest import flatten_log_groups, pack_log_groups
 from logloom.operators import search
 from logloom.operators.search import (
     find_logs, get_histograms, get_logs, get_logs_by_rank, histogram_total, scan_groups, scan_logs,
@@ -172,3 +172,23 @@ def test_a_deep_page_sorts_its_slice_only(spark, monkeypatch):
     # The page begins in a slice of five seconds; nothing before it is read or passed over.
     assert f">= {BEGIN + 4900})" in text
     assert "4910" not in text.replace(str(BEGIN + 4910), "")
+
+
+def test_terms_are_combined_before_logs_are_read(spark):
+    rng = random.Random(23)
+    words = ["disk", "Full", "ok", "x"]
+    logs = logs_frame(spark, [(f"{n:04d}", BEGIN + 40 * n, "t", "s", [("m", ",".join(rng.sample(words, rng.randrange(5))))])
+                              for n in range(300)])
+    groups = pack_log_groups(logs, 3, 3600, arrival=BEGIN).cache()
+    postings = build_line_index(flatten_log_groups(groups), LINE)
+    terms = {"disk": "Disk", "full": "full", "ok": "ok"}
+    d, f, o = (F.col(n) for n in terms)
+    for where in [d & f & ~o, d | (f & o), (d | f) & ~(d & f), o]:
+        got = lookup_terms(postings, groups, terms, where, LINE, BEGIN + 100, BEGIN + 9000)
+        plain = scan_logs(flatten_log_groups(groups), BEGIN + 100, BEGIN + 9000)
+        expected = plain.withColumns({n: term_match(w, LINE) for n, w in terms.items()}).filter(where)
+        assert tuples(got, "log_id", "time") == tuples(expected, "log_id", "time") != []
+    assert got.columns == plain.columns
+    for where, named in [(~d, terms), (d | ~o, terms), (F.lit(True), {})]:
+        with pytest.raises(ValueError):
+            lookup_terms(postings, groups, named, where, LINE)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.tables import DAY, JAN_1, JAN_2, JAN_15, JAN_31, MAX_LOGS
+from workload.tables import DAY, JAN_1, JAN_2, JAN_15, JAN_31, MAX_LOGS, TERMS
 
 EVENTS = f"""
 ev AS (
@@ -218,6 +218,11 @@ FROM docs""",
 SELECT log_id, time, {_NUMBER_K} AS k, TRY_CAST(value AS DOUBLE) AS value FROM ev""",
     "lookup_term": f"""WITH {DOCUMENTS}
 SELECT time, topic, source FROM docs WHERE time >= {JAN_1 + 3600} AND time < {JAN_31} AND {_HAS_THE}""",
+    "lookup_terms": f"""WITH {DOCUMENTS},
+split AS (SELECT *, regexp_split_to_array(lower(text), '[,: ]') AS words FROM docs)
+SELECT time, topic, source, md5(text) AS text FROM split
+WHERE time >= {JAN_1 + 3600} AND time < {JAN_31} AND NOT list_contains(words, '{TERMS[2].lower()}')
+  AND (list_contains(words, '{TERMS[0].lower()}') OR list_contains(words, '{TERMS[1].lower()}'))""",
     "follow_log_files": """
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, event_id, event_type, value, 'end' AS mark FROM events""",
     "follow_records": """

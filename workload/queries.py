@@ -30,6 +30,7 @@ RANGES = [ShardRange(n, cursor_at(t.JAN_15)) for n in range(t.SHARDS)]
 URL_REGEX = r"(https?)://([^/]+)/([a-z]+)/([0-9]+)\?page=([0-9]+).*"
 URL_KEYS = ("scheme", "host", "lang", "number", "page")
 ROUTED = ["event_id", "machine_id", "file_path", "config_name", "project", "logstore", "group_name", "group_topic"]
+TERMS = t.TERMS
 PATH_TOPIC = "/var/log/([^/]*)/.*"
 LATENESS = 600
 #: A range of several days that starts and ends within one.
@@ -268,6 +269,18 @@ def lookup_term(spark, sf_dir):
     return hits.select("time", "topic", "source")
 
 
+def lookup_terms(spark, sf_dir):
+    """Documents that hold one of two words but not a third, by their stored index."""
+    path, postings = scratch_path(spark, "store"), scratch_path(spark, "index")
+    store.put_logs(ingest.pack_log_groups(t.documents_as_logs(spark, sf_dir), 50, t.DAY, arrival=F.col("max_time")), path)
+    groups = store.read_groups(spark, path)
+    store.write_line_index(index.build_line_index(ingest.flatten_log_groups(groups), LINE), postings, t.BUCKETS)
+    hits = index.lookup_terms(
+        store.read_line_index(spark, postings), groups, {"a": TERMS[0], "b": TERMS[1], "c": TERMS[2]},
+        (F.col("a") | F.col("b")) & ~F.col("c"), LINE, t.JAN_1 + 3600, t.JAN_31, t.BUCKETS)
+    return hits.select("time", "topic", "source", F.md5(field("text")).alias("text"))
+
+
 # collect
 
 def read_log_files_query(spark, sf_dir):
@@ -476,6 +489,7 @@ QUERIES: dict[str, Query] = {
     "build_line_index": build_line_index,
     "build_key_index": build_key_index,
     "lookup_term": lookup_term,
+    "lookup_terms": lookup_terms,
     "read_log_files": read_log_files_query,
     "follow_log_files": follow_log_files,
     "follow_records": follow_records,

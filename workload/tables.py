@@ -28,6 +28,8 @@ SHARDS = 4
 MAX_LOGS = 2
 BLOCK_LINES = 16
 BUCKETS = 16
+#: Words to look up together.
+TERMS = ("Hath", "una", "the")
 
 PACKING = Packing(shards=SHARDS, max_logs=50, window_s=DAY, arrival=JAN_31)
 TEXTS = CollectConfig(
