@@ -102,8 +102,8 @@ def base_spans(text: str) -> list[Span]:
 
 
 def _shape(word: str) -> str:
-    """Classes of characters; runs of letters as one, runs of digits with their length up to 6."""
-    runs = re.sub(r"[^\W\d_]+", "a", word[:64])
+    """Classes of characters of the whole word; runs of letters as one, runs of digits with their length up to 6."""
+    runs = re.sub(r"[^\W\d_]+", "a", word)
     return re.sub(r"[0-9]+", lambda m: f"d{min(len(m.group()), 6)}", runs)
 
 
@@ -121,9 +121,6 @@ def _features(words: Sequence[str], n: int) -> list[int]:
     return [zlib.crc32(f.encode()) % FEATURES for f in named]
 
 
-_WIDTH = 11
-
-
 @dataclass(frozen=True)
 class Chain:
     """Weights of features by label, and of label pairs; label O stands before and behind a stretch."""

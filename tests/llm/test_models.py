@@ -47,6 +47,11 @@ def test_signs_that_are_no_address(text):
     assert pii_crf.spans_of([text], pii_crf.default_chain())[0][1] == []
 
 
+def test_shape_of_a_whole_word():
+    assert pii_crf._shape("x" * 5_000 + "/555-0143") == "a/d3-d4"
+    assert pii_crf._shape("a-" * 60 + "12") != pii_crf._shape("a-" * 60 + "1234567")
+
+
 def test_decoding_is_the_best_path():
     rng = np.random.default_rng(4)
     chain = pii_crf.Chain(rng.normal(size=(50, len(pii_crf.LABELS))), rng.normal(size=(len(pii_crf.LABELS),) * 2))
@@ -115,7 +120,7 @@ def nearest_by_force(ids, vectors, queries, k=10):
 @pytest.mark.parametrize("sf, block", [("sf0.01", 8 << 20), ("sf0.1", 8 << 20), ("sf0.1", 1 << 18)])
 def test_recall(spark, monkeypatch, sf, block):
     monkeypatch.setattr(collision_index, "BLOCK_BYTES", block)
-    monkeypatch.setattr(collision_index, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(collision_index, "QUERY_BYTES", 1 << 12)
     rows = brute.read("embeddings", sf)
     ids, vectors = rows.vec_id.to_numpy(), np.vstack(rows.embedding).astype(float)
     got = collision_index.nearest(spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet"), F.col("vec_id") % 100 == 0).collect()
@@ -131,6 +136,21 @@ def test_recall(spark, monkeypatch, sf, block):
         assert [m[0] for m in mine] == list(range(1, 11)) and mine == sorted(mine, key=lambda m: m[1:])
 
 
+@pytest.mark.parametrize("dimension, spread, apart", [(256, 1.0, 0.0), (64, 1.0, 0.0), (256, 0.01, 50.0)])
+def test_recall_of_concentrated_distances(dimension, spread, apart):
+    """Gaussian vectors, and a dense cluster of all but a few that lie far away."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(8_000, dimension)) * spread
+    vectors[:20] += apart
+    queries = np.arange(100, 8_000, 400)
+    right = 0
+    for q, (places, distances) in zip(
+            queries, collision_index.CollisionIndex(vectors).search(vectors[queries], queries, 10), strict=True):
+        nearest = places[np.argsort(distances)[:10]]
+        right += len({int(i) for i, _ in nearest_by_force(np.arange(8_000), vectors, [q])[q]} & set(nearest.tolist()))
+    assert right >= 0.9 * 10 * len(queries)
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (100, [0.0, 1.0]), (1, None), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [None, 1.0]), (5, [inf, 1.0]),
