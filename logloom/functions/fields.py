@@ -134,9 +134,14 @@ def typed(value: Column, key_type: str) -> Column:
     raise ValueError(f"{key_type!r} is not a numeric key type")
 
 
+def compared(value: Column, op: str, number: int | float) -> Column:
+    """A typed value against a number; NULL stays NULL."""
+    if op not in _COMPARE:
+        raise ValueError(f"operator must be one of {sorted(_COMPARE)}, got {op!r}")
+    return _COMPARE[op](value, F.lit(number))
+
+
 def key_compare(key: str, op: str, number: int | float, key_type: str = "long",
                 contents: str | Column = "contents") -> Column:
     """Numeric comparison of one key's value; a value that is no number does not match."""
-    if op not in _COMPARE:
-        raise ValueError(f"operator must be one of {sorted(_COMPARE)}, got {op!r}")
-    return F.coalesce(_COMPARE[op](typed(field(key, contents), key_type), F.lit(number)), F.lit(False))
+    return F.coalesce(compared(typed(field(key, contents), key_type), op, number), F.lit(False))

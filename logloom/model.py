@@ -54,6 +54,16 @@ POSTINGS_SCHEMA = T.StructType([
     T.StructField("bucket", T.IntegerType()),
 ])
 
+KEY_POSTINGS_SCHEMA = T.StructType([
+    T.StructField("token", T.StringType()),
+    T.StructField("number", T.LongType()),
+    T.StructField("real", T.DoubleType()),
+    T.StructField("shard", T.IntegerType()),
+    T.StructField("log_id", T.StringType()),
+    T.StructField("date", T.DateType()),
+    T.StructField("key", T.StringType()),
+])
+
 # The largest UNIX time a log may carry, the key types an index knows, the two named
 # cursor positions, the topic modes that are not a path regex, and the mark of a finished result.
 MAX_TIME = 4294967295

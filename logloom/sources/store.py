@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from logloom.functions.cursors import make_cursor, of_put, part_of, put_of
 from logloom.functions.times import floor_to, utc_date
-from logloom.model import GROUPS_SCHEMA, POSTINGS_SCHEMA
+from logloom.model import GROUPS_SCHEMA, KEY_POSTINGS_SCHEMA, POSTINGS_SCHEMA
 from logloom.operators.index import token_bucket
 from logloom.operators.ingest import check_groups, describe_groups, first_second, split_days
 from logloom.plans.scratch import scratch_path
@@ -163,6 +163,25 @@ def read_line_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(POSTINGS_SCHEMA).parquet(path)
 
 
+def write_key_index(postings: DataFrame, path: str, mode: str = "append") -> None:
+    """Store key postings in folders per day and key, clustered by range of values.
+
+    A file holds adjacent values, so its bounds tell a lookup whether to open it. Ranges go on with the
+    log behind the value: a value that many logs have fills several files. The ranges are cut by a sample,
+    for which the input is read a second time.
+    """
+    order = ["date", "key", "token", "number", "real", "log_id"]
+    (
+        postings.repartitionByRange(*order).sortWithinPartitions(*order)
+        .write.mode(mode).partitionBy("date", "key").parquet(path)
+    )
+
+
+def read_key_index(spark: SparkSession, path: str) -> DataFrame:
+    """Stored key postings."""
+    return spark.read.schema(KEY_POSTINGS_SCHEMA).parquet(path)
+
+
 def drop_expired(spark: SparkSession, path: str, ttl: int, as_of: int) -> list[str]:
     """Delete the days of a store whose last second has passed the retention; returns them.
 

@@ -4,15 +4,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import groups_frame, logs_frame, tuples
-from logloom.functions.fields import key_compare, term_match
+from logloom.functions.fields import key_compare, key_term_match, term_match
 from logloom.model import Index, IndexKey, IndexLine
-from logloom.operators.index import build_index, build_key_index, build_line_index, lookup_term, lookup_terms
+from logloom.operators.index import (
+    KeyTest, build_index, build_key_index, build_key_postings, build_line_index, lookup_keys, lookup_term, lookup_terms,
+)
 from logloom.operators.ingest import flatten_log_groups, pack_log_groups
 from logloom.operators import search
 from logloom.operators.search import (
     find_logs, get_histograms, get_logs, get_logs_by_rank, histogram_total, scan_groups, scan_logs,
 )
-from logloom.sources.store import put_logs, read_groups, read_line_index, write_line_index
+from logloom.sources.store import (
+    put_logs, read_groups, read_key_index, read_line_index, write_key_index, write_line_index,
+)
 
 LINE = IndexLine((",", ":", " "))
 BEGIN = 1_700_000_000
@@ -192,3 +196,57 @@ def test_terms_are_combined_before_logs_are_read(spark):
     for where, named in [(~d, terms), (d | ~o, terms), (F.lit(True), {})]:
         with pytest.raises(ValueError):
             lookup_terms(postings, groups, named, where, LINE)
+
+
+def test_lookup_keys(spark, tmp_path):
+    rng = random.Random(3)
+    keys = {"n": IndexKey("long"), "x": IndexKey("double"), "msg": IndexKey("text", (" ",)), "raw": IndexKey("text")}
+    rows = []
+    for i in range(3_000):
+        # a third of all logs have one number; some values are no numbers, some keys occur twice or not at all
+        n = "7" if i % 3 == 0 else rng.choice(["-5", "12", "9223372036854775807", "x1", "", " 12 ", str(i)])
+        contents = [("n", "12"), ("n", n), ("msg", rng.choice(["Disk full", "disk", "all ok", " ", ""])), ("raw", "A b")]
+        if i % 4:
+            contents.append(("x", rng.choice(["1.5", "-2", "1e3", "nan", ".5", "many"])))
+        rows.append((f"{i:08d}", BEGIN + 60 * i, "t", f"s{i % 5}", contents))
+    put_logs(pack_log_groups(logs_frame(spark, rows), 20, 3600), str(tmp_path / "store"), arrival=BEGIN)
+    groups = read_groups(spark, str(tmp_path / "store"))
+    write_key_index(build_key_postings(flatten_log_groups(groups), keys), str(tmp_path / "keys"))
+    postings = read_key_index(spark, str(tmp_path / "keys"))
+    tests = {"seven": KeyTest("n", "=", 7), "big": KeyTest("n", ">", 1000), "half": KeyTest("x", "<", 1.0),
+             "disk": KeyTest("msg", "has", "DISK"), "raw": KeyTest("raw", "has", "a B"), "part": KeyTest("raw", "has", "b")}
+    plain = scan_logs(flatten_log_groups(groups), BEGIN + 100, BEGIN + 90_000).withColumns({
+        "seven": key_compare("n", "=", 7), "big": key_compare("n", ">", 1000), "half": key_compare("x", "<", 1.0, "double"),
+        "disk": key_term_match("msg", "DISK", keys["msg"]), "raw": key_term_match("raw", "a B", keys["raw"]),
+        "part": key_term_match("raw", "b", keys["raw"])})
+    c = {n: F.col(n) for n in tests}
+    for where in [c["seven"], c["big"] & ~c["disk"], (c["half"] | c["big"]) & c["disk"], c["raw"] & ~c["seven"]]:
+        got = lookup_keys(postings, groups, keys, tests, where, BEGIN + 100, BEGIN + 90_000)
+        assert tuples(got, "log_id", "time") == tuples(plain.filter(where), "log_id", "time") != []
+    assert lookup_keys(postings, groups, keys, tests, c["part"]).count() == 0
+    assert lookup_keys(postings.limit(0), groups.limit(0), keys, tests, c["raw"]).count() == 0
+
+
+def test_lookup_keys_reads_files_by_their_bounds(spark, tmp_path):
+    keys = {"n": IndexKey("long"), "m": IndexKey("long")}
+    logs = logs_frame(spark, [(f"{i:08d}", BEGIN + i, "t", "s", [("n", str(i * 37 % 5000)), ("m", "1")]) for i in range(5000)])
+    write_key_index(build_key_postings(logs, keys), str(tmp_path / "keys"))
+    postings = read_key_index(spark, str(tmp_path / "keys"))
+    near = postings.filter(KeyTest("n", ">", 4_990).of_postings(keys["n"]))
+    assert near.count() == 9
+    plan = plan_of(near)
+    assert "GreaterThan(number,4990)" in plan and "PartitionFilters: [isnotnull(key" in plan
+    files = postings.filter("key = 'n'").withColumn("f", F.input_file_name()).groupBy("f").agg(
+        F.min("number").alias("a"), F.max("number").alias("b")).orderBy("a").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(files, files[1:], strict=False))
+
+
+def test_refused_key_lookups(spark, logs):
+    keys = {"n": IndexKey("long"), "w": IndexKey("text")}
+    postings = build_key_postings(logs_frame(spark, []), keys)
+    for test, where in [(KeyTest("other", "=", 1), F.col("a")), (KeyTest("n", "has", "x"), F.col("a")), (KeyTest("w", "<", 1), F.col("a")),
+                        (KeyTest("n", "!", 1), F.col("a")), (KeyTest("n", "=", 1), ~F.col("a"))]:
+        with pytest.raises(ValueError):
+            lookup_keys(postings, postings, keys, {"a": test}, where)
+    with pytest.raises(ValueError):
+        build_key_postings(logs_frame(spark, []), {"": IndexKey("long")})

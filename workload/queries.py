@@ -281,6 +281,21 @@ def lookup_terms(spark, sf_dir):
     return hits.select("time", "topic", "source", F.md5(field("text")).alias("text"))
 
 
+def lookup_keys(spark, sf_dir):
+    """Events by an expression over two numeric keys, by their stored index."""
+    path, postings = scratch_path(spark, "store"), scratch_path(spark, "keys")
+    store.put_logs(t.event_groups(spark, sf_dir), path)
+    groups = store.read_groups(spark, path)
+    keys = {"k": IndexKey("long"), "value": IndexKey("double")}
+    store.write_key_index(index.build_key_postings(ingest.flatten_log_groups(groups), keys), postings)
+    tests = {"dear": index.KeyTest("value", ">", 200.0), "last": index.KeyTest("k", ">=", 90),
+             "first": index.KeyTest("k", "<", 5), "cheap": index.KeyTest("value", "<=", 1.0)}
+    hits = index.lookup_keys(
+        store.read_key_index(spark, postings), groups, keys, tests,
+        (F.col("dear") & ~F.col("last")) | (F.col("first") & F.col("cheap")), t.JAN_1 + 3600, t.JAN_31)
+    return _values(hits, "time", "topic", "source")
+
+
 # collect
 
 def read_log_files_query(spark, sf_dir):
@@ -490,6 +505,7 @@ QUERIES: dict[str, Query] = {
     "build_key_index": build_key_index,
     "lookup_term": lookup_term,
     "lookup_terms": lookup_terms,
+    "lookup_keys": lookup_keys,
     "read_log_files": read_log_files_query,
     "follow_log_files": follow_log_files,
     "follow_records": follow_records,
