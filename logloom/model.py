@@ -119,6 +119,17 @@ class Index:
     line: IndexLine | None = None
 
 
+@dataclass(frozen=True)
+class Shard:
+    """A range [low, high) of hash positions; one that has been split is closed for puts, and has children."""
+
+    shard: int
+    low: int
+    high: int
+    parent: int | None = None
+    closed_at: int | None = None
+
+
 @dataclass(frozen=True)
 class ShardRange:
     """Cursors of one shard to read between; no end means up to the head."""

@@ -223,6 +223,7 @@ split AS (SELECT *, regexp_split_to_array(lower(text), '[,: ]') AS words FROM do
 SELECT time, topic, source, md5(text) AS text FROM split
 WHERE time >= {JAN_1 + 3600} AND time < {JAN_31} AND NOT list_contains(words, '{TERMS[2].lower()}')
   AND (list_contains(words, '{TERMS[0].lower()}') OR list_contains(words, '{TERMS[1].lower()}'))""",
+    "split_shards": f"WITH {EVENTS} SELECT time, topic, source, value, k FROM ev",
     "lookup_keys": f"""WITH {EVENTS}
 SELECT time, topic, source, value, k FROM ev WHERE time >= {JAN_1 + 3600} AND time < {JAN_31}
   AND ((TRY_CAST(value AS DOUBLE) > 200 AND NOT {_NUMBER_K} >= 90) OR ({_NUMBER_K} < 5 AND TRY_CAST(value AS DOUBLE) <= 1))""",

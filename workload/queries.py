@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from logloom.functions.cursors import cursor_at
 from logloom.functions.fields import field, key_compare, key_term_match, make_contents, term_match
 from logloom.functions.times import seconds
-from logloom.model import MAX_TIME, IndexKey, IndexLine, ShardRange
-from logloom.operators import collect, consume, fleet, index, ingest, rollups, routing, search
+from logloom.model import MAX_TIME, IndexKey, IndexLine, Shard, ShardRange
+from logloom.operators import collect, consume, fleet, index, ingest, rollups, routing, search, shards
 from logloom.plans.collecting import collect_configs, rejects_path, routes_of, store_path, write_collected
 from logloom.plans.scratch import scratch_path
 from logloom.sources import growing, puts, store
@@ -157,6 +157,33 @@ class _Follower:
             self.ranges = [ShardRange(r["shard"], r["next_cursor"]) for r in following]
 
 
+def split_shards(spark, sf_dir):
+    """Events go to two shards, which are split by what they took before the rest arrives. A reader with cursors of the
+    old shards goes on there and in the new ones."""
+    path = scratch_path(spark, "store")
+    logs = t.events_as_logs(spark, sf_dir)
+    late = F.pmod(F.xxhash64("log_id"), F.lit(3)) == 0
+    follower = _Follower(spark, path)
+
+    def step(part: DataFrame, held: list[Shard]) -> list[DataFrame]:
+        before = len(follower.steps)
+        store.put_logs(ingest.pack_log_groups(shards.assign_shard_by_range(part, held), t.MAX_LOGS, t.DAY), path, arrival=t.JAN_31)
+        follower.ranges = shards.follow_ranges(held, {r.shard: r.cursor for r in follower.ranges if r.cursor})
+        follower.follow()
+        return follower.steps[before:]
+
+    held = shards.even_shards(2)
+    first = step(logs.filter(~late), held)
+    held = shards.split_shards(logs.filter(~late), held, 0.25, t.JAN_31)
+    closed = [s.shard for s in held if s.closed_at is not None]
+    second = step(logs.filter(late), held)
+    taken = reduce(DataFrame.unionByName, second).filter(F.col("shard").isin(closed))
+    if not closed or not taken.isEmpty():
+        raise AssertionError("a closed shard took a put")
+    read = reduce(DataFrame.unionByName, first + second)
+    return _values(ingest.flatten_log_groups(read), "time", "topic", "source")
+
+
 def tail_logs(spark, sf_dir):
     """A store is written, followed from 2024-01-15 in bounded steps, and counted."""
     path, out, state = (scratch_path(spark, n) for n in ("store", "tail", "state"))
@@ -489,6 +516,7 @@ QUERIES: dict[str, Query] = {
     "pull_logs": pull_logs,
     "next_cursors": next_cursors,
     "follow_shards": follow_shards,
+    "split_shards": split_shards,
     "tail_logs": tail_logs,
     "scan_logs": scan_logs,
     "scan_groups": scan_groups,
