@@ -145,6 +145,20 @@ FROM sized s JOIN grouped g
   ON s.shard = g.shard AND s.topic = g.topic AND s.source = g.source AND s.day = g.day
      AND (s.rn - 1) // {MAX_LOGS} = g.chunk"""
 
+_ENTITIES = """
+WITH feed AS (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders
+),
+alive AS (
+  SELECT * FROM feed f WHERE rn > coalesce(
+    (SELECT max(rn) FROM feed d WHERE d.o_custkey = f.o_custkey AND d.o_orderstatus = 'F'), 0)
+)
+SELECT o_custkey AS name,
+       epoch_us(arg_min(o_orderdate, rn)) // 1000000 AS create_time,
+       epoch_us(arg_max(o_orderdate, rn)) // 1000000 AS modify_time,
+       arg_max(o_totalprice, rn) AS o_totalprice, arg_max(o_orderpriority, rn) AS o_orderpriority
+FROM alive GROUP BY o_custkey"""
+
 ORACLES: dict[str, str] = {
     "pack_log_groups": f"""WITH {GROUPS}
 SELECT cursor, shard, topic, source, date, min_time, max_time, n_logs, raw_size, logs FROM grouped""",
@@ -319,19 +333,8 @@ SELECT config_name, group_name FROM (
          row_number() OVER (PARTITION BY o_orderpriority, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
   FROM orders
 ) WHERE rn = 1 AND o_orderstatus <> 'F'""",
-    "entity_snapshot": """
-WITH feed AS (
-  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders
-),
-alive AS (
-  SELECT * FROM feed f WHERE rn > coalesce(
-    (SELECT max(rn) FROM feed d WHERE d.o_custkey = f.o_custkey AND d.o_orderstatus = 'F'), 0)
-)
-SELECT o_custkey AS name,
-       epoch_us(arg_min(o_orderdate, rn)) // 1000000 AS create_time,
-       epoch_us(arg_max(o_orderdate, rn)) // 1000000 AS modify_time,
-       arg_max(o_totalprice, rn) AS o_totalprice, arg_max(o_orderpriority, rn) AS o_orderpriority
-FROM alive GROUP BY o_custkey""",
+    "entity_snapshot": _ENTITIES,
+    "follow_entities": _ENTITIES,
     "missing_targets": """
 SELECT doc_id, count(*) AS n_refs FROM documents
 WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id) GROUP BY doc_id""",

@@ -17,7 +17,7 @@ from logloom.plans.collecting import collect_configs, rejects_path, routes_of, s
 from logloom.plans.scratch import scratch_path
 from logloom.sources import growing, puts, store
 from logloom.sources.files import read_log_files, stream_log_files
-from logloom.streaming import live, records, runs
+from logloom.streaming import entities, live, records, runs
 from logloom.streaming import store as stream_store
 from logloom.streaming.collecting import collect_stream
 from workload import tables as t
@@ -496,6 +496,25 @@ def entity_snapshot(spark, sf_dir):
     return fleet.entity_snapshot(changes, ["o_totalprice", "o_orderpriority"])
 
 
+def follow_entities(spark, sf_dir):
+    """The same feed in three steps, by what each step changes."""
+    feed, out, state = (scratch_path(spark, n) for n in ("feed", "entities", "state"))
+    held = ["o_totalprice", "o_orderpriority"]
+    op = F.when(F.col("o_orderstatus") == "F", "delete").when(F.col("o_orderstatus") == "O", "create")
+    day = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint")
+    changes = t.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("name"), op.otherwise("update").alias("op"), seconds(F.col("o_orderdate")).alias("time"),
+        (F.shiftleft(day, 40) + F.col("o_orderkey")).alias("position"), *held)
+    low, high = t.ORDER_DAYS
+    for begin, end in [("0001-01-01", low), (low, high), (high, "9999-12-31")]:
+        inside = (F.col("time") >= F.unix_seconds(F.lit(begin).cast("timestamp"))) & (
+            F.col("time") < F.unix_seconds(F.lit(end).cast("timestamp")))
+        changes.filter(inside).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(changes.schema).parquet(feed)
+        runs.start_files(entities.entity_changes(stream, held), out, state).awaitTermination()
+    return entities.entities_of(spark.read.parquet(out), held)
+
+
 def missing_targets(spark, sf_dir):
     return fleet.missing_targets(
         t.table(spark, sf_dir, "documents").select("doc_id"), t.table(spark, sf_dir, "labels"), "doc_id"
@@ -554,5 +573,6 @@ QUERIES: dict[str, Query] = {
     "applied_machine_groups": applied_machine_groups,
     "current_bindings": current_bindings,
     "entity_snapshot": entity_snapshot,
+    "follow_entities": follow_entities,
     "missing_targets": missing_targets,
 }

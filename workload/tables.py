@@ -201,6 +201,10 @@ def pages_as_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("body"))
 
 
+#: Days at which the feed of orders is cut into steps.
+ORDER_DAYS = ("1994-06-01", "1996-06-01")
+
+
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a feed of changes; (date, key) is its order."""
     return table(spark, sf_dir, "orders").withColumn("position", F.struct("o_orderdate", "o_orderkey"))
