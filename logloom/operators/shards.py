@@ -62,11 +62,11 @@ def hash_position(key: str = "source", log_id: str = "log_id") -> Column:
 def _placed(logs: DataFrame, shards: Sequence[Shard], key: str, log_id: str) -> DataFrame:
     """Logs with their `_position` and open shard."""
     rows = [(k, s.low, s.high, s.shard) for s in open_shards(shards) for k in range(s.low >> _SLICE, ((s.high - 1) >> _SLICE) + 1)]
-    table = logs.sparkSession.createDataFrame(rows, "_slice bigint, _low bigint, _high bigint, shard int")
+    slices = logs.sparkSession.createDataFrame(rows, "_slice bigint, _low bigint, _high bigint, shard int")
     at = F.col("_position")
     inside = (F.shiftright(at, _SLICE) == F.col("_slice")) & (at >= F.col("_low")) & (at < F.col("_high"))
     placed = logs.drop("shard").withColumn("_position", hash_position(key, log_id))
-    return placed.join(F.broadcast(table), inside).drop("_slice", "_low", "_high")
+    return placed.join(F.broadcast(slices), inside).drop("_slice", "_low", "_high")
 
 
 def assign_shard_by_range(logs: DataFrame, shards: Sequence[Shard], key: str = "source", log_id: str = "log_id") -> DataFrame:
@@ -119,5 +119,5 @@ def shards_frame(spark: SparkSession, shards: Sequence[Shard]) -> DataFrame:
 
 
 def shards_of(rows: DataFrame) -> list[Shard]:
-    """The list from its rows."""
-    return [Shard(*r) for r in rows.select("shard", "low", "high", "parent", "closed_at").orderBy("shard").limit(2 * MAX_OPEN).collect()]
+    """The list from its rows, all of them: a list that a caller has held before."""
+    return [Shard(*r) for r in rows.select("shard", "low", "high", "parent", "closed_at").orderBy("shard").collect()]
