@@ -77,8 +77,9 @@ def test_a_page_keeps_its_top_rows_only(spark):
 #: What is broadcast by hint, or comes to the driver: a few heavy keys, a row per day and shard, the places
 #: of a pull of few groups, a cursor per range of a pull.
 BOUNDED = {"heavy_keys(keyed, _GROUP_KEY, heat", "places", "near", "slices"}  # slices: checked against MAX_OPEN
-#: Rows that come to the driver: one per range of a pull, one per shard of a list the caller holds.
-COLLECTED = {"consume.py": 1, "shards.py": 2}
+#: Rows that come to the driver: one per range of a pull, per slice of a page's search (`SLICES`), per shard of a list the
+#: caller holds.
+COLLECTED = {"consume.py": 1, "search.py": 1, "shards.py": 2}
 
 
 def test_only_what_is_bounded_is_broadcast_by_hint():
