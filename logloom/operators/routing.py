@@ -12,14 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from logloom.functions.times import floor_to
 from logloom.model import MAX_TIME
 from logloom.operators.collect import glob_regex
-from logloom.plans.once import with_once
 
-#: A file's routes are looked up per hour; bindings are held in spans of 1, 16, 256, ... hours.
-SPAN, RADIX, LEVELS = 3600, 16, 5
-#: Changes of a pair are ordered within periods of so many seconds, so that no pair is one group.
+#: Changes of a pair, and the seconds asked for, are ordered within periods of so many seconds, so that no pair is one group.
 PERIOD = 86_400
 
 _CONFIG = ["config_name", "log_path", "file_pattern"]
@@ -120,51 +116,47 @@ def binding_intervals(changes: DataFrame) -> DataFrame:
     )
 
 
-def _with_spans(intervals: DataFrame) -> DataFrame:
-    """Intervals times the spans (`_level`, `_span`) that cover them: few long ones in the middle and short ones at the
-    ends, at most 2 * (RADIX - 1) per level but the last. Every hour an interval touches is in exactly one span."""
-    def run(begin: Column, end: Column, level: int) -> Column:
-        spans = F.when(begin < end, F.sequence(begin, end - 1)).otherwise(F.array().cast("array<bigint>"))
-        return F.transform(spans, lambda s: F.struct(F.lit(level).alias("_level"), s.alias("_span")))
+def _held_at(moments: DataFrame, intervals: DataFrame) -> DataFrame:
+    """The moments (config_name, group_name, time) at which an interval of their pair holds, each once.
 
+    Moments and ends of intervals are ordered within a period, at most a row per second there; what a period hands to
+    the next one is a row per pair and period.
+    """
     end = F.coalesce("bound_to", F.lit(MAX_TIME + 1))
-    found = intervals.filter(F.col("bound_from") < end).withColumns({
-        "_a": F.floor(F.col("bound_from") / SPAN), "_b": F.floor((end - 1) / SPAN) + 1, "_spans": run(F.lit(0), F.lit(0), 0)})
-    a, b = F.col("_a"), F.col("_b")
-    for level in range(LEVELS - 1):
-        found = found.withColumns({"_c": F.ceil(a / RADIX), "_d": F.floor(b / RADIX)})
-        c, d = F.col("_c"), F.col("_d")
-        wide = c < d
-        ends = F.when(wide, F.concat(run(a, c * RADIX, level), run(d * RADIX, b, level))).otherwise(run(a, b, level))
-        found = found.withColumn("_spans", F.concat("_spans", ends))
-        found = found.withColumns({"_a": F.when(wide, c).otherwise(0), "_b": F.when(wide, d).otherwise(0)})
-    spans = F.concat("_spans", run(a, b, LEVELS - 1))
-    return found.select(*intervals.columns, F.inline(spans))
+    turn = lambda at, by: F.struct(at.cast("bigint").alias("time"), F.lit(by).alias("turn"))
+    turns = intervals.filter(F.col("bound_from") < end).select(
+        *_PAIR, F.inline(F.array(turn(F.col("bound_from"), 1), turn(end, -1))), F.lit(False).alias("asked"))
+    asked = moments.select(*_PAIR, F.col("time").cast("bigint").alias("time"), F.lit(0).alias("turn"), F.lit(True).alias("asked"))
+    period = F.floor(F.col("time") / PERIOD).alias("period")
+    seconds = asked.unionByName(turns).groupBy(*_PAIR, "time", period).agg(
+        F.sum("turn").alias("turn"), F.bool_or("asked").alias("asked"))
+    key = [*_PAIR, "period"]
+    earlier = W.partitionBy(*_PAIR).orderBy("period").rowsBetween(W.unboundedPreceding, -1)
+    handed = seconds.groupBy(*key).agg(F.sum("turn").alias("sum"), F.bool_or("asked").alias("any")).select(
+        *key, "any", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("handed")).filter("any").drop("any")
+    upto = W.partitionBy(*key).orderBy("time").rowsBetween(W.unboundedPreceding, 0)
+    known = seconds.join(handed, key).withColumn("open", F.col("handed") + F.sum("turn").over(upto))
+    return known.filter("asked and open > 0").select(*_PAIR, "time")
 
 
 def route_records_in_time(records: DataFrame, members: DataFrame, intervals: DataFrame, configs: DataFrame) -> DataFrame:
     """`route_records` by what was bound at the `time` of each record, see `binding_intervals`.
 
-    A record's ways, bound at any time, are narrowed to those of its hour: for each file and hour the intervals of that
-    hour are looked up, an as-of join whose equi keys are the pair and the spans of time the hour lies in. What a
-    record of that hour has to choose from comes in one array per config, which holds no more than the changes of
-    one hour in the groups of one machine. Records are read twice, first for machine, file and hour alone. Records
-    without a time go nowhere.
+    A record's ways, bound at any time, are narrowed to those open at its second: the seconds asked for are put in
+    order with the turns of each pair, so no record meets the other intervals of its pairs, and many files that
+    ask for the same second of a pair ask once. Records are read twice, first for machine, file and second alone.
+    Records without a time go nowhere.
     """
-    hour = floor_to(F.col("time"), SPAN, 0)
-    spans = F.array(*[
-        F.struct(F.lit(n).alias("_level"), F.floor(F.col("_hour") / (SPAN * RADIX ** n)).alias("_span")) for n in range(LEVELS)])
-    key = ["machine_id", "file_path", "_hour"]
-    hours = records.filter(F.col("time").isNotNull()).select("machine_id", "file_path", hour.alias("_hour")).distinct()
+    key = ["machine_id", "file_path", "time"]
+    moments = records.filter(F.col("time").isNotNull()).select(*key).distinct()
     paths = configs.select(*_CONFIG).withColumn("_config", F.struct(*_CONFIG))
     bound = _bound_folders(intervals.select(*_PAIR).distinct(), paths)
-    found = _covered(hours, members.select("group_name", "machine_id", "group_topic"), bound).select("*", F.inline(spans))
-    held = _with_spans(intervals.select(*_PAIR, "bound_from", "bound_to"))
-    ways = F.collect_set(F.struct("group_name", "group_topic", "bound_from", "bound_to")).alias("_ways")
-    routes = found.join(held, [*_PAIR, "_level", "_span"]).groupBy(*key, "_config").agg(ways)
-    routes = routes.select(*key, "_config.*", "_ways").join(configs, _CONFIG).drop("log_path", "file_pattern")
-    met = records.withColumn("_hour", hour).join(routes, key)
-    time = F.col("time")
-    open_ = F.filter("_ways", lambda w: (w["bound_from"] <= time) & (time < F.coalesce(w["bound_to"], F.lit(MAX_TIME + 1))))
-    routed = with_once(met, "_way", F.array_min(open_)).filter(F.col("_way").isNotNull())
-    return routed.select(*[F.col(c) for c in routed.columns if c not in ("_way", "_ways", "_hour")], "_way.group_name", "_way.group_topic")
+    found = _covered(moments, members.select("group_name", "machine_id", "group_topic"), bound)
+    open_ = found.join(_held_at(found.select(*_PAIR, "time"), intervals), [*_PAIR, "time"])
+    # A config that reaches a machine through several groups counts once, with the first of these.
+    routes = open_.groupBy(*key, "_config").agg(F.min(F.struct("group_name", "group_topic")).alias("_way"))
+    routes = routes.select(*key, "_config.*", "_way").join(configs, _CONFIG).drop("log_path", "file_pattern")
+    routed = records.join(routes, key)
+    own = [c for c in records.columns if c not in key[:2]]
+    more = [c for c in routes.columns if c not in (*key, "_way")]
+    return routed.select(*[F.col(f"`{c}`") for c in (*key[:2], *own, *more)], "_way.group_name", "_way.group_topic")

@@ -156,3 +156,23 @@ def test_files_meet_only_configs_bound_above_them(spark):
     assert tuples(found, "id", "config_name") == sorted((i, f"c{i % n}") for i in range(2 * n))
     keys = "".join(l for l in found._jdf.queryExecution().toString().splitlines() if "Join" in l)
     assert "_folder" in keys
+
+
+def _shuffled_mb(spark):
+    context, java = spark.sparkContext, spark.sparkContext._gateway
+    stages = context._jsc.sc().statusStore().stageList(
+        None, False, False, java.new_array(java.jvm.double, 0), java.jvm.java.util.ArrayList())
+    return {stages.apply(n).stageId(): stages.apply(n).shuffleWriteBytes() / 1e6 for n in range(stages.size())}
+
+
+def test_routes_in_time_grow_with_files_and_turns_not_their_product(spark):
+    def shuffled(n):
+        members = spark.range(n).selectExpr("'g' AS group_name", "concat('m', id) AS machine_id", "'t' AS group_topic")
+        intervals = spark.range(n).selectExpr("'c' AS config_name", "'g' AS group_name", "2 * id AS bound_from", "2 * id + 1 AS bound_to")
+        configs = spark.createDataFrame([("c", "/var/log", "*")], "config_name string, log_path string, file_pattern string")
+        records = spark.range(n).selectExpr("id", "concat('m', id) AS machine_id", "'/var/log/f' AS file_path", "id AS time")
+        before = set(_shuffled_mb(spark))
+        assert route_records_in_time(records, members, intervals, configs).count() == n // 2
+        return sum(mb for stage, mb in _shuffled_mb(spark).items() if stage not in before)
+
+    assert shuffled(1600) < 8 * shuffled(400)
