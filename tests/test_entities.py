@@ -47,3 +47,20 @@ def test_stream_equals_batch(spark, tmp_path):
     key = lambda rows: sorted(rows, key=repr)
     rows = lambda f: key(tuple(r) for r in f.select(*NAMES).collect())
     assert rows(entities_of(emitted, ["n", "word"])) == rows(expected)
+
+
+def test_names_share_buckets_of_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("logloom.streaming.entities.BUCKETS", 4, raising=False)
+    top = 2**62
+    spark.createDataFrame([(f"n{i}", "create", i, top + i, i, None) for i in range(60)], SCHEMA).write.parquet(f"{tmp_path}/feed")
+    for turn in range(2):
+        query = start_files(entity_changes(spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/feed"), ["n", "word"]),
+                            f"{tmp_path}/out", f"{tmp_path}/state")
+        query.awaitTermination()
+        assert turn or query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+        again = [(f"n{i}", "update", 100 + i, top + i + i % 2, 1000 + i, "w") for i in range(60)]
+        spark.createDataFrame(again, SCHEMA).write.mode("append").parquet(f"{tmp_path}/feed")
+    emitted = spark.read.parquet(f"{tmp_path}/out")
+    assert emitted.filter("change = 'late'").count() == 30
+    assert tuples(entities_of(emitted, ["n", "word"]), *NAMES) == sorted(
+        (f"n{i}", i, 100 + i, 1000 + i, "w") if i % 2 else (f"n{i}", i, i, i, None) for i in range(60))
