@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 SCHEMA = "file_path string, position bigint, next_position bigint, line string"
-#: First bytes that tell files apart, bytes of a split, and bytes read at once in search of a line's end.
-PREFIX, SPLIT, STEP = 1024, 16 << 20, 1 << 16
+#: First bytes that tell files apart, bytes of a split, bytes read at once in search of a line's end, and lines in a batch.
+PREFIX, SPLIT, STEP, LINES = 1024, 16 << 20, 1 << 16, 1 << 14
 #: Listings until two in a row agree, so that a file that is being renamed is seen under one of its names.
 _LISTINGS = 20
 
@@ -163,11 +163,13 @@ class _Reader(DataSourceStreamReader):
             data = folder.read(path, begin, end)
             ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
             starts = np.concatenate([[0], ends[:-1] + 1])
-            lines = [data[a:b].decode(errors="replace") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            yield pa.record_batch({
-                "file_path": pa.array([partition.path] * len(lines), pa.string()),
-                "position": pa.array(begin + starts, pa.int64()),
-                "next_position": pa.array(begin + ends + 1, pa.int64()), "line": pa.array(lines, pa.string())})
+            for at in range(0, len(ends), LINES):
+                first, behind = starts[at: at + LINES], ends[at: at + LINES]
+                lines = [data[a:b].decode(errors="replace") for a, b in zip(first.tolist(), behind.tolist(), strict=True)]
+                yield pa.record_batch({
+                    "file_path": pa.array([partition.path] * len(lines), pa.string()),
+                    "position": pa.array(begin + first, pa.int64()),
+                    "next_position": pa.array(begin + behind + 1, pa.int64()), "line": pa.array(lines, pa.string())})
 
 
 class GrowingFiles(DataSource):

@@ -1,9 +1,12 @@
+import inspect
+
 import pytest
 
 from helpers import tuples
 from logloom.sources import growing
 from logloom.sources.growing import Folder, follow_log_files
 from logloom.streaming.runs import start_files
+from workload import tables
 
 
 @pytest.fixture
@@ -77,3 +80,33 @@ def test_a_repeated_step_reads_the_same_bytes_after_rotation(tmp_path, log):
     log.with_name("app.log.1").unlink()
     with pytest.raises(FileNotFoundError):
         read()
+
+
+def test_a_split_is_handed_on_in_small_batches(tmp_path, log):
+    append(log, "".join(f"{n}\n" for n in range(40_000)))
+    reader = growing.GrowingFiles({"path": str(tmp_path / "logs")}).streamReader(None)
+    parts = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    batches = [b for p in parts for b in reader.read(p)]
+    assert max(b.num_rows for b in batches) < 20_000
+    assert [line for b in batches for line in b["line"].to_pylist()] == [str(n) for n in range(40_000)]
+
+
+def test_files_are_written_batch_by_batch(spark, tmp_path):
+    spark.range(900).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "concat('t', id % 3) AS event_type", "id / 2 AS value",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    names = {"spark.sql.execution.arrow.maxRecordsPerBatch": "7", "spark.sql.shuffle.partitions": "2"}
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        for n in range(2):
+            tables.append_events(spark, str(tmp_path), str(tmp_path / "logs"), n, 2, rotate=n == 1)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    for kind in range(3):
+        for n, file in enumerate((f"t{kind}.log.1", f"t{kind}.log")):
+            mine = [i for i in range(900) if i % 3 == kind and i % 2 == n]
+            assert (tmp_path / "logs" / file).read_text() == "".join(f"2024-01-01 00:00:00|{i}|t{kind}|{i / 2}|end\n" for i in mine)
+    assert ".groupBy(" not in inspect.getsource(tables.append_events)

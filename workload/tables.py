@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 from dataclasses import replace
+from itertools import groupby
 from pathlib import Path
 from urllib.parse import urlparse
 
@@ -162,25 +164,43 @@ def append_events(spark: SparkSession, sf_dir: str, folder: str, step: int, step
     """One step's share of the events' lines, appended to a log file per type by a task each. All but the last step
     leave the end of their last line to the next one; a rotation gives the old file another name first. With `two_lines`
     an event's value is on a line of its own."""
-    def write(kind: tuple, lines: pa.Table) -> pa.Table:
-        path = Path(urlparse(folder).path) / f"{kind[0].as_py()}.log"
+    end = b"|end\n"
+
+    def opened(kind: str | None):
+        path = Path(urlparse(folder).path) / f"{kind}.log"
         path.parent.mkdir(parents=True, exist_ok=True)
         if rotate and path.exists():
             # The writer finishes its line before it moves on.
             with open(path, "ab") as file:
-                file.write(b"|end\n")
+                file.write(end)
             path.rename(path.with_name(f"{path.name}.{step}"))
-        begin = b"" if rotate or not step else b"|end\n"
-        rows = lines.sort_by("event_id")["line"].to_pylist()
-        with open(path, "ab") as file:
-            file.write(begin + b"|end\n".join(r.encode() for r in rows) + (b"|end\n" if step == steps - 1 else b""))
-        return pa.table({"n": pa.array([len(rows)], pa.int64())})
+        return open(path, "ab")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Lines in the order of their types, a batch in memory at a time."""
+        file, last = None, None
+        for batch in batches:
+            rows = zip(batch["event_type"].to_pylist(), batch["line"].to_pylist(), strict=True)
+            for kind, own in groupby(rows, key=lambda r: r[0]):
+                goes_on = file is not None and kind == last
+                if not goes_on:
+                    if file is not None:
+                        file.write(end if step == steps - 1 else b"")
+                        file.close()
+                    file, last = opened(kind), kind
+                begin = end if goes_on or (step and not rotate) else b""
+                file.write(begin + end.join(line.encode() for _, line in own))
+        if file is not None:
+            file.write(end if step == steps - 1 else b"")
+            file.close()
+        yield from ()
 
     line = F.concat_ws("|", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "event_id", "event_type", "value")
     if two_lines:
         line = F.concat(F.lit("EVENT|"), F.concat_ws("|", "event_id", "event_type"), F.lit("\n |"), F.col("value").cast("string"))
     mine = table(spark, sf_dir, "events").filter(F.pmod(F.col("event_id"), F.lit(steps)) == step)
-    mine.select("event_type", "event_id", line.alias("line")).groupBy("event_type").applyInArrow(write, "n bigint").collect()
+    rows = mine.select("event_type", "event_id", line.alias("line")).repartition("event_type")
+    rows.sortWithinPartitions("event_type", "event_id").mapInArrow(write, "n bigint").collect()
 
 
 def write_document_files(spark: SparkSession, sf_dir: str) -> str:
