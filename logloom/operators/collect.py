@@ -207,19 +207,22 @@ def parse_log_time(logs: DataFrame, time_key: str, time_format: str, ingest_time
     return with_once(logs, "time", parse_seconds(field(time_key), time_format, zone))
 
 
+def topic_of(topic_format: str, path: str = "file_path", group_topic: str = "group_topic") -> Column:
+    """Topic of a log: empty, the path, the machine group's topic, or the first group of a regex over the whole path
+    (empty where it does not match)."""
+    if topic_format in ("", TOPIC_NONE):
+        return F.lit("")
+    if topic_format == TOPIC_DEFAULT:
+        return F.col(path)
+    if topic_format == TOPIC_GROUP:
+        return F.col(group_topic)
+    return F.regexp_extract(path, _whole(topic_format), 1)
+
+
 def derive_topic(logs: DataFrame, topic_format: str, path: str = "file_path",
                  group_topic: str = "group_topic") -> DataFrame:
-    """Add `topic`: empty, the path, the machine group's topic, or the first group of a regex over
-    the whole path (empty where it does not match)."""
-    if topic_format in ("", TOPIC_NONE):
-        topic = F.lit("")
-    elif topic_format == TOPIC_DEFAULT:
-        topic = F.col(path)
-    elif topic_format == TOPIC_GROUP:
-        topic = F.col(group_topic)
-    else:
-        topic = F.regexp_extract(path, _whole(topic_format), 1)
-    return logs.withColumn("topic", topic)
+    """Add `topic`, see `topic_of`."""
+    return logs.withColumn("topic", topic_of(topic_format, path, group_topic))
 
 
 def glob_regex(pattern: Column) -> Column:

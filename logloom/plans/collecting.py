@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from logloom.model import CollectConfig
 from logloom.operators.collect import (
-    assemble_records, derive_topic, extract_fields, keeps, parse_log_time,
+    assemble_records, extract_fields, keeps, parse_log_time, topic_of,
 )
 from logloom.operators.ingest import assign_shard, pack_log_groups
 from logloom.operators.routing import route_records
@@ -39,33 +39,63 @@ def collect_logs(lines: DataFrame, config: CollectConfig, source: Column, ingest
     records that do not match the extraction regex, whose time does not parse, and records of more than
     `config.max_lines` lines, as a whole. Logs that the filters exclude are left out.
     """
-    records = assemble_records(lines, config.log_begin_regex, config.max_lines)
-    logs = extract_fields(records, config.regex, config.keys)
-    logs = parse_log_time(logs, config.time_key, config.time_format, ingest_time)
+    return _collect_alike(lines, [config], source, None, ingest_time, group_topic)
+
+
+def _collect_alike(lines: DataFrame, configs: Sequence[CollectConfig], source: Column, routes: DataFrame | None,
+                   ingest_time: int | None, group_topic: str | None) -> DataFrame:
+    """`collect_logs` of configs that read records alike: records are assembled and parsed once, then each goes to
+    the configs that take it."""
+    first = configs[0]
+    records = assemble_records(lines, first.log_begin_regex, first.max_lines)
+    logs = extract_fields(records, first.regex, first.keys)
+    logs = parse_log_time(logs, first.time_key, first.time_format, ingest_time)
     reason = (
         F.when(F.col("oversize"), "record has too many lines")
         .when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
         .when(F.col("time").isNull(), "time does not parse")
     )
-    logs = logs.withColumn("reject_reason", reason).filter(
-        F.col("reject_reason").isNotNull() | keeps(config.filter_keys, config.filter_regex)
-    )
+    logs = logs.withColumn("reject_reason", reason)
+    covers = lambda c: F.lit(True)
+    if routes is not None:
+        logs = logs.join(routes.groupBy("file_path").agg(F.collect_set("config_name").alias("covered_by")), "file_path")
+        covers = lambda c: F.array_contains("covered_by", c.name)
+    takers = F.array_compact(F.array(*[
+        F.when(covers(c) & (F.col("reject_reason").isNotNull() | keeps(c.filter_keys, c.filter_regex)), c.name)
+        for c in configs]))
     logs = logs.withColumn("group_topic", F.lit(group_topic).cast("string")).withColumn("source", source.cast("string"))
-    return derive_topic(logs, config.topic_format).select(
-        F.concat_ws(":", F.lit(config.name), F.coalesce("source", F.lit("")), "file_path",
+    logs = logs.withColumn("config_name", F.explode(takers))
+    return logs.select(
+        F.concat_ws(":", "config_name", F.coalesce("source", F.lit("")), "file_path",
                     F.lpad(F.col("record").cast("string"), 12, "0")).alias("log_id"),
-        "time", "topic", "source",
+        "time", _by_config(configs, lambda c: topic_of(c.topic_format), lambda c: c.topic_format).alias("topic"), "source",
         F.lit(None).cast("string").alias("reserved"),
         "contents",
-        F.lit(config.name).alias("config_name"),
-        F.lit(config.project).alias("project"),
-        F.lit(config.logstore).alias("logstore"),
+        "config_name",
+        _by_config(configs, lambda c: F.lit(c.project), lambda c: c.project).alias("project"),
+        _by_config(configs, lambda c: F.lit(c.logstore), lambda c: c.logstore).alias("logstore"),
         "file_path", "record", "part", "n_lines",
         F.when(F.col("reject_reason").isNotNull(), F.col("body")).alias("body"),
         "reject_reason",
     )
 
 
+def _by_config(configs: Sequence[CollectConfig], value: Callable[[CollectConfig], Column],
+               key: Callable[[CollectConfig], str]) -> Column:
+    """What the config of a row says; configs of one key say the same."""
+    ways: dict[str, list[CollectConfig]] = {}
+    for config in configs:
+        ways.setdefault(key(config), []).append(config)
+    *others, last = ways.values()
+    return reduce(lambda rest, own: F.when(F.col("config_name").isin([c.name for c in own]), value(own[0])).otherwise(rest),
+                  others, value(last[0]))
+
+
+def _reading(config: CollectConfig) -> tuple:
+    """How a config makes logs of lines, before it filters and names them."""
+    return (config.log_begin_regex, config.max_lines, config.regex, tuple(config.keys), config.time_key, config.time_format)
+
+
 def routes_of(lines: DataFrame, configs: Sequence[CollectConfig], members: DataFrame, bindings: DataFrame,
               source: Column) -> DataFrame:
     """(file_path, config_name) of the files each config covers, by the machines its groups have."""
@@ -78,17 +108,29 @@ def routes_of(lines: DataFrame, configs: Sequence[CollectConfig], members: DataF
 
 def collect_configs(lines: DataFrame, configs: Sequence[CollectConfig], source: Column,
                     routes: DataFrame | None = None, ingest_time: int | None = None) -> DataFrame:
-    """`collect_logs` for several configs. With `routes` each takes the files routed to it only; they are far
-    fewer than lines, so Spark sends them to the lines where their size allows."""
+    """`collect_logs` for several configs. With `routes` each takes the files routed to it only.
+
+    Configs that read records alike, whatever they filter and wherever their logs go, share one pass. Routes are
+    far fewer than lines and computed once, into the scratch folder, so that Spark knows their size beforehand and
+    sends them to the lines where it allows; no line is shuffled to meet them.
+    """
     names = [c.name for c in configs]
     if len(set(names)) < len(names):
         raise ValueError("configs need names of their own")
-    collected = []
+    if routes is not None:
+        spark, held = lines.sparkSession, scratch_path(lines.sparkSession, "routes")
+        routes.select("file_path", "config_name").write.parquet(held)
+        routes = spark.read.schema("file_path string, config_name string").parquet(held)
+    alike: dict[tuple, list[CollectConfig]] = {}
     for config in configs:
-        own = lines
+        alike.setdefault(_reading(config), []).append(config)
+    collected = []
+    for group in alike.values():
+        own, mine = lines, None
         if routes is not None:
-            own = lines.join(routes.filter(F.col("config_name") == config.name), "file_path", "left_semi")
-        collected.append(collect_logs(own, config, source, ingest_time))
+            mine = routes.filter(F.col("config_name").isin([c.name for c in group]))
+            own = lines.join(mine, "file_path", "left_semi")
+        collected.append(_collect_alike(own, group, source, mine, ingest_time, None))
     return reduce(DataFrame.unionByName, collected)
 
 
@@ -128,14 +170,14 @@ def write_collected(collected: DataFrame, configs: Sequence[CollectConfig], path
                     folder: str | None = None) -> None:
     """Put the logs into the stores of their destinations and the rejects beside them.
 
-    The collection is computed once, into the scratch folder. With a `folder` every store gets the logs
+    The collection is computed once, into the scratch folder, where each destination has a folder. With a `folder` every store gets the logs
     there, replacing what an earlier attempt has left; without, they are appended.
     """
     destinations = check_destinations(configs)
     spark = collected.sparkSession
     held = scratch_path(spark, "collected")
-    collected.write.parquet(held)
-    collected = spark.read.schema(collected.schema).parquet(held)
+    collected.write.partitionBy("project", "logstore").parquet(held)
+    collected = spark.read.schema(collected.schema).parquet(held).select(*collected.columns)
     refused = rejected(collected).write
     if folder is None:
         refused.mode("append").parquet(rejects_path(path))

@@ -249,3 +249,32 @@ def test_configs_take_the_files_routed_to_them(spark):
     got = collect_configs(lines, configs, source, routes_of(lines, configs, members, bindings, source), ingest_time=7)
     assert tuples(got, "config_name", "file_path") == [
         ("all", "/m1/a/x.LOG"), ("all", "/m1/b/y.txt"), ("logs", "/m1/a/x.LOG"), ("two", "/m2/a/x.LOG")]
+
+
+def test_configs_that_read_alike_share_a_pass(spark, tmp_path):
+    """Each gets what it collects alone, rejects too, and the lines are read as often as for one config."""
+    for machine in ("m1", "m2"):
+        (tmp_path / machine / "de").mkdir(parents=True)
+        (tmp_path / machine / "de" / "x.LOG").write_text("".join(f"# {n} {'ab'[n % 2]}\n more\n" for n in range(9)) + "# none\n")
+    base = CollectConfig("a", str(tmp_path), "*.LOG", "#.*", "# ([0-9]+) (.*)", ("n", "kind"), project="p", logstore="a",
+                         filter_keys=("kind",), filter_regex=("a.*",), topic_format=".*/([^/]*)/x.LOG")
+    configs = [base, replace(base, name="b", filter_regex=("b.*",), topic_format="default", logstore="b"),
+               replace(base, name="c", filter_keys=(), filter_regex=(), project="q"), replace(base, name="d", max_lines=1)]
+    lines, source = read_log_files(spark, str(tmp_path), "*.LOG"), F.regexp_extract("file_path", "/(m.)/", 1)
+    both = collect_configs(lines, configs, source, ingest_time=7)
+    columns = [c for c in both.columns if c != "contents"] + [F.to_json("contents")]
+    alone = [collect_logs(lines, c, source, ingest_time=7).select(*columns).collect() for c in configs]
+    order = lambda rows: sorted(map(str, rows))
+    assert order(both.select(*columns).collect()) == order(r for rows in alone for r in rows)
+    assert [len(rows) for rows in alone] == [12, 10, 20, 38]
+    scans = lambda frame: frame._jdf.queryExecution().optimizedPlan().toString().count("Relation [value")
+    routes = spark.createDataFrame([(f"{tmp_path}/m1/de/x.LOG", c.name) for c in configs[:2]], "file_path string, config_name string")
+    routed = collect_configs(lines, configs[:3], source, routes, ingest_time=7)
+    assert scans(collect_configs(lines, configs[:3], source, ingest_time=7)) == scans(routed) == scans(
+        collect_logs(lines, base, source, ingest_time=7))
+    assert order(routed.select(*columns).collect()) == order(
+        r for rows in alone[:2] for r in rows if r["source"] == "m1")
+    write_collected(both, configs, str(tmp_path / "out"), Packing(1))
+    stored = lambda *of: read_groups(spark, store_path(str(tmp_path / "out"), *of)).agg(F.sum("n_logs")).first()[0]
+    assert [stored("p", "a"), stored("p", "b"), stored("q", "a")] == [10, 8, 18]
+    assert spark.read.parquet(rejects_path(str(tmp_path / "out"))).count() == 6 + 38
