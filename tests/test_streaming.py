@@ -183,3 +183,20 @@ def test_a_batch_has_a_folder_of_its_own(spark, tmp_path):
 def test_scratch_is_the_shared_folder_of_the_session(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_a_batch_routes_its_own_files_only(spark, tmp_path):
+    folder, seen = tmp_path / "in", []
+    for name, first, last in (("a.LOG", 0, 5), ("b.LOG", 5, 8), ("c.LOG", 8, 20)):
+        write_log(folder, name, first, last)
+
+    def routes(lines):
+        files = lines.select("file_path").distinct().filter("file_path not like '%b.LOG'")
+        seen.append([r["file_path"].split("/")[-1] for r in lines.select("file_path").distinct().collect()])
+        return files.select("file_path", F.lit("c").alias("config_name"))
+
+    lines = stream_log_files(spark, str(folder), "*.LOG", max_files=1)
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    collect_stream(lines, [CONFIG], out, state, host(), PACKING, routes, ingest_time=7).awaitTermination()
+    assert sorted(seen) == [["a.LOG"], ["b.LOG"], ["c.LOG"]]
+    assert len(contents(spark, out)) == 5 + 12

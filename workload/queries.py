@@ -445,8 +445,8 @@ def collect_logs_query(spark, sf_dir):
 def collect_logs_stream(spark, sf_dir):
     """The same from a stream of files, in several batches."""
     configs = t.configs_below(t.write_document_files(spark, sf_dir))
-    files = read_log_files(spark, configs[0].log_path, "*.txt")
-    routes = routes_of(files, configs, *t.collecting_fleet(spark, sf_dir), t.machine_of_file())
+    members, bindings = t.collecting_fleet(spark, sf_dir)
+    routes = lambda files: routes_of(files, configs, members, bindings, t.machine_of_file())
     lines = stream_log_files(spark, configs[0].log_path, "*.txt", max_files=60)
     path, state = scratch_path(spark, "collected"), scratch_path(spark, "state")
     collect_stream(lines, configs, path, state, t.machine_of_file(), t.PACKING, routes).awaitTermination()
