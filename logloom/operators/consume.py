@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -84,17 +85,29 @@ def pull_logs(groups: DataFrame, ranges: Sequence[ShardRange], max_groups: int)
     each range the caller gave, is found first and becomes a filter, so the logs are read once and only
     as far as they are asked for.
     """
+    return pull_on(groups, ranges, max_groups)[0]
+
+
+def pull_on(groups: DataFrame, ranges: Sequence[ShardRange], max_groups: int) -> tuple[DataFrame, list[ShardRange]]:
+    """`pull_logs`, and the ranges to go on with, for a reader that pulls again at once. Ranges without groups stay as they
+    are; it has caught up where all do.
+
+    The positions are those of `next_cursors`, but come from the bounds that a pull finds anyway, so nothing that was
+    pulled is read for them.
+    """
     if not ranges:
         raise ValueError("pull_logs needs at least one shard")
     in_order = F.row_number().over(W.partitionBy("range").orderBy("cursor"))
     narrow = _numbered(groups.select("shard", "cursor"), {n: _inside(r) for n, r in enumerate(ranges)})
     first = narrow.withColumn("place", in_order).filter(F.col("place") <= max_groups)
-    last = {r["range"]: r["last"] for r in first.groupBy("range").agg(F.max("cursor").alias("last")).collect()}
+    bounds = first.groupBy("range").agg(F.max("cursor").alias("last")).withColumn("next", after(F.col("last"))).collect()
+    last, behind = {r["range"]: r["last"] for r in bounds}, {r["range"]: r["next"] for r in bounds}
     bounded = {n: _inside(ranges[n], end) for n, end in last.items()} or {0: F.lit(False)}
     near = _numbered(groups.select("shard", "cursor"), bounded).withColumn("place", in_order)
     if max_groups * len(ranges) <= _FEW_GROUPS:
         near = F.broadcast(near)
-    return _numbered(groups, bounded).join(near, ["range", "shard", "cursor"]).select(*groups.columns, "range", "place")
+    pulled = _numbered(groups, bounded).join(near, ["range", "shard", "cursor"]).select(*groups.columns, "range", "place")
+    return pulled, [replace(r, cursor=behind.get(n, r.cursor)) for n, r in enumerate(ranges)]
 
 
 def next_cursors(pulled: DataFrame, ranges: Sequence[ShardRange]) -> DataFrame:

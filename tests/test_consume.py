@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from helpers import LOG_COLUMNS, tuples
 from logloom.functions.cursors import cursor_at
 from logloom.model import ShardRange
-from logloom.operators.consume import list_shards, next_cursors, pull_logs, resolve_cursor
+from logloom.operators.consume import list_shards, next_cursors, pull_logs, pull_on, resolve_cursor
 from logloom.operators.ingest import pack_log_groups
 from logloom.sources import puts
 from logloom.sources.puts import Put, Puts
@@ -210,3 +210,18 @@ def test_a_pull_reads_the_logs_once_below_its_bound(spark, groups):
 def test_a_pull_needs_a_shard(groups):
     with pytest.raises(ValueError):
         pull_logs(groups, [], 5)
+
+
+def test_a_reader_goes_on_without_reading_what_it_pulled(spark, groups):
+    """The positions are those of `next_cursors`, in one job's result, with ranges that are empty or end early."""
+    end = cursors_of(groups, 0)[5]
+    ranges, seen = [ShardRange(0, ""), ShardRange(1, ""), ShardRange(2, ""), ShardRange(0, "", end)], 0
+    while True:
+        pulled, following = pull_on(groups, ranges, 20)
+        expected = next_cursors(pulled, ranges).orderBy("range").collect()
+        assert [(r.shard, r.cursor) for r in following] == [(r["shard"], r["next_cursor"]) for r in expected]
+        assert [r.end_cursor for r in following] == [None, None, None, end]
+        if following == ranges:
+            break
+        seen, ranges = seen + pulled.count(), following
+    assert pulled.isEmpty() and seen == groups.count() + 5

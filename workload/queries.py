@@ -149,12 +149,11 @@ class _Follower:
         most = consume.list_shards(groups).agg(F.max("n_groups")).first()[0] or 0
         before = len(self.steps)
         while True:
-            pulled = consume.pull_logs(groups, self.ranges, max(1, most // 2))
-            following = consume.next_cursors(pulled, self.ranges).orderBy("range").collect()
-            if not any(r["n_groups"] for r in following):
+            pulled, following = consume.pull_on(groups, self.ranges, max(1, most // 2))
+            if following == self.ranges:
                 return len(self.steps) - before
             self.steps.append(pulled)
-            self.ranges = [ShardRange(r["shard"], r["next_cursor"]) for r in following]
+            self.ranges = following
 
 
 def split_shards(spark, sf_dir):
