@@ -42,12 +42,12 @@ def written_by_batch(spark: SparkSession, path: str) -> bool:
 
 
 def _write(groups: DataFrame, path: str, mode: str) -> None:
-    # Rebalancing gathers what lies close in time into the same files and lets Spark cut a partition
-    # that has grown too large (a hot shard); sorted cursors then make row groups skippable.
+    # Ranges gather a day's shard, however small, into one file, and what lies close in time of a large one (a hot
+    # shard), which they cut; sorted cursors then make row groups skippable. They are cut by a sample, for which the
+    # groups are made a second time; so their keys are values that are the same then, which a cursor need not be. The
+    # hash lets a single second be cut, too.
     (
-        groups.withColumn("hour", floor_to(F.col("min_time"), 3600))
-        .hint("rebalance", "date", "shard", "hour")
-        .drop("hour")
+        groups.repartitionByRange("date", "shard", "min_time", F.xxhash64("topic", "source", "logs"))
         .sortWithinPartitions("date", "shard", "cursor")
         .write.mode(mode).partitionBy("date", "shard").parquet(path)
     )
