@@ -72,6 +72,15 @@ def test_bytes_of_all_documents(spark):
     assert Counter(map(tuple, got.collect())) == Counter(brute.byte_repeats(list(zip(docs.doc_id, docs.text)), 400))
 
 
+def test_a_passage_of_many_words_goes_from_400_bytes_on(spark):
+    short, long = " ".join(f"w{n:03d}" for n in range(60)), " ".join(f"word{n:03d}" for n in range(60))
+    docs = [(1, f"one {short} two"), (2, f"three {short} four"), (3, f"five {long} six"), (4, f"seven {long} eight")]
+    got = {r.doc_id: r for r in suffix_repeats.suffix_digests(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert len(short) < 400 <= len(long)
+    assert {i: r.n_bytes for i, r in got.items()} == {i: len(t) for i, t in docs}
+    assert {i: r.n_removed for i, r in got.items()} == {1: 0, 2: 0, 3: len(long) + 2, 4: len(long) + 2}
+
+
 def test_odd_rows_of_bytes(spark, small_chunks):
     docs = brute.frame(spark, brute.ODD)
     got = suffix_repeats.suffix_digests(docs, window=10)
